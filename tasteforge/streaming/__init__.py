@@ -1,0 +1 @@
+"""Empty on purpose: every job here is a batch job, so there is no streaming operator to offer."""

@@ -24,19 +24,25 @@ def left_join_feedback(
     feedback: DataFrame,
     keys: Sequence[str] = ("steam_id", "app_id"),
     columns: Sequence[str] = ("voted_up",),
-    one_per_key: bool = False,
 ) -> DataFrame:
     """Every interaction, with the feedback for the same keys or NULL.
 
-    Several reviews for one key give several rows, as a join does; ``one_per_key`` keeps one
-    of them (a positive one, if any) so that the interaction is not counted twice.
+    Several reviews for one key give several rows, as a join does; see ``one_per_key``.
     """
     right = _as_text(feedback.select(*keys, *columns), keys)
-    if one_per_key:
-        right = right.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
     return _as_text(interactions, keys).join(right, list(keys), "left")
 
 
+def one_per_key(
+    feedback: DataFrame, keys: Sequence[str] = ("steam_id", "app_id"), columns: Sequence[str] = ("voted_up",)
+) -> DataFrame:
+    """One row per key, a positive review winning, so that no interaction is counted twice.
+
+    Store the result before joining it: a bare scan leaves the join open to the skew split.
+    """
+    return feedback.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+
+
 def enrich(recs: DataFrame, metadata: DataFrame, key: str = "app_id") -> DataFrame:
     """Add metadata to each recommendation; an item without metadata keeps NULLs."""
     return _as_text(recs, [key]).join(_as_text(metadata, [key]), key, "left")

@@ -16,21 +16,33 @@ def pick_fields(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(path).alias(name) for name, path in fields.items()])
 
 
+def parse_once(df: DataFrame, value: Column, name: str, keep: Callable[[Column], Column]) -> DataFrame:
+    """Add the column ``name`` and drop the rows whose value fails ``keep``.
+
+    For costly values, such as parsed JSON. A filter over a projected value would be pushed below the
+    projection and work the value out a second time; an explode of zero or one elements is not.
+    """
+    return df.select("*", F.explode(F.filter(F.array(value), keep)).alias(name))
+
+
 def explode_items(
     df: DataFrame,
     array_col: str,
-    fields: Mapping[str, str],
+    fields: Mapping[str, str] | str,
     keep: Callable[[Column], Column] | None = None,
     carry: tuple[str, ...] = (),
     outer: bool = False,
 ) -> DataFrame:
     """One row per array element, with ``carry`` columns and the element's ``fields``.
 
+    A single name instead of ``fields`` stands for the element itself.
     ``keep`` filters the elements inside the array, before any row exists for them: a filter above
     the explode could not pass below it. NULL and empty arrays give no row unless ``outer``.
     """
     items = F.col(array_col) if keep is None else F.filter(F.col(array_col), keep)
     explode = F.explode_outer if outer else F.explode
+    if isinstance(fields, str):
+        return df.select(*carry, explode(items).alias(fields))
     rows = df.select(*carry, explode(items).alias("_item"))
     return rows.select(*carry, *[F.col(f"_item.{path}").alias(name) for name, path in fields.items()])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.functions.parsing import lenient_double, or_empty, truthy, utc_stamp
-from tasteforge.operators.nested import map_rows
+from tasteforge.operators.nested import map_rows, parse_once
 
 
 def _stamp(ingested_at: Column | None) -> Column:
@@ -21,16 +21,19 @@ def shape_libraries(
     raw: DataFrame, id_col: str = "steam_id", payload: str = "payload", ingested_at: Column | None = None
 ) -> DataFrame:
     """Owned-items payloads to user profiles; private and empty libraries are dropped."""
-    owned = F.from_json(payload, schemas.LIBRARY_PAYLOAD).getField("response").getField("games")
+    response = F.from_json(payload, schemas.LIBRARY_PAYLOAD).getField("response")
+    parsed = parse_once(raw, response, "response", lambda r: F.size(r["games"]) > 0)
     games = F.transform(
-        owned,
+        "response.games",
         lambda g: F.struct(
             g["appid"].alias("appid"), F.coalesce(g["playtime_forever"], F.lit(0)).alias("playtime_forever")
         ),
     )
-    shaped = raw.select(_stamp(ingested_at), F.col(id_col).cast("string").alias("steam_id"), games.alias("games"))
-    return shaped.where(F.size("games") > 0).select(
-        "ingested_at", "steam_id", F.size("games").cast("bigint").alias("game_count"), "games"
+    return parsed.select(
+        _stamp(ingested_at),
+        F.col(id_col).cast("string").alias("steam_id"),
+        F.size("response.games").cast("bigint").alias("game_count"),
+        games.alias("games"),
     )
 
 
@@ -47,13 +50,10 @@ def shape_metadata(
     """App-details envelopes, keyed by app id, to metadata documents; unsuccessful ones are dropped."""
     app_id = F.col(id_col).cast("string")
     envelope = F.try_element_at(F.from_json(payload, schemas.METADATA_PAYLOAD), app_id)
-    opened = raw.select(_stamp(ingested_at), app_id.alias("app_id"), envelope.alias("envelope"))
+    opened = parse_once(raw, envelope, "envelope", lambda e: e["success"])
     data = F.col("envelope.data")
-
     fields = [or_empty(data.getField(name), ddl).alias(name) for name, ddl in schemas.METADATA_FIELDS.items()]
-    return opened.where(F.col("envelope.success")).select(
-        "ingested_at", "app_id", F.struct(*fields).alias("metadata")
-    )
+    return opened.select(_stamp(ingested_at), app_id.alias("app_id"), F.struct(*fields).alias("metadata"))
 
 
 def shape_reviews(
@@ -68,12 +68,9 @@ def shape_reviews(
     Payloads without success or reviews are dropped; a payload whose reviews are all in another
     language still gives a document, with an empty array.
     """
-    parsed = raw.select(
-        _stamp(ingested_at),
-        F.col(id_col).cast("string").alias("app_id"),
-        F.from_json(payload, schemas.REVIEWS_PAYLOAD).alias("p"),
-    ).where(truthy(F.col("p.success")) & (F.size("p.reviews") > 0))
-    wanted = F.filter("p.reviews", lambda r: r["language"] == language)
+    answer = F.from_json(payload, schemas.REVIEWS_PAYLOAD)
+    parsed = parse_once(raw, answer, "answer", lambda a: truthy(a["success"]) & (F.size(a["reviews"]) > 0))
+    wanted = F.filter("answer.reviews", lambda r: r["language"] == language)
     reviews = F.transform(
         wanted,
         lambda r: F.struct(
@@ -87,7 +84,9 @@ def shape_reviews(
             r["review"].alias("review_text"),
         ),
     )
-    shaped = parsed.select("ingested_at", "app_id", reviews.alias("reviews"))
+    shaped = parsed.select(
+        _stamp(ingested_at), F.col(id_col).cast("string").alias("app_id"), reviews.alias("reviews")
+    )
     return shaped.select("ingested_at", "app_id", F.size("reviews").cast("bigint").alias("review_count"), "reviews")
 
 

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.functions.scoring import hybrid_score
-from tasteforge.operators.dictionary import BROADCAST_ROWS, IdDictionary, fit_dictionary, save_dictionary
-from tasteforge.operators.joins import left_join_feedback
+from tasteforge.operators.dictionary import (
+    BROADCAST_ROWS,
+    IdDictionary,
+    fit_dictionary,
+    load_dictionary,
+    save_dictionary,
+)
+from tasteforge.operators.joins import left_join_feedback, one_per_key
 from tasteforge.session import materialize
 from tasteforge.sources.tables import read_table, table_path, write_table
 
@@ -24,9 +30,9 @@ class GoldTables:
     items: IdDictionary
 
 
-def score_interactions(interactions: DataFrame, reviews: DataFrame, one_review: bool = False) -> DataFrame:
+def score_interactions(interactions: DataFrame, reviews: DataFrame) -> DataFrame:
     """(steam_id, app_id, interaction_score): engagement weighted by the user's own review, if any."""
-    joined = left_join_feedback(interactions, reviews, one_per_key=one_review)
+    joined = left_join_feedback(interactions, reviews)
     score = hybrid_score(F.col("playtime_minutes"), F.col("voted_up"))
     return joined.select("steam_id", "app_id", score.alias("interaction_score"))
 
@@ -60,12 +66,21 @@ def interaction_matrix(
 
 
 def run_gold(spark: SparkSession, base_path: str, one_review: bool = False) -> GoldTables:
-    """Write the matrix and both dictionaries; returns them as stored."""
+    """Write the matrix and both dictionaries; returns them as stored.
+
+    ``one_review`` keeps one review per user and item; otherwise several of them multiply the
+    interaction.
+    """
     interactions = read_table(spark, table_path(base_path, "user_interactions"), schemas.SILVER_INTERACTIONS)
     reviews = read_table(spark, table_path(base_path, "app_reviews"), schemas.SILVER_REVIEWS)
-    gold = interaction_matrix(score_interactions(interactions, reviews, one_review))
+    if one_review:
+        reviews = materialize(one_per_key(reviews), "one-review")
+    gold = interaction_matrix(score_interactions(interactions, reviews))
     write_table(gold.matrix, table_path(base_path, "ml_interaction_matrix"))
     save_dictionary(gold.users, table_path(base_path, "user_dictionary"))
     save_dictionary(gold.items, table_path(base_path, "item_dictionary"))
-    stored = read_table(spark, table_path(base_path, "ml_interaction_matrix"), schemas.GOLD_MATRIX)
-    return GoldTables(stored, gold.users, gold.items)
+    return GoldTables(
+        read_table(spark, table_path(base_path, "ml_interaction_matrix"), schemas.GOLD_MATRIX),
+        load_dictionary(spark, table_path(base_path, "user_dictionary")),
+        load_dictionary(spark, table_path(base_path, "item_dictionary")),
+    )

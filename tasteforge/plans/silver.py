@@ -17,14 +17,11 @@ from tasteforge.sources.tables import table_path, write_table
 
 def silver_interactions(profiles: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:
     """(steam_id, app_id, playtime_minutes) of each user's latest profile, played items only."""
-    latest = latest_per_key(profiles, ["steam_id"], "ingested_at", tie_breakers)
-    rows = explode_items(
-        latest,
-        "games",
-        {"app_id": "appid", "playtime_minutes": "playtime_forever"},
-        keep=lambda game: game["playtime_forever"] > 0,
-        carry=("steam_id",),
-    )
+    # Unplayed items go before the shuffle that finds the latest profile, not after it.
+    played = profiles.withColumn("games", F.filter("games", lambda game: game["playtime_forever"] > 0))
+    latest = latest_per_key(played, ["steam_id"], "ingested_at", tie_breakers)
+    fields = {"app_id": "appid", "playtime_minutes": "playtime_forever"}
+    rows = explode_items(latest, "games", fields, carry=("steam_id",))
     # Item ids are text everywhere after this point, as they are in reviews and metadata.
     return rows.withColumn("app_id", F.col("app_id").cast("string"))
 

@@ -59,11 +59,16 @@ def readable(docs: DataFrame) -> DataFrame:
     return docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def corrupt_report(docs: DataFrame) -> DataFrame:
-    """One row: documents read and documents that did not parse."""
+def corrupt_report(docs: DataFrame, stamp: str = "ingested_at") -> DataFrame:
+    """One row: documents read, documents that did not parse, and documents that parsed but have no stamp.
+
+    The parser only finds corrupt text when it is asked for a real field too, which the stamp is.
+    """
+    corrupt = F.col(CORRUPT).isNotNull()
     return docs.agg(
-        F.count(F.col(SOURCE)).alias("documents"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(corrupt).alias("corrupt"),
+        F.count_if(~corrupt & F.col(stamp).isNull()).alias("unstamped"),
     )
 
 

@@ -1,0 +1,70 @@
+import datetime
+import math
+
+from pyspark.sql import functions as F
+
+from tasteforge.functions.parsing import id_text, lenient_double, or_empty, truthy, utc_day, utc_stamp
+from tasteforge.functions.scoring import hybrid_score
+from tasteforge.functions.text import clean_text, long_enough
+
+
+def column(df, expr):
+    return [r[0] for r in df.select(expr).collect()]
+
+
+def test_clean_text_replaces_break_runs_and_strips_spaces_only(spark):
+    texts = ["  a\r\n\r\nb\nc  ", "\ttab\t", " nbsp ", "two  spaces", "\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    assert column(df, clean_text(F.col("t"))) == ["a b c", "\ttab\t", " nbsp ", "two  spaces", "", None]
+
+
+def test_length_filter_counts_code_points_after_cleaning(spark):
+    texts = ["123456789", "1234567890", "  12345678  ", "\U0001f600" * 10, "\U0001f600" * 9, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    kept = df.select(clean_text(F.col("t")).alias("t")).where(long_enough(F.col("t")))
+    assert sorted(r.t for r in kept.collect()) == sorted(["1234567890", "\U0001f600" * 10])
+
+
+def test_lenient_double(spark):
+    cases = {"0.52": 0.52, "": 0.0, "x": 0.0, None: 0.0, "1d": 0.0, "0x1p3": 0.0, " -2.5e1 ": -25.0, ".5": 0.5, "7": 7.0}
+    df = spark.createDataFrame([(t,) for t in cases], "t STRING")
+    assert column(df, lenient_double(F.col("t"))) == list(cases.values())
+
+
+def test_hybrid_score_weights_votes_and_passes_unknown(spark):
+    df = spark.createDataFrame(
+        [(172139, True), (172139, False), (172139, None), (0, True), (-1, None), (None, True)],
+        "minutes BIGINT, up BOOLEAN",
+    )
+    base = math.log1p(172139)
+    got = column(df, hybrid_score(F.col("minutes"), F.col("up")))
+    assert got[:4] == [base * 1.5, base * 0.5, base, 0.0]
+    assert got[4:] == [None, None]
+
+
+def test_truthy(spark):
+    df = spark.createDataFrame([(t,) for t in ["1", "true", "TRUE", "0", "false", "", None]], "t STRING")
+    assert column(df, truthy(F.col("t"))) == [True, True, True, False, False, False, False]
+
+
+def test_missing_containers_become_empty(spark):
+    df = spark.createDataFrame([(None, None, None)], "a ARRAY<STRING>, s STRUCT<x: INT>, n INT")
+    row = df.select(
+        or_empty(F.col("a"), "ARRAY<STRING>").alias("a"),
+        or_empty(F.col("s"), "STRUCT<x: INT>").alias("s"),
+        or_empty(F.col("n"), "INT").alias("n"),
+    ).first()
+    assert row.a == [] and row.s.asDict() == {"x": None} and row.n is None
+
+
+def test_id_text_drops_missing_ids(spark):
+    df = spark.createDataFrame([(400,), (None,), (10,)], "appid BIGINT")
+    assert sorted(r.id for r in id_text(df, "appid").collect()) == ["10", "400"]
+
+
+def test_stamp_is_utc_text(spark):
+    before = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    stamp, day = spark.range(1).select(utc_stamp().alias("s")).select("s", utc_day(F.col("s"))).first()
+    parsed = datetime.datetime.fromisoformat(stamp)
+    assert abs((parsed - before).total_seconds()) < 120
+    assert day == parsed.date()

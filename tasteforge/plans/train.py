@@ -12,7 +12,7 @@ from tasteforge import schemas
 from tasteforge.operators.dictionary import load_dictionary
 from tasteforge.operators.factors import AlsSettings, fit_als, predict
 from tasteforge.operators.splits import hash_split, random_split, rmse
-from tasteforge.sources.bundle import ModelBundle, save_bundle
+from tasteforge.sources.bundle import ModelBundle, load_bundle, save_bundle
 from tasteforge.sources.tables import read_table, table_path
 
 
@@ -48,7 +48,7 @@ def run_training(
     settings: AlsSettings = AlsSettings(),
     split: str = "hash",
 ) -> ModelBundle:
-    """Train on the gold matrix and save model and dictionaries as one bundle."""
+    """Train on the gold matrix and save model and dictionaries as one bundle; returns it as stored."""
     matrix = read_table(spark, table_path(base_path, "ml_interaction_matrix"), schemas.GOLD_MATRIX)
     trained = train_and_evaluate(matrix, settings, split)
     bundle = ModelBundle(
@@ -59,4 +59,4 @@ def run_training(
         rmse=trained.error.first()["rmse"],
     )
     save_bundle(bundle, base_path)
-    return bundle
+    return load_bundle(spark, base_path, bundle.run_id)

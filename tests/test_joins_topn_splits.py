@@ -1,0 +1,112 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tasteforge.operators.joins import enrich, left_join_feedback, missing_keys, one_per_key
+from tasteforge.operators.splits import hash_split, random_split, rmse
+from tasteforge.operators.topn import distinct_ids, first_n, list_sizes, top_n, top_n_tagged, union_ids
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_left_join_matches_numbers_to_text_and_fans_out(spark):
+    played = spark.createDataFrame([("u", 400, 5), ("u", 10, 1), ("w", 400, 2)], "steam_id STRING, app_id BIGINT, m INT")
+    reviews = spark.createDataFrame(
+        [("u", "400", True, "x"), ("u", "400", False, "y"), ("u", "x1", True, "z"), ("w", "400", None, "")],
+        "steam_id STRING, app_id STRING, voted_up BOOLEAN, review_text STRING",
+    )
+    joined = left_join_feedback(played, reviews)
+    assert joined.columns == ["steam_id", "app_id", "m", "voted_up"]
+    assert rows(joined) == sorted(
+        [("u", "400", 5, True), ("u", "400", 5, False), ("u", "10", 1, None), ("w", "400", 2, None)], key=str
+    )
+    single = left_join_feedback(played, one_per_key(reviews))
+    assert rows(single) == sorted([("u", "400", 5, True), ("u", "10", 1, None), ("w", "400", 2, None)], key=str)
+
+
+def test_stored_sides_join_as_bare_exchanges(spark, tmp_path, plan):
+    for name in ("a", "b"):
+        spark.range(10).selectExpr("string(id) steam_id", "string(id) app_id", "true voted_up").write.parquet(
+            str(tmp_path / name)
+        )
+    a, b = (spark.read.parquet(str(tmp_path / name)) for name in ("a", "b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(left_join_feedback(a.drop("voted_up"), b))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2 and "Aggregate" not in text
+
+
+def test_enrich_keeps_items_without_metadata(spark):
+    recs = spark.createDataFrame([(400, 2.0), (7, 1.0)], "app_id BIGINT, score DOUBLE")
+    metadata = spark.createDataFrame([("400", "name")], "app_id STRING, game_name STRING")
+    assert rows(enrich(recs, metadata)) == [("400", 2.0, "name"), ("7", 1.0, None)]
+
+
+def test_missing_keys(spark):
+    asked = spark.createDataFrame([("a",), ("b",)], "k STRING")
+    known = spark.createDataFrame([("a", 1), ("a", 2)], "k STRING, v INT")
+    assert rows(missing_keys(asked, known, "k")) == [("b",)]
+
+
+CATALOGUE = [(1, 5, ["x"]), (2, None, ["x", "y"]), (3, 9, []), (4, 5, ["y"]), (5, 0, None), (6, -1, ["x"])]
+
+
+@pytest.fixture
+def catalogue(spark):
+    return spark.createDataFrame(CATALOGUE, "appid BIGINT, ccu BIGINT, tags ARRAY<STRING>").repartition(3)
+
+
+def test_top_n_missing_counts_as_zero_and_ties_by_id(spark, catalogue, plan):
+    assert [r.appid for r in top_n(catalogue, 5, "ccu", "appid").collect()] == [3, 1, 4, 2, 5]
+    assert "TakeOrderedAndProject" in plan(top_n(catalogue, 2, "ccu", "appid"))
+
+
+def test_top_n_tagged_by_array_or_value(spark, catalogue):
+    assert [r.appid for r in top_n_tagged(catalogue, "x", 2, "ccu", "appid", "tags").collect()] == [1, 2]
+    flat = catalogue.withColumn("tag", F.get("tags", F.lit(0)))
+    assert [r.appid for r in top_n_tagged(flat, "y", 9, "ccu", "appid", "tag").collect()] == [4]
+
+
+def test_id_lists(spark):
+    ids = spark.createDataFrame([(10,), (2,), (10,), (None,)], "appid BIGINT")
+    assert rows(distinct_ids(ids, "appid")) == [("10",), ("2",)]
+    assert [r.id for r in first_n(distinct_ids(ids, "appid"), 1, "id").collect()] == ["10"]
+    a = spark.createDataFrame([("1",), ("2",)], "id STRING")
+    b = spark.createDataFrame([("2",), ("3",)], "id STRING")
+    both = union_ids(a, b)
+    assert rows(both) == [("1",), ("2",), ("3",)]
+    assert list_sizes({"a": a, "b": b.where("id = '3'"), "none": b.where("id = 'x'"), "all": both}).first().asDict() == {
+        "a": 2, "b": 1, "none": 0, "all": 3
+    }
+
+
+def test_hash_split_is_disjoint_complete_and_independent_of_layout(spark):
+    df = spark.range(2000).selectExpr("id % 200 AS user_index", "id AS item_index")
+    keys = ["user_index", "item_index"]
+    train, test = hash_split(df, keys)
+    again, _ = hash_split(df.repartition(7), keys)
+    assert rows(train) == rows(again)
+    assert train.intersect(test).isEmpty() and train.count() + test.count() == 2000
+    assert 0.75 < train.count() / 2000 < 0.85
+    seeded, _ = hash_split(df, keys, seed=1)
+    assert rows(seeded) != rows(train)
+
+
+def test_random_split_repeats(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    first, rest = random_split(df)
+    assert rows(first) == rows(random_split(df)[0]) and first.count() + rest.count() == 1000
+
+
+def test_rmse(spark):
+    rng = random.Random(1)
+    pairs = [(rng.random(), rng.random()) for _ in range(100)]
+    df = spark.createDataFrame(pairs, "y FLOAT, p DOUBLE")
+    expected = (sum((y - p) ** 2 for y, p in pairs) / 100) ** 0.5
+    assert rmse(df, "y", "p").first().rmse == pytest.approx(expected, rel=1e-6)

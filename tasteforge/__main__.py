@@ -8,7 +8,7 @@ from tasteforge.plans.gold import run_gold
 from tasteforge.plans.serve import run_recommend
 from tasteforge.plans.silver import run_silver
 from tasteforge.plans.train import run_training
-from tasteforge.session import build_session
+from tasteforge.session import build_session, drop_intermediates, shuffle_partitions
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,9 +19,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--run-id", help="model bundle to write or to serve from")
     parser.add_argument("--user", action="append", default=[], help="user to recommend for; repeatable")
     parser.add_argument("--top", type=int, default=5, help="items per user")
+    parser.add_argument("--shuffle-gb", type=float, help="expected shuffle volume, to size the partitions")
     args = parser.parse_args(argv)
 
     spark = build_session(f"tasteforge-{args.job}")
+    if args.shuffle_gb is not None:
+        partitions = shuffle_partitions(int(args.shuffle_gb * 2**30), spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     if args.job == "silver":
         for table, path in run_silver(spark, args.base_path, args.layout).items():
             print(f"{table}: {path or 'no landed documents, skipped'}")
@@ -34,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
         lists, unserved = run_recommend(spark, args.base_path, args.user, args.top, args.run_id)
         lists.show(args.top * max(1, len(args.user)), truncate=False)
         unserved.show(max(1, len(args.user)), truncate=False)
+    drop_intermediates(spark)
 
 
 if __name__ == "__main__":

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge.session import materialize
 
-# A dictionary slice is broadcast only up to this many rows. Indices are frequency ranks, so
-# "index < BROADCAST_ROWS" names the most frequent ids, whatever the data.
+# A dictionary slice is broadcast only within both bounds. Indices are frequency ranks, so
+# "index < n" names the n most frequent ids, whatever the data.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 # monotonically_increasing_id: partition number above bit 33, row number within it below.
 _ROW_BITS = 33
@@ -24,10 +25,14 @@ _ROW_MASK = (1 << _ROW_BITS) - 1
 
 @dataclass(frozen=True)
 class IdDictionary:
-    """``frame`` has (label string, frequency bigint, index bigint); ``size`` is its row count."""
+    """``frame`` has (label string, frequency bigint, index bigint).
+
+    ``size`` is its row count and ``widest`` the bytes of its longest label.
+    """
 
     frame: DataFrame
     size: int
+    widest: int
 
     def encode(
         self, df: DataFrame, id_col: str, index_col: str, broadcast_rows: int = BROADCAST_ROWS
@@ -55,6 +60,7 @@ class IdDictionary:
         1/broadcast_rows of the rows the dictionary was fit on. The large case reads ``keyed``
         twice, so it should be a stored table.
         """
+        broadcast_rows = max(1, min(broadcast_rows, BROADCAST_BYTES // (self.widest + 32)))
         if self.size <= broadcast_rows:
             return keyed.join(F.broadcast(entries), "_key").drop("_key")
         head = F.broadcast(entries.where(order < broadcast_rows))
@@ -64,27 +70,34 @@ class IdDictionary:
         return frequent.unionByName(rare).drop("_key")
 
 
+def _widest():
+    return F.max(F.octet_length("label")).alias("widest")
+
+
 def fit_dictionary(df: DataFrame, id_col: str) -> IdDictionary:
     """Count, rank and number the ids of ``id_col`` (runs jobs).
 
     Ids are counted with a map-side combine, range-sorted by (frequency, id) and numbered within
-    their partition; the numbered table is stored, and each partition's first index is the
-    number of rows in the partitions before it.
+    their partition. The numbered table is stored; a partition's first index is the number of
+    rows in the partitions before it, which takes one count per sort partition on the driver.
     """
     ids = df.select(F.col(id_col).cast("string").alias("label")).where(F.col("label").isNotNull())
     counted = ids.groupBy("label").agg(F.count(F.lit(1)).alias("frequency"))
     ranked = counted.orderBy(F.col("frequency").desc(), F.col("label").asc())
     stored = materialize(ranked.withColumn("_place", F.monotonically_increasing_id()), "id-order")
-    placed = stored.withColumn("_run", F.shiftright("_place", _ROW_BITS))
 
-    # One row per sort partition, so this window over all of it stays tiny.
-    earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = placed.groupBy("_run").agg(F.count(F.lit(1)).alias("_rows"))
-    starts = runs.select("_run", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    run = F.shiftright("_place", _ROW_BITS).cast("int")
+    runs = stored.groupBy(run.alias("run")).agg(F.count(F.lit(1)).alias("rows"), _widest()).collect()
+    rows = {r["run"]: r["rows"] for r in runs}
+    starts, size = [], 0
+    for number in range(max(rows, default=-1) + 1):
+        starts.append(size)
+        size += rows.get(number, 0)
 
-    index = F.col("_start") + F.col("_place").bitwiseAND(F.lit(_ROW_MASK))
-    frame = placed.join(F.broadcast(starts), "_run").select("label", "frequency", index.alias("index"))
-    return IdDictionary(frame, stored.count())
+    first = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), run)
+    index = first + F.col("_place").bitwiseAND(F.lit(_ROW_MASK))
+    frame = stored.select("label", "frequency", index.alias("index"))
+    return IdDictionary(frame, size, max((r["widest"] for r in runs), default=0))
 
 
 def save_dictionary(dictionary: IdDictionary, path: str) -> None:
@@ -93,4 +106,5 @@ def save_dictionary(dictionary: IdDictionary, path: str) -> None:
 
 def load_dictionary(spark: SparkSession, path: str) -> IdDictionary:
     frame = spark.read.schema("label STRING, frequency BIGINT, index BIGINT").parquet(path)
-    return IdDictionary(frame, frame.count())
+    facts = frame.agg(F.count(F.lit(1)).alias("size"), _widest()).first()
+    return IdDictionary(frame, facts["size"], facts["widest"] or 0)

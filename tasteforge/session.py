@@ -17,6 +17,14 @@ SESSION_DEFAULTS = {
 }
 
 
+def shuffle_partitions(shuffled_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
+    """How many reduce partitions keep each near ``target_bytes``; AQE merges those that turn out small.
+
+    Never fewer than two per core, and no more than 100,000, which the driver still tracks well.
+    """
+    return max(2 * cores, min(100_000, -(-shuffled_bytes // target_bytes)))
+
+
 def build_session(app_name: str = "tasteforge", conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the defaults above; the master comes from spark-submit unless ``conf`` sets it."""
     builder = SparkSession.builder.appName(app_name)
@@ -40,12 +48,22 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _intermediates(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tasteforge-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The stored table cuts the lineage: it outlives any executor, is not recomputed by the
     several jobs that read it, and row numbers given before the write stay fixed.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_intermediates(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete every table this application materialized. Call it when no result depends on them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_intermediates(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

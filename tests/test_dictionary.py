@@ -55,6 +55,21 @@ def test_unseen_and_null_ids_are_skipped(spark, broadcast_rows):
     assert {tuple(r) for r in dictionary.encode(asked, "id", "i", broadcast_rows).collect()} == {("a", 0), ("b", 1)}
 
 
+def test_empty_input_gives_an_empty_dictionary(spark):
+    nothing = spark.createDataFrame([(None,)], "id STRING")
+    dictionary = fit_dictionary(nothing, "id")
+    assert (dictionary.size, dictionary.widest, dictionary.frame.count()) == (0, 0, 0)
+    assert dictionary.encode(nothing, "id", "i").isEmpty()
+
+
+def test_broadcast_is_bounded_in_bytes_too(spark, plan):
+    wide = spark.range(50).selectExpr("repeat(string(id), 1 << 20) AS id")
+    dictionary = fit_dictionary(wide, "id")
+    assert dictionary.widest == 2 << 20
+    assert "LeftAnti" in plan(dictionary.encode(wide, "id", "i"))  # 50 rows, but too many bytes
+    assert dictionary.encode(wide, "id", "i").select("i").distinct().count() == 50
+
+
 def test_heavy_ids_stay_out_of_the_shuffle(spark, skewed, plan):
     text = plan(fit_dictionary(skewed, "user").encode(skewed, "user", "i", broadcast_rows=10))
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "CartesianProduct" not in text
@@ -64,5 +79,5 @@ def test_save_and_load(spark, skewed, tmp_path):
     dictionary = fit_dictionary(skewed, "user")
     save_dictionary(dictionary, str(tmp_path / "d"))
     loaded = load_dictionary(spark, str(tmp_path / "d"))
-    assert loaded.size == dictionary.size
+    assert (loaded.size, loaded.widest) == (dictionary.size, dictionary.widest)
     assert loaded.frame.exceptAll(dictionary.frame).isEmpty()

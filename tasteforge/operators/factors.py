@@ -111,7 +111,7 @@ def factor_topk(
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    vector = F.col(vector_col).cast("array<double>").alias("vector")
+    vector = F.col(vector_col).alias("vector")
     ident = F.col(id_col).cast("bigint").alias("id")
     left = users.select(ident, vector, block_of(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
     right = items.select(ident, vector, every(user_blocks).alias("ub"), block_of(item_blocks).alias("ib"))
@@ -135,7 +135,9 @@ def _cell_scorer(k: int, dim: int, decimals: int | None):
         vectors = table["vector"].combine_chunks()
         if isinstance(vectors, pa.ChunkedArray):
             vectors = pa.concat_arrays(vectors.chunks)
-        return ids, vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
+        # Single-precision vectors travel as they are and are only widened here.
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return ids, flat.reshape(len(ids), dim)
 
     def score(users: pa.Table, items: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []

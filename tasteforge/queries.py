@@ -34,11 +34,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _register(sql: str | None = None) -> Callable[[Query], Query]:
+def _register(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register under ``name``, or under the function's own name where no operator bears it."""
+
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
+        key = name or query.__name__
+        QUERIES[key] = query
         if sql is not None:
-            ORACLES[query.__name__] = sql
+            ORACLES[key] = sql
         return query
 
     return add
@@ -79,7 +82,7 @@ def left_join_reviews(spark, sf_dir):
            round(ln(1 + d.n_chars) * CASE WHEN l.quality = 1 THEN 1.5 WHEN l.quality <> 1 THEN 0.5 ELSE 1 END, 6)
                AS interaction_score
     FROM documents d LEFT JOIN labels l USING (doc_id)
-""")
+""", name="hybrid_score")
 def hybrid_score_by_review(spark, sf_dir):
     joined = left_join_feedback(*_labelled_documents(spark, sf_dir), keys=["doc_id"])
     score = hybrid_score(F.col("n_chars"), F.col("voted_up"))
@@ -125,7 +128,7 @@ def unknown_users(spark, sf_dir):
 @_register("""
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
-""")
+""", name="latest_per_key")
 def latest_per_user(spark, sf_dir):
     return latest_per_key(_table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id"])
 
@@ -141,7 +144,7 @@ def latest_with_ties(spark, sf_dir):
 @_register(r"""
     SELECT doc_id, trim(regexp_replace(text, '[\r\n]+', ' ', 'g'), ' ') AS review_text FROM documents
     WHERE length(trim(regexp_replace(text, '[\r\n]+', ' ', 'g'), ' ')) >= 10
-""")
+""", name="clean_text")
 def cleaned_texts(spark, sf_dir):
     texts = _table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("review_text"))
     return texts.where(long_enough(F.col("review_text")))
@@ -159,7 +162,7 @@ def _lines():
     WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
     r AS (SELECT doc_id, unnest(range(len(lines))) AS i, unnest(lines) AS line FROM l)
     SELECT doc_id, i::INT AS line_no, length(line)::INT AS n_chars FROM r WHERE length(line) > 0
-""")
+""", name="explode_items")
 def exploded_items(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("doc_id", _lines().alias("lines"))
     fields = {"line_no": "line_no", "n_chars": "n_chars"}
@@ -537,12 +540,12 @@ _CATALOGUE = """WITH sold AS (SELECT l_partkey, sum(l_quantity) AS ccu FROM line
 
 
 @_register(f"{_CATALOGUE} SELECT appid, tag, ccu FROM popular")
-def topn_global(spark, sf_dir):
+def top_n_global(spark, sf_dir):
     return top_n(_catalogue(spark, sf_dir), worklists.TOP_GLOBAL, "ccu", "appid")
 
 
-@_register(f"{_CATALOGUE} SELECT appid, tag, ccu FROM tagged")
-def topn_tagged(spark, sf_dir):
+@_register(f"{_CATALOGUE} SELECT appid, tag, ccu FROM tagged", name="top_n_tagged")
+def top_n_tagged_parts(spark, sf_dir):
     return top_n_tagged(_catalogue(spark, sf_dir), "ECONOMY", worklists.TOP_TAGGED, "ccu", "appid", "tag")
 
 
@@ -554,7 +557,7 @@ def _seed_lists(spark: SparkSession, sf_dir: str) -> worklists.SeedLists:
 @_register(f"""
     {_CATALOGUE} SELECT appid::VARCHAR AS app_id FROM popular UNION SELECT appid::VARCHAR FROM tagged
 """)
-def union_distinct_topn(spark, sf_dir):
+def union_distinct_top_n(spark, sf_dir):
     return _seed_lists(spark, sf_dir).combined
 
 
@@ -607,7 +610,7 @@ def quota_take(spark, sf_dir):
 
 @_register("""
     SELECT o_orderkey, ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT % 100 < 80 AS in_train FROM orders
-""")
+""", name="hash_split")
 def hash_split_orders(spark, sf_dir):
     train, test = hash_split(_table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
     return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
@@ -628,7 +631,7 @@ def rmse_by_sql(spark, sf_dir):
           FROM v u CROSS JOIN v i)
     SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id)::INT AS "rank"
     FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) <= 5
-""")
+""", name="factor_topk")
 def factor_top5(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     dim = len(vectors.select("embedding").first()["embedding"])
@@ -642,7 +645,7 @@ def als_holdout(spark, sf_dir):
     return train_and_evaluate(matrix).error
 
 
-@_register()
+@_register(name="recommend_topk")
 def recommend_all(spark, sf_dir):
     tables = _gold(spark, sf_dir)
     bundle = ModelBundle("query", fit_als(materialize(tables.matrix, "matrix")), tables.users, tables.items)

@@ -9,8 +9,8 @@ import __spark_entry__
 
 SF = Path("/root/testdata/sf0.001")
 QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-NO_SQL = {"als_holdout", "recommend_all"}
-IN_PYTHON = {"factor_top5", "recommend_all"}
+NO_SQL = {"als_holdout", "recommend_topk"}
+IN_PYTHON = {"factor_topk", "recommend_topk"}
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables here")
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.operators.dictionary import load_dictionary
@@ -50,13 +51,12 @@ def run_training(
 ) -> ModelBundle:
     """Train on the gold matrix and save model and dictionaries as one bundle; returns it as stored."""
     matrix = read_table(spark, table_path(base_path, "ml_interaction_matrix"), schemas.GOLD_MATRIX)
+    users = load_dictionary(spark, table_path(base_path, "user_dictionary"))
+    items = load_dictionary(spark, table_path(base_path, "item_dictionary"))
+    last = matrix.agg(F.max("user_index").alias("user"), F.max("item_index").alias("item")).first()
+    if last["user"] is None or last["user"] >= users.size or last["item"] >= items.size:
+        raise ValueError("the matrix is empty or was not numbered by the stored dictionaries; run gold again")
     trained = train_and_evaluate(matrix, settings, split)
-    bundle = ModelBundle(
-        run_id=run_id or uuid.uuid4().hex,
-        als=trained.model,
-        users=load_dictionary(spark, table_path(base_path, "user_dictionary")),
-        items=load_dictionary(spark, table_path(base_path, "item_dictionary")),
-        rmse=trained.error.first()["rmse"],
-    )
+    bundle = ModelBundle(run_id or uuid.uuid4().hex, trained.model, users, items, trained.error.first()["rmse"])
     save_bundle(bundle, base_path)
     return load_bundle(spark, base_path, bundle.run_id)

@@ -125,6 +125,15 @@ def test_bundle_round_trip_and_mixed_parts(spark, base, bundle):
         load_bundle(spark, base, "second")
 
 
+def test_training_refuses_a_matrix_of_another_run(spark, base, bundle, tmp_path):
+    copy = str(tmp_path)
+    for table in ("ml_interaction_matrix", "item_dictionary"):
+        read_table(spark, table_path(base, table)).write.parquet(table_path(copy, table))
+    read_table(spark, table_path(base, "user_dictionary")).limit(3).write.parquet(table_path(copy, "user_dictionary"))
+    with pytest.raises(ValueError, match="run gold again"):
+        run_training(spark, copy)
+
+
 def test_recommendations(spark, base, bundle):
     lists, unserved = run_recommend(spark, base, ["u3", "idle", "u5", "u3"], k=3, run_id="first")
     rows = lists.collect()

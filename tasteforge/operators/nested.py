@@ -16,13 +16,16 @@ def pick_fields(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(path).alias(name) for name, path in fields.items()])
 
 
-def parse_once(df: DataFrame, value: Column, name: str, keep: Callable[[Column], Column]) -> DataFrame:
-    """Add the column ``name`` and drop the rows whose value fails ``keep``.
+def compute_once(df: DataFrame, value: Column, name: str, keep: Callable[[Column], Column]) -> DataFrame:
+    """Add or replace the column ``name`` and drop the rows whose value fails ``keep``.
 
-    For costly values, such as parsed JSON. A filter over a projected value would be pushed below the
-    projection and work the value out a second time; an explode of zero or one elements is not.
+    For costly values, such as parsed JSON or replaced text. A filter over a projected value would be pushed
+    below the projection and work the value out a second time; an explode of zero or one elements is not.
     """
-    return df.select("*", F.explode(F.filter(F.array(value), keep)).alias(name))
+    # The lambda hides any further parameter of keep, which filter would take for the element's position.
+    result = F.explode(F.filter(F.array(value), lambda v: keep(v))).alias(name)
+    others = [result if c == name else F.col(c) for c in df.columns]
+    return df.select(*others) if name in df.columns else df.select(*others, result)
 
 
 def explode_items(
@@ -39,7 +42,7 @@ def explode_items(
     ``keep`` filters the elements inside the array, before any row exists for them: a filter above
     the explode could not pass below it. NULL and empty arrays give no row unless ``outer``.
     """
-    items = F.col(array_col) if keep is None else F.filter(F.col(array_col), keep)
+    items = F.col(array_col) if keep is None else F.filter(F.col(array_col), lambda item: keep(item))
     explode = F.explode_outer if outer else F.explode
     if isinstance(fields, str):
         return df.select(*carry, explode(items).alias(fields))

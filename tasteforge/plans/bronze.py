@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.functions.parsing import lenient_double, or_empty, truthy, utc_stamp
-from tasteforge.operators.nested import map_rows, parse_once
+from tasteforge.operators.nested import map_rows, compute_once
 
 
 def _stamp(ingested_at: Column | None) -> Column:
@@ -22,7 +22,7 @@ def shape_libraries(
 ) -> DataFrame:
     """Owned-items payloads to user profiles; private and empty libraries are dropped."""
     response = F.from_json(payload, schemas.LIBRARY_PAYLOAD).getField("response")
-    parsed = parse_once(raw, response, "response", lambda r: F.size(r["games"]) > 0)
+    parsed = compute_once(raw, response, "response", lambda r: F.size(r["games"]) > 0)
     games = F.transform(
         "response.games",
         lambda g: F.struct(
@@ -50,7 +50,7 @@ def shape_metadata(
     """App-details envelopes, keyed by app id, to metadata documents; unsuccessful ones are dropped."""
     app_id = F.col(id_col).cast("string")
     envelope = F.try_element_at(F.from_json(payload, schemas.METADATA_PAYLOAD), app_id)
-    opened = parse_once(raw, envelope, "envelope", lambda e: e["success"])
+    opened = compute_once(raw, envelope, "envelope", lambda e: e["success"])
     data = F.col("envelope.data")
     fields = [or_empty(data.getField(name), ddl).alias(name) for name, ddl in schemas.METADATA_FIELDS.items()]
     return opened.select(_stamp(ingested_at), app_id.alias("app_id"), F.struct(*fields).alias("metadata"))
@@ -69,7 +69,7 @@ def shape_reviews(
     language still gives a document, with an empty array.
     """
     answer = F.from_json(payload, schemas.REVIEWS_PAYLOAD)
-    parsed = parse_once(raw, answer, "answer", lambda a: truthy(a["success"]) & (F.size(a["reviews"]) > 0))
+    parsed = compute_once(raw, answer, "answer", lambda a: truthy(a["success"]) & (F.size(a["reviews"]) > 0))
     wanted = F.filter("answer.reviews", lambda r: r["language"] == language)
     reviews = F.transform(
         wanted,

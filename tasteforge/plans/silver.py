@@ -52,14 +52,17 @@ def silver_reviews(
     A review that falls to the length filter takes its vote with it.
     """
     latest = latest_per_key(reviews, keys, "ingested_at", tie_breakers)
-    rows = explode_items(
-        latest,
+    # Cleaned and filtered inside the array: once per text, and no row for a text that falls.
+    cleaned = latest.withColumn(
+        "reviews", F.transform("reviews", lambda r: r.withField("review_text", clean_text(r["review_text"])))
+    )
+    return explode_items(
+        cleaned,
         "reviews",
         {c: c for c in ("review_id", "steam_id", "playtime_minutes", "voted_up", "weighted_score", "review_text")},
+        keep=lambda r: long_enough(r["review_text"]),
         carry=("app_id",),
     )
-    cleaned = rows.withColumn("review_text", clean_text(F.col("review_text")))
-    return cleaned.where(long_enough(F.col("review_text")))
 
 
 _JOBS = {

@@ -18,7 +18,7 @@ from tasteforge.operators.dictionary import IdDictionary, fit_dictionary
 from tasteforge.operators.factors import factor_topk, fit_als
 from tasteforge.operators.joins import enrich, left_join_feedback, missing_keys
 from tasteforge.operators.latest import latest_per_key
-from tasteforge.operators.nested import explode_items, pick_fields
+from tasteforge.operators.nested import compute_once, explode_items, pick_fields
 from tasteforge.operators.splits import hash_split, rmse
 from tasteforge.operators.topn import distinct_ids, top_n, top_n_tagged
 from tasteforge.plans import bronze, gold, silver, worklists
@@ -146,8 +146,8 @@ def latest_with_ties(spark, sf_dir):
     WHERE length(trim(regexp_replace(text, '[\r\n]+', ' ', 'g'), ' ')) >= 10
 """, name="clean_text")
 def cleaned_texts(spark, sf_dir):
-    texts = _table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("review_text"))
-    return texts.where(long_enough(F.col("review_text")))
+    texts = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text"))
+    return compute_once(texts, clean_text(F.col("review_text")), "review_text", long_enough)
 
 
 def _lines():

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tasteforge.operators.nested import explode_items, map_rows, parse_once, pick_fields
+from tasteforge.operators.nested import explode_items, map_rows, compute_once, pick_fields
 
 LIBRARY = "user STRING, games ARRAY<STRUCT<appid: BIGINT, minutes: BIGINT>>"
 
@@ -43,8 +43,19 @@ def test_map_values_to_rows(spark):
     assert sorted(r.v for r in map_rows(df, "m", {"v": "v"}).collect()) == [1, 2]
 
 
-def test_parse_once_parses_once(spark, plan):
+def test_compute_once_replaces_in_place(spark, plan):
+    df = spark.createDataFrame([(1, "a\nb", 2), (2, "\n", 3), (3, None, 4)], "id INT, t STRING, n INT")
+    cleaned = compute_once(df, F.regexp_replace("t", "\n", ""), "t", lambda t: F.length(t) > 0)
+    assert cleaned.columns == ["id", "t", "n"]
+    assert [tuple(r) for r in cleaned.collect()] == [(1, "ab", 2)]
+    assert plan(cleaned).count("regexp_replace") == 1
+
+    long_enough_by_default = compute_once(df, F.upper("t"), "t", lambda t, n=3: F.length(t) >= n)
+    assert [r.t for r in long_enough_by_default.collect()] == ["A\nB"]
+
+
+def test_compute_once_parses_once(spark, plan):
     df = spark.createDataFrame([('{"n": 1}',), ('{"n": 0}',), ("junk",), (None,)], "payload STRING")
-    parsed = parse_once(df, F.from_json("payload", "n INT"), "p", lambda p: p["n"] > 0)
+    parsed = compute_once(df, F.from_json("payload", "n INT"), "p", lambda p: p["n"] > 0)
     assert [r.p.n for r in parsed.collect()] == [1]
     assert plan(parsed.select(F.col("p.n") + 1)).count("from_json") == 1

@@ -41,6 +41,34 @@ def test_stored_sides_join_as_bare_exchanges(spark, tmp_path, plan):
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2 and "Aggregate" not in text
 
 
+def test_a_heavy_key_is_split_at_run_time(spark, tmp_path, plan):
+    """One pair holds a third of the interactions; sizes are shrunk so that small files count as skew."""
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 'hot', string(id)) steam_id", "IF(id % 3 = 0, '7', string(id)) app_id", "repeat(md5(string(id)), 8) pad"
+    )
+    rows.write.parquet(str(tmp_path / "played"))
+    rows.selectExpr("steam_id", "app_id", "true voted_up").distinct().write.parquet(str(tmp_path / "reviews"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        played, reviews = (spark.read.parquet(str(tmp_path / name)) for name in ("played", "reviews"))
+        joined = left_join_feedback(played, reviews)
+        result = joined.collect()
+        assert len(result) == 60_000 and all(r.voted_up for r in result)
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_enrich_keeps_items_without_metadata(spark):
     recs = spark.createDataFrame([(400, 2.0), (7, 1.0)], "app_id BIGINT, score DOUBLE")
     metadata = spark.createDataFrame([("400", "name")], "app_id STRING, game_name STRING")

@@ -53,11 +53,11 @@ def unserved_users(bundle: ModelBundle, asked: DataFrame) -> DataFrame:
     """(steam_id, reason) for asked users who get no list: never seen, or held out of training."""
     ids = asked.select("steam_id").distinct()
     seen = bundle.users.encode(ids, "steam_id", "id")
-    unknown = ids.join(seen.select("steam_id"), "steam_id", "left_anti").select("steam_id", F.lit("unknown").alias("reason"))
-    held_out = seen.join(bundle.als.userFactors.select("id"), "id", "left_anti").select(
-        "steam_id", F.lit("no factors").alias("reason")
+    unknown = ids.join(seen.select("steam_id"), "steam_id", "left_anti")
+    held_out = seen.join(bundle.als.userFactors.select("id"), "id", "left_anti").select("steam_id")
+    return unknown.withColumn("reason", F.lit("unknown")).unionByName(
+        held_out.withColumn("reason", F.lit("no factors"))
     )
-    return unknown.unionByName(held_out)
 
 
 def run_recommend(

@@ -198,7 +198,8 @@ def nested_project(spark, sf_dir):
 def array_field(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("doc_id", _lines().alias("lines"))
     lengths = pick_fields(documents, {"doc_id": "doc_id", "n_chars": "lines.n_chars"})
-    return lengths.select("doc_id", F.array_join(F.col("n_chars").cast("array<string>"), ",").alias("line_lengths"))
+    as_text = F.array_join(F.col("n_chars").cast("array<string>"), ",")
+    return lengths.select("doc_id", as_text.alias("line_lengths"))
 
 
 @_register("""
@@ -282,8 +283,8 @@ def shape_friends(spark, sf_dir):
     visible = F.to_json(_struct(friendslist=_struct(friends=friends)))
     payload = F.when(F.col("o_orderstatus") == "P", F.lit("{}")).otherwise(visible)
     raw = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("steam_id"), payload.alias("payload"))
-    shaped = bronze.shape_friends(raw)
-    return shaped.select("steam_id", F.size("friends").alias("n_friends"), F.array_join("friends", ",").alias("friends"))
+    friends = F.array_join("friends", ",").alias("friends")
+    return bronze.shape_friends(raw).select("steam_id", F.size("friends").alias("n_friends"), friends)
 
 
 @_register("""
@@ -400,7 +401,9 @@ def silver_metadata(spark, sf_dir):
         categories=F.array().cast("array<struct<description: string>>"),
     )
     documents = _table(spark, sf_dir, "part").select(
-        F.col("p_name").alias("app_id"), F.lpad(_text("p_partkey"), 19, "0").alias("ingested_at"), metadata.alias("metadata")
+        F.col("p_name").alias("app_id"),
+        F.lpad(_text("p_partkey"), 19, "0").alias("ingested_at"),
+        metadata.alias("metadata"),
     )
     flat = silver.silver_metadata(documents)
     return flat.withColumns({c: F.array_join(c, ",") for c in ("genres", "categories")})

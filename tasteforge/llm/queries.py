@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
+from tasteforge.llm.neardup import near_duplicates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +37,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(docs, vocabulary()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; four-word shingles, 80 per cent."""
+    return near_duplicates(table(spark, sf_dir, "documents"))

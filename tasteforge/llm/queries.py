@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
 from tasteforge.llm.neardup import near_duplicates
+from tasteforge.llm.substrings import remove_repeated
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +44,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; four-word shingles, 80 per cent."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed and the digest of the kept words; windows of 20 words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated(docs, single_space=True).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )

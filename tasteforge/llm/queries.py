@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
+from tasteforge.llm.decontaminate import flag_contaminated
 from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm.substrings import remove_repeated
 
@@ -53,3 +54,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(docs, single_space=True).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, contaminated, item_ids, coverage and exact for every document, against all benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return flag_contaminated(docs, table(spark, sf_dir, "benchmark"))

@@ -82,9 +82,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words_of(column: pa.Array, lower: bool = False) -> Words:
     """The words of every text; ``lower`` folds A-Z only."""
     data, offsets = text_bytes(column)
+    return words_in(_LOWER[data] if lower else data, offsets)
+
+
+def words_in(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
     n = len(data)
-    if lower:
-        data = _LOWER[data]
     inside = np.empty(n + 1, dtype=bool)
     np.logical_not(_SPACE[data], out=inside[:n])
     inside[n] = False

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
 from tasteforge.llm.decontaminate import flag_contaminated
+from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
 from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm.substrings import remove_repeated
 
@@ -61,3 +62,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, contaminated, item_ids, coverage and exact for every document, against all benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return flag_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score; learned from the documents that are not held out."""
+    docs, cfg = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), Kernel()
+    model = fit(*training_sample(docs.where(~held_out("doc_id", 3, 1)), cfg), cfg)
+    return identify(docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out")), model, cfg)

@@ -31,7 +31,7 @@ class Kernel:
     give ``landmarks`` landmarks, and ``ridge`` is the penalty. n-grams are hashed to 2**``bits`` places."""
 
     longest: int = 4
-    bits: int = 16
+    bits: int = 15
     piece: int = 4096
     per_language: int = 150
     landmarks: int = 256
@@ -71,18 +71,20 @@ def pieces(texts: list[str | None], cfg: Kernel) -> tuple[list[np.ndarray], np.n
 
 def presence(parts: list[np.ndarray], cfg: Kernel) -> np.ndarray:
     """A row per piece: 1 / root of the number of places with an n-gram there, 0 elsewhere."""
-    rows = np.zeros((len(parts), 1 << cfg.bits), dtype=np.float32)
+    marks = np.zeros(len(parts) << cfg.bits, dtype=np.uint8)
+    codes = np.concatenate(parts)
+    row = np.repeat(np.arange(len(parts), dtype=np.int64) << cfg.bits, [len(p) for p in parts])
     shift = np.uint32(32 - cfg.bits)
-    for row, codes in zip(rows, parts, strict=True):
-        gram = codes * np.uint32(0x9E3779B1)
-        for n in range(1, cfg.longest + 1):
-            if n > 1:
-                if len(codes) < n:
-                    break
-                gram = (gram[:-1] ^ (gram[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + codes[n - 1 :] * np.uint32(0xC2B2AE35)
-            row[((gram ^ (gram >> np.uint32(13))) * np.uint32(0x27D4EB2F)) >> shift] = 1
-        row *= 1 / np.sqrt(max(1.0, np.count_nonzero(row)))
-    return rows
+    gram = codes * np.uint32(0x9E3779B1)
+    for n in range(1, cfg.longest + 1):
+        if n > 1:
+            gram = (gram[:-1] ^ (gram[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            gram += codes[n - 1 :] * np.uint32(0xC2B2AE35)
+        place = row[: len(gram)] + (((gram ^ (gram >> np.uint32(13))) * np.uint32(0x27D4EB2F)) >> shift)
+        marks[place[row[: len(gram)] == row[n - 1 :]]] = 1  # grams over the end of a piece are none
+    marks = marks.reshape(len(parts), -1)
+    sizes = np.array([np.count_nonzero(m) for m in marks], dtype=np.float32)
+    return marks * (1 / np.sqrt(np.maximum(sizes, 1)))[:, None]
 
 
 @dataclass
@@ -122,7 +124,7 @@ def fit(texts: list[str | None], labels: list[str], cfg: Kernel) -> Model:
     return Model(names, (project @ solved).astype(np.float32), (offset - mean @ solved).astype(np.float32))
 
 
-def score_texts(texts: list[str | None], model: Model, cfg: Kernel, batch: int = 64) -> tuple[list[str], np.ndarray]:
+def score_texts(texts: list[str | None], model: Model, cfg: Kernel, batch: int = 32) -> tuple[list[str], np.ndarray]:
     """Predicted language and its softmax share per text; ties go to the first language in order."""
     parts, owner = pieces(texts, cfg)
     totals, weight = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))

@@ -138,7 +138,7 @@ def starts_of_grams(words: Words, k: int) -> np.ndarray:
     return np.flatnonzero(words.doc[:n] == words.doc[k - 1 :])
 
 
-def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a slice holds about ``max_bytes`` of text, or one longer text."""
     if not batch.num_rows:
         return

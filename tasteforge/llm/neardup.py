@@ -10,8 +10,11 @@ s = 0.8 and the defaults 0.0006, less above.
 2. Half keys met once cannot make a shared table key. They are dropped before the pairs of halves are formed.
 3. In each bucket every member is compared with one pivot (a star, never all pairs), links are confirmed on the full
    sets, and components are formed. Buckets inside one component are finished. The next rounds take other pivots.
-4. What is left, buckets that still hold several components, is compared block by block on signatures, across
-   components only; nothing in a bucket is capped. Pairs that may reach the threshold are confirmed on the full sets.
+4. What is left, buckets that still hold several components, is compared block by block, every member with every other,
+   on the full sets, as a product of 0/1 matrices inside the group of a block pair. Only links that join components leave
+   a group, so a group of n near copies never makes n * n rows; nothing in a bucket is capped. Two texts of similarity s
+   meet in about 64 * s**4 of the 64 tables, so three diagonals of the table square (24 tables) do for this step: they
+   miss a link at s = 0.8 with probability 0.001, and only links matter here that no pivot has made.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ class MinHash:
     """Word shingles of ``shingle`` words, linked at ``percent`` / 100 of the union.
 
     ``halves`` half keys of ``per_half`` minimum hashes in each of the two collections. ``block`` members of a bucket
-    make a block of the exact comparison. A pair is looked at in full if at least ``least_equal`` of the
+    make a block of the comparison of what stars leave open. A star's pair is looked at in full if at least ``least_equal`` of the
     ``2 * halves * per_half`` signature places agree: at similarity 0.8 and the defaults, fewer happens with
     probability 0.00007.
     """
@@ -45,8 +48,9 @@ class MinHash:
     halves: int = 8
     per_half: int = 2
     least_equal: int = 16
-    star_rounds: int = 2
-    block: int = 512
+    star_rounds: int = 3
+    diagonals: int = 3
+    block: int = 256
     seed: int = 7
 
 
@@ -125,21 +129,16 @@ def sketches(docs: DataFrame, cfg: MinHash, doc_id: str = "doc_id", text: str =
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, id): a row for every pair of half keys that both stand in more than one class."""
-    halves = classes.select(
-        "id",
-        F.posexplode(F.concat("a", "b")).alias("place", "half"),
-        F.size("a").alias("m"),
-    ).select("id", F.when(F.col("place") < F.col("m"), 0).otherwise(1).alias("side"), "half")
+    """(key, id, diagonal): a row for every pair of half keys that both stand in more than one class."""
+    halves = classes.select("id", F.size("a").alias("m"), F.posexplode(F.concat("a", "b")).alias("place", "half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    met = halves.join(shared, "half")
-    sides = met.groupBy("id").agg(
-        F.collect_list(F.when(F.col("side") == 0, F.col("half"))).alias("a"),
-        F.collect_list(F.when(F.col("side") == 1, F.col("half"))).alias("b"),
+    part = F.struct("place", "half")
+    sides = halves.join(shared, "half").groupBy("id", "m").agg(
+        F.collect_list(F.when(F.col("place") < F.col("m"), part)).alias("a"),
+        F.collect_list(F.when(F.col("place") >= F.col("m"), part)).alias("b"),
     )  # at most m entries each
-    return sides.select("id", "b", F.explode("a").alias("x")).select("id", "x", F.explode("b").alias("y")).select(
-        F.xxhash64("x", "y").alias("key"), "id"
-    )
+    crossed = sides.select("id", "m", "b", F.explode("a").alias("x")).select("id", "m", "x", F.explode("b").alias("y"))
+    return crossed.select(F.xxhash64("x.half", "y.half").alias("key"), "id", F.pmod(F.expr("y.place - x.place"), "m").alias("diagonal"))
 
 
 def pack(hashes: np.ndarray) -> bytes:
@@ -234,35 +233,57 @@ def _open_buckets(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed.select("key"), "key")
 
 
-def _block_pairs(rest: DataFrame, nodes: DataFrame, cfg: MinHash) -> DataFrame:
-    """Distinct plausible pairs across components within buckets, compared block by block.
+def _links_across(packed: list[bytes], comps: np.ndarray, left: np.ndarray, right: np.ndarray, cfg: MinHash) -> list[tuple[int, int]]:
+    """Places of linked members, one link for each two components that a link joins (a spanning forest)."""
+    sizes = np.array([len(p) // 6 for p in packed])
+    _, codes = np.unique(unpack(b"".join(packed)), return_inverse=True)
+    common = np.bincount(codes) > 1
+    number = np.cumsum(common) - 1
+    owner = np.repeat(np.arange(len(packed)), sizes)[common[codes]]
+    codes = number[codes[common[codes]]]
+    order = np.argsort(codes, kind="stable")
+    owner, codes = owner[order], codes[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(codes[-1]) + 1 if len(codes) else 0, 8192):
+        at, to = np.searchsorted(codes, [begin, begin + 8192])
+        rows = np.zeros((len(packed), 8192), np.float32)
+        rows[owner[at:to], codes[at:to] - begin] = 1
+        both += rows[left] @ rows[right].T
+    both = both.astype(np.int64)
+    linked = 100 * both >= cfg.percent * (sizes[left][:, None] + sizes[right][None, :] - both)
+    linked &= comps[left][:, None] != comps[right][None, :]
+    root: dict[int, int] = {}
+    out = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = comps[left[i]].item(), comps[right[j]].item()
+        while a in root:
+            a = root[a]
+        while b in root:
+            b = root[b]
+        if a != b:
+            root[a] = b
+            out.append((left[i], right[j]))
+    return out
+
+
+def _block_links(rest: DataFrame, sets: DataFrame, cfg: MinHash) -> DataFrame:
+    """Links (x, y) that join components within buckets, compared block by block on full sets.
 
     Members of a bucket fall into blocks by the hash of their id; each pair of blocks is a group of its own, so no task
-    holds a bucket, and only pairs that may reach the threshold leave a group.
+    holds a bucket.
     """
     sizes = rest.groupBy("key").agg(F.count("*").alias("m"))
-    rows = rest.join(sizes, "key").join(nodes, "id")
-    rows = rows.withColumn("blocks", F.ceil(F.col("m") / cfg.block).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
+    rows = rest.join(sizes, "key").withColumn("blocks", F.ceil(F.col("m") / cfg.block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")).join(sets, "id")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "component", "n", "signature"
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "component", "set"
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        marks = np.frombuffer(b"".join(group["signature"]), np.uint16).reshape(len(group), -1)
-        ids, comps, sizes, own = (group[c].to_numpy() for c in ("id", "component", "n", "own"))
-        across = group["p"].iloc[0] != group["q"].iloc[0]
-        left = np.flatnonzero(own == group["p"].iloc[0])
-        right = np.flatnonzero(own == group["q"].iloc[0]) if across else left
-        xs, ys = [], []
-        for i in left:
-            to = right[(ids[right] > ids[i]) | across]
-            to = to[(comps[to] != comps[i]) & (np.minimum(sizes[to], sizes[i]) * 100 >= np.maximum(sizes[to], sizes[i]) * cfg.percent)]
-            to = to[(marks[to] == marks[i]).sum(axis=1) >= cfg.least_equal]
-            xs.append(np.minimum(ids[to], ids[i]))
-            ys.append(np.maximum(ids[to], ids[i]))
-        none = np.zeros(0, np.int64)
-        return pd.DataFrame({"x": np.concatenate([*xs, none]), "y": np.concatenate([*ys, none])}).drop_duplicates()
+        ids, comps, own = (group[c].to_numpy() for c in ("id", "component", "own"))
+        left, right = (np.flatnonzero(own == group[c].iloc[0]) for c in ("p", "q"))
+        pairs = _links_across(group["set"].tolist(), comps, left, right, cfg) if comps.min() < comps.max() else []
+        return pd.DataFrame({"x": [ids[i] for i, _ in pairs], "y": [ids[j] for _, j in pairs]}, dtype="int64")
 
     return rows.groupBy("key", "p", "q").applyInPandas(compare, "x long, y long").distinct()
 
@@ -281,7 +302,8 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), doc_id: str = "do
     classes = materialize(
         classes.select("d1", "d2", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), "r.a", "r.b", "r.signature"), "classes"
     )
-    buckets = materialize(_shared_keys(table_keys(classes)), "buckets")
+    keyed = materialize(_shared_keys(table_keys(classes)), "buckets")
+    buckets = keyed.select("key", "id")
     nodes = classes.select("id", "n", "signature")
     # The texts of a repeated doc_id are one node, so its classes are linked from the start.
     mark = F.struct("d1", "d2")
@@ -298,8 +320,8 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), doc_id: str = "do
         pairs = _across(_star_pairs(rest.select("key", "id"), nodes, turn, cfg), found)
         links = materialize(links.union(confirm(pairs, sets, cfg)), "links")
         found = connected_components(links)
-    rest = materialize(_open_buckets(buckets, found), "open")
-    links = links.union(confirm(_block_pairs(rest, nodes, cfg), sets, cfg))
+    rest = materialize(_open_buckets(keyed.where(F.col("diagonal") < cfg.diagonals), found), "open")
+    links = links.union(_block_links(rest, sets, cfg))
     found = connected_components(links)
     roots = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "d1", "d2", F.coalesce("component", "id").alias("component_id")

@@ -72,7 +72,7 @@ def test_random_families_match_brute_force(spark, seed):
 
 def test_blocked_rest_finds_what_stars_do_not(spark):
     rows = corpus(3, 12)
-    cfg = MinHash(star_rounds=1, block=2)
+    cfg = MinHash(star_rounds=1, diagonals=8, block=2)
     assert run(spark, rows, cfg) == brute_force(rows)
 
 

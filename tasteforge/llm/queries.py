@@ -11,6 +11,7 @@ from tasteforge.llm.bpe import round_trip
 from tasteforge.llm.decontaminate import flag_contaminated
 from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
 from tasteforge.llm.neardup import near_duplicates
+from tasteforge.llm import toxicity
 from tasteforge.llm.substrings import remove_repeated
 
 QUERIES: dict = {}
@@ -70,3 +71,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, cfg = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), Kernel()
     model = fit(*training_sample(docs.where(~held_out("doc_id", 3, 1)), cfg), cfg)
     return identify(docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out")), model, cfg)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted; learned from labels of documents that are not held out."""
+    docs, cfg = table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity.Network()
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 4, 2))
+    model = toxicity.train(*toxicity.training_sample(docs, labels, cfg), cfg)
+    scored = toxicity.score_documents(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, cfg)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

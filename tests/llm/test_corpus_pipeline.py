@@ -1,0 +1,94 @@
+"""Each stage of the pipeline against a brute-force version on the smallest tables, and its defined cases."""
+
+import hashlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline as pipeline
+from tasteforge.llm import toxicity
+from tasteforge.llm.queries import vocabulary
+from tests.llm.test_neardup import brute_force as near_brute
+from tests.llm.test_substrings import brute_force as substring_brute
+
+SF = "/root/testdata/sf0.001"
+OWN = " ".join(f"o{i}" for i in range(30))
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    steps, current = {}, docs
+    for name, stage in pipeline.STAGES[:-1]:
+        result = pipeline.materialize(stage(spark, current, SF), name)
+        assert result.columns == docs.columns, name
+        steps[name] = texts(current), texts(result)
+        current = result
+
+    before, after = steps["toxicity"]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    clean = [d for d in before if labels.get(d) == 0]
+    assert after.items() <= before.items() and sum(d in after for d in clean) >= 0.97 * len(clean)
+
+    before, after = steps["near_dedup"]
+    kept = {r[0] for r in near_brute(sorted(before.items()), 5) if r[3]}
+    assert after == {d: before[d] for d in kept}
+
+    before, after = steps["substring_dedup"]
+    expected = {d: " ".join((t or "").encode().decode().split()) for d, t in before.items()}
+    expected |= {d: k for d, n, gone, k in substring_brute(sorted(before.items())) if gone}
+    lost = {d for d, n, gone, k in substring_brute(sorted(before.items())) if n and gone == n}
+    assert {d: " ".join((t or "").split()) for d, t in after.items()} == {d: t for d, t in expected.items() if d not in lost}
+
+    before, after = steps["decontamination"]
+    items = [r.text.lower().split() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    strip = lambda words: ["".join(c for c in w if c.isalnum()) for w in words]
+    for doc, text in before.items():
+        joined = " " + " ".join(w for w in strip((text or "").lower().split()) if w) + " "
+        whole = any(" " + " ".join(w for w in strip(item) if w) + " " in joined for item in items)
+        assert not whole or doc not in after
+        if doc not in after:
+            share = 0
+            for item in items:
+                words = [w for w in strip(item) if w]
+                windows = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+                share = max(share, sum(f" {w} " in joined for w in windows) / len(windows))
+            assert share > 0.4
+
+    library = Tokenizer.from_file(vocabulary())
+    for row in pipeline.encode_and_decode(spark, current, SF).collect():
+        ids = library.encode(after[row.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(row.ids), "<u4").tolist() == ids and row.n_tokens == len(ids)
+        assert hashlib.sha256(row.decoded.encode()).digest() == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).digest()
+
+
+def test_run_is_the_stages_in_order(spark):
+    rows = pipeline.run(spark, SF).select("doc_id", "n_tokens").collect()
+    assert len({r.doc_id for r in rows}) == len(rows) > 100
+
+
+def test_defined_cases(spark, monkeypatch):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    monkeypatch.setattr(pipeline, "TOXIC_FROM", 1.1)  # the texts below are not those the classifier is for
+    long = " ".join(f"p{i}" for i in range(40))
+    rows = [
+        (1, None, "en", "s", None), (2, "", "en", "s", 0), (None, long, None, None, None), (4, long, "en", "s", 1), (4, long, "en", "s", 1),
+        (5, long + " q", "en", "s", 1), (6, OWN + " " + long, "en", None, 1), (7, "! ? " * 3, None, "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    got = {}
+    for name, stage in pipeline.STAGES:
+        docs = pipeline.materialize(stage(spark, docs, SF), name)
+        got[name] = docs.collect()
+        assert stage(spark, docs.limit(0), SF).count() == 0 if name != "bpe" else True
+    ids = {name: sorted(str(r.doc_id) for r in found) for name, found in got.items()}
+    assert ids["near_dedup"].count("4") == 1 and "5" not in ids["near_dedup"]
+    kept = {r.doc_id: r.text for r in got["substring_dedup"]}
+    assert kept[None] == long and kept[4] == long and kept[6] == OWN
+    assert {1, 2} <= {r.doc_id for r in got["bpe"]} and all(r.n_tokens == 0 for r in got["bpe"] if r.doc_id in (1, 2))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
 from tasteforge.llm.decontaminate import flag_contaminated
+from tasteforge.llm.html import extract_text
 from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
 from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm import toxicity
@@ -81,3 +82,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(*toxicity.training_sample(docs, labels, cfg), cfg)
     scored = toxicity.score_documents(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, cfg)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text and n_chars of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages).withColumn("n_chars", F.length("text").cast("long"))

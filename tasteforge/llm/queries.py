@@ -14,6 +14,7 @@ from tasteforge.llm.html import extract_text
 from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
 from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm import toxicity
+from tasteforge.llm.neighbours import nearest
 from tasteforge.llm.substrings import remove_repeated
 
 QUERIES: dict = {}
@@ -102,3 +103,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, turn, role, PROBE_TEXT) for turn, role in PROBE], rows.schema)
     return digest_windows(format_conversations(rows.union(probe)))
+
+
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 20 nearest of each vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, lambda vec_id: vec_id % 20 == 0, 20)

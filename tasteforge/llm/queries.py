@@ -16,6 +16,7 @@ from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm import toxicity
 from tasteforge.llm.neighbours import nearest
 from tasteforge.llm.substrings import remove_repeated
+from tasteforge.llm.urls import Rule, judge_urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,12 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the 20 nearest of each vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, lambda vec_id: vec_id % 20 == 0, 20)
+
+
+URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, template and purity of every page's url."""
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)

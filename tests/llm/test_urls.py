@@ -1,0 +1,83 @@
+import re
+
+from tasteforge.llm.queries import URL_RULES
+from tasteforge.llm.urls import Rule, Tree, judge_urls
+
+
+def by_hand(url, rules=URL_RULES):
+    """(host, path, rule) with plain string functions."""
+    if not url or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    cut = min([i for i in (rest.find(c) for c in "/?#") if i >= 0], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = re.split(r"[?#]", rest[cut:], maxsplit=1)[0]
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.text)).text if fits else None
+
+
+URLS = [
+    "http://a.example.net/en/5?x=/de/", "http://a.example.net/fr/5", "HTTP://WWW.EXAMPLE.COM/de/1#f", "http://example.com/de", "https://x.org/fr/9/",
+    "https://org/fr/", "http://notexample.com/de/1", "http://b.net", "http://b.net?q", "ftp://net/", None, "", "no scheme/net/", "a://b://c.net/d",
+    "http://É.net/é?", "http://h.net#/en/", "http://example.net/EN/1", "\n://x.net/\ny", "http://z.com/" + "s/" * 3000,
+]
+
+
+def judged(spark, urls, rules=URL_RULES, cfg=Tree()):
+    df = spark.createDataFrame([(i, u, "h", 2) for i, u in enumerate(urls)], "page_id long, url string, host string, n int")
+    got = judge_urls(df, rules, cfg)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
+    found = {r.page_id: r for r in got.collect()}
+    assert len(found) == len(urls)
+    return found
+
+
+def test_rules_match_a_plain_reading(spark):
+    found = judged(spark, URLS)
+    verdicts = {r.text: r.verdict for r in URL_RULES}
+    for i, url in enumerate(URLS):
+        row = found[i]
+        assert (row.host, row.path, row.rule) == by_hand(url), url
+        assert row.rule is None or row.verdict == verdicts[row.rule]
+        assert row.verdict in ("allow", "block") and 0 < row.purity < 1
+
+
+def test_templates_generalise_merge_and_reject(spark):
+    rules = [Rule("block", "shop.x", "/ads/a"), Rule("allow", "shop.x", "/item/1"), Rule("block", "shop.x", "/old/a"), Rule("allow", "shop.x", "/old/b")]
+    urls = [f"http://shop.x/ads/{c}{i}" for i in range(20) for c in "ab"] + [f"http://shop.x/item/{i}" for i in range(100, 140)]
+    urls += [f"http://shop.x/old/{c}{i}" for i in range(10) for c in "ab"] + ["http://shop.x/new/q7", "http://other.x/ads/b1"]
+    found = {u: r for u, r in zip(urls, (v for _, v in sorted(judged(spark, urls, rules).items())), strict=True)}
+    assert found["http://shop.x/ads/b3"].rule is None
+    assert found["http://shop.x/ads/a3"].template == "/ads/a{n}" and found["http://shop.x/ads/a3"].purity > 0.9
+    assert found["http://shop.x/item/123"].verdict == "allow" and found["http://shop.x/new/q7"].verdict == "allow"
+    assert found["http://other.x/ads/b1"].purity == 0.5
+    # Under one wildcard, urls without a rule share the verdict of the labelled ones.
+    names = [f"n{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(5)]
+    rules = [Rule("block", "spam.x", f"/go/{n}") for n in names[:60]]
+    urls = [f"http://spam.x/go/{n}/{i}" for n in names for i in range(5)]
+    found = {u: r for u, r in zip(urls, (v for _, v in sorted(judged(spark, urls, rules).items())), strict=True)}
+    assert {r.template for r in found.values() if r.rule} == {"/{any}/{rated}/{n}"} or all(r.verdict == "block" for r in found.values() if r.rule)
+    assert all(r.verdict == "allow" for r in found.values() if not r.rule)
+
+
+def test_purity_matches_brute_force(spark):
+    """Without merging or wildcards but numbers, purity is the smoothed share of each host's normalised path."""
+    rules = [Rule("block", "a.x", "/p/1"), Rule("allow", "a.x", "/q/")]
+    urls = [f"http://a.x/p/{i}" for i in range(60)] + [f"http://a.x/q/{i}" for i in range(30)] + ["http://a.x/r", "http://b.x/p/1"]
+    found = judged(spark, urls, rules, Tree(z=0.0))
+    groups = {}
+    for i, u in enumerate(urls):
+        key = found[i].host, re.sub("[0-9]+", "#", found[i].path)
+        groups.setdefault(key, []).append(i)
+    for members in groups.values():
+        labelled = [i for i in members if found[i].rule]
+        blocked = [i for i in labelled if found[i].rule == "a.x/p/1"]
+        assert all(abs(found[i].purity - (len(blocked) + 2) / (len(labelled) + 4)) < 1e-12 for i in members)
+
+
+def test_empty_and_repeated(spark):
+    df = spark.createDataFrame([], "page_id long, url string")
+    assert judge_urls(df, URL_RULES).count() == 0
+    df = spark.createDataFrame([(None, "http://a.net/1"), (None, "http://a.net/1")], "page_id long, url string")
+    assert [r.verdict for r in judge_urls(df, URL_RULES).collect()] == ["block", "block"]
+    assert [r.rule for r in judge_urls(df, []).collect()] == [None, None]

@@ -9,8 +9,9 @@ parsed against every block that can hold a part of it:
    fixed number of bits, which every task gets; a wrong bit costs work only.
 2. A second pass sends, for every anchor occurrence that passes the bitmap, the hashes of its windows to the anchor's
    block. There each window is matched with its first occurrence in corpus order. Neighbouring windows whose sources are
-   neighbours too make a run. Blocks of frequent anchors, found by a second bitmap, are worked off window by window with
-   partial minima and joins, so no task holds them.
+   neighbours too make a run. Blocks of frequent anchors, found by a second bitmap, are dealt out over 64 parts. In a part,
+   occurrences with the same windows lie together and all but the first are runs at once; only the first ones meet those
+   of other parts, window by window, with partial minima and joins. So no task holds such a block.
 3. Per document the runs are joined greedily, left to right, into factors (start, length, source). A window that lies
    over a factor's boundary has been looked up by its own hash like any other, so parsing into factors hides nothing.
 
@@ -134,19 +135,25 @@ def _occurrences(texts: DataFrame, repeated: np.ndarray, heavy: np.ndarray, cfg:
 
 
 def _match_blocks(occurrences: DataFrame) -> DataFrame:
-    """Runs (n > 0) of light blocks, and single windows (n = 0, hash in ``window``) of heavy ones.
+    """Runs (n > 0), and from heavy blocks single windows (n = 0, hash in ``window``) that other parts may have, too.
 
-    A light block has ``heavy`` occurrences at most but for wrong bits, which only make it heavy.
+    A light block has ``heavy`` occurrences at most but for wrong bits, which only make it heavy. Of a heavy one, nothing
+    but the last distinct occurrence is held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen = None, {}
+        current, seen, leader = None, {}, None
         for batch in batches:
             rows = []
             anchors, salts, docs, tags, starts = (batch.column(i).to_pylist() for i in range(5))
             for a, salt, doc, tag, start, packed in zip(anchors, salts, docs, tags, starts, batch.column(5), strict=True):
                 hashes = np.frombuffer(packed.as_buffer(), np.int64).tolist()
                 if salt >= 0:
+                    if leader and leader[:2] == (a, salt) and leader[2] == hashes:
+                        if leader[3:5] != (doc, tag) or leader[5] != start:
+                            rows.append((doc, tag, start, len(hashes), *leader[3:], 0))
+                        continue
+                    leader = (a, salt, hashes, doc, tag, start)
                     rows += [(doc, tag, start + i, 0, doc, tag, start + i, h) for i, h in enumerate(hashes)]
                     continue
                 if a != current:
@@ -166,7 +173,7 @@ def _match_blocks(occurrences: DataFrame) -> DataFrame:
             names = ["doc", "tag", "start", "n", "ref_doc", "ref_tag", "ref_start", "window"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    order = ["a", "salt", "doc", "tag", "start"]
+    order = ["a", "salt", F.when(F.col("salt") >= 0, F.col("windows")), "doc", "tag", "start"]
     return occurrences.repartition("a", "salt").sortWithinPartitions(*order).mapInArrow(run, RUN)
 
 

@@ -15,6 +15,25 @@ def lenient_double(text: Column, default: float = 0.0) -> Column:
     return F.coalesce(as_number, F.lit(default))
 
 
+def whole_number(text: Column) -> Column:
+    """Text of a number to bigint, fractions cut off; NULL for anything else and for what does not fit."""
+    exact = F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
+    other = F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("bigint"))
+    return F.coalesce(exact, other)
+
+
+def flag(text: Column) -> Column:
+    """Text of true, false, 1 or 0 to boolean; NULL for anything else."""
+    folded = F.lower(F.trim(text))
+    return F.when(folded.isin("true", "1", "1.0"), True).when(folded.isin("false", "0", "0.0"), False)
+
+
+def id_token(text: Column) -> Column:
+    """An id as text, a whole number written as 400.0 like 400; NULL for the empty string and for objects and arrays."""
+    plain = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.0+$", "$1")
+    return F.when((plain != "") & ~plain.rlike(r"^[\[{]"), plain)
+
+
 def present(value: Column) -> Column:
     """Neither NULL nor the empty string."""
     return value.isNotNull() & (value != "")

@@ -14,7 +14,6 @@ from tasteforge.session import shared_dir
 
 # Bounds of one scoring cell (a block of users against a block of items).
 BLOCK_BYTES = 64 << 20
-MAX_USER_ROWS = 200_000
 PAIRS_PER_CELL = 25_000_000
 
 
@@ -23,7 +22,8 @@ class AlsSettings:
     """The training parameters whose results have to be matched.
 
     ``seed`` is ours, since an unset one differs from process to process. ``num_blocks`` is how
-    far one factor update spreads out; None means one block per task slot, and no fewer than 10.
+    far one factor update spreads out. Start factors are drawn per block, so it is part of the
+    result: None takes it from the number of ratings, never from the cluster.
     """
 
     rank: int = 10
@@ -37,6 +37,14 @@ class AlsSettings:
     checkpoint_interval: int = 5
 
 
+RATINGS_PER_BLOCK = 2_000_000
+
+
+def blocks_for(n_ratings: int) -> int:
+    """Factor blocks for so many ratings: 10 at least, and about two million ratings in each."""
+    return max(10, -(-n_ratings // RATINGS_PER_BLOCK))
+
+
 def fit_als(
     ratings: DataFrame,
     settings: AlsSettings = AlsSettings(),
@@ -48,7 +56,7 @@ def fit_als(
     spark = ratings.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    blocks = settings.num_blocks or max(10, spark.sparkContext.defaultParallelism)
+    blocks = settings.num_blocks or blocks_for(ratings.count())
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
@@ -72,6 +80,47 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
+def plan_blocks(n_users: int, n_items: int, dim: int, slots: int, item_rows: int | None = None) -> tuple[int, int]:
+    """(user blocks, item blocks) for exact top-k scoring.
+
+    A block of either side holds at most ``BLOCK_BYTES`` of vectors. Beyond that, cells are only added while there are
+    fewer than two per slot and they hold more than ``PAIRS_PER_CELL`` pairs. Every user block receives all items
+    and every item block all users, so of the two sides the one whose further block costs fewer bytes is split.
+    """
+    fits = max(1, BLOCK_BYTES // (8 * dim))
+    user_blocks = max(1, -(-n_users // fits))
+    item_blocks = max(1, -(-n_items // min(item_rows or fits, fits)))
+    wanted = min(2 * slots, -(-n_users * n_items // PAIRS_PER_CELL))
+    while user_blocks * item_blocks < wanted:
+        # A further user block sends the items once more, a further item block the users.
+        grow_users = n_items * item_blocks <= n_users * user_blocks if user_blocks < n_users else False
+        if grow_users or item_blocks >= n_items:
+            user_blocks = min(max(1, n_users), user_blocks + max(1, user_blocks // 8))
+        else:
+            item_blocks = min(max(1, n_items), item_blocks + max(1, item_blocks // 8))
+    return user_blocks, item_blocks
+
+
+def replicated_bytes(n_users: int, n_items: int, dim: int, blocks: tuple[int, int], value_bytes: int = 4) -> int:
+    """Bytes of vectors that ``plan_blocks`` makes the shuffle carry."""
+    return value_bytes * dim * (n_users * blocks[1] + n_items * blocks[0])
+
+
+def usable_vectors(df: DataFrame, vector_col: str, id_col: str, dim: int) -> DataFrame:
+    """(id, vector) of rows that can be scored.
+
+    A vector of another length raises. One with a missing, NaN or infinite component has no order among scores: its row
+    takes no part, as if it had no factors.
+    """
+    vector = F.col(vector_col)
+    checked = F.when(vector.isNull() | (F.size(vector) == dim), vector).otherwise(
+        F.raise_error(F.concat(F.lit(f"a vector has not {dim} components, id "), F.col(id_col).cast("string")))
+    )
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), checked.alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite)
+
+
 def factor_topk(
     users: DataFrame,
     items: DataFrame,
@@ -84,37 +133,29 @@ def factor_topk(
 ) -> DataFrame:
     """(user, item, score, rank): the ``k`` items with the greatest dot product for each user, ties by item.
 
-    Exact. Items are hashed into blocks small enough for a task; users are hashed into blocks
-    and sent to each item block, where Arrow batches are multiplied as matrices. A block gives
-    at most ``k`` rows per user, never the pairs, and the blocks' lists are merged per user.
-    Inside a block, items are visited by falling norm, and a user stops at the first run of
-    items whose norms cannot reach that user's k-th best score (Cauchy-Schwarz).
+    Exact. Users and items are hashed into blocks (``plan_blocks``); each cell, a block of either,
+    multiplies Arrow batches as matrices. It gives at most ``k`` rows per user, never the pairs, and
+    the blocks' lists are merged per user. Inside a block, items are visited by falling norm, and a
+    user stops at the first run of items whose norms cannot reach that user's k-th best score
+    (Cauchy-Schwarz). See ``usable_vectors`` for odd vectors.
     Counting both sides runs two jobs; ``item_rows`` overrides the item block size and
     ``decimals`` rounds scores before they are ranked.
     """
-    spark = users.sparkSession
-    slots = spark.sparkContext.defaultParallelism
+    slots = users.sparkSession.sparkContext.defaultParallelism
     n_users, n_items = users.count(), items.count()
-
-    fits = max(1, BLOCK_BYTES // (8 * dim))
-    item_rows = min(item_rows or fits, fits)
-    item_blocks = max(1, -(-n_items // item_rows))
-    by_work = PAIRS_PER_CELL // max(1, min(n_items, item_rows))
-    user_rows = max(1, min(MAX_USER_ROWS, fits, max(by_work, n_users // (2 * slots))))
-    user_blocks = max(1, -(-n_users // user_rows))
+    user_blocks, item_blocks = plan_blocks(n_users, n_items, dim, slots, item_rows)
     # A given partition count also keeps AQE from merging cells: they are small but costly.
     partitions = max(1, min(item_blocks * user_blocks, max(1000, 4 * slots)))
+    users, items = (usable_vectors(side, vector_col, id_col, dim) for side in (users, items))
 
     def block_of(n: int):
-        return F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
 
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    vector = F.col(vector_col).alias("vector")
-    ident = F.col(id_col).cast("bigint").alias("id")
-    left = users.select(ident, vector, block_of(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
-    right = items.select(ident, vector, every(user_blocks).alias("ub"), block_of(item_blocks).alias("ib"))
+    left = users.select("id", "vector", block_of(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
+    right = items.select("id", "vector", every(user_blocks).alias("ub"), block_of(item_blocks).alias("ib"))
     cells = (
         left.repartition(partitions, "ub", "ib")
         .groupBy("ub", "ib")

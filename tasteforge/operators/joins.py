@@ -49,5 +49,8 @@ def enrich(recs: DataFrame, metadata: DataFrame, key: str = "app_id") -> DataFra
 
 
 def missing_keys(asked: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """The asked rows whose key is not among the known ones; copies of a known key go before the shuffle."""
-    return asked.join(known.select(key).distinct(), key, "left_anti")
+    """The asked rows whose key is not among the known ones.
+
+    Both sides stay bare: an aggregate over the known keys would keep a hot asked key from being split.
+    """
+    return asked.join(known.select(key), key, "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteforge import schemas
-from tasteforge.functions.parsing import lenient_double, or_empty, truthy, utc_stamp
+from tasteforge.functions.parsing import flag, lenient_double, or_empty, truthy, utc_stamp, whole_number
 from tasteforge.operators.nested import map_rows, compute_once
 
 
@@ -17,6 +17,11 @@ def _stamp(ingested_at: Column | None) -> Column:
     return (utc_stamp() if ingested_at is None else ingested_at).alias("ingested_at")
 
 
+def _or_zero(text: Column) -> Column:
+    """A missing count is 0; a present one is converted, and NULL if it is no number."""
+    return F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(whole_number(text))
+
+
 def shape_libraries(
     raw: DataFrame, id_col: str = "steam_id", payload: str = "payload", ingested_at: Column | None = None
 ) -> DataFrame:
@@ -26,7 +31,7 @@ def shape_libraries(
     games = F.transform(
         "response.games",
         lambda g: F.struct(
-            g["appid"].alias("appid"), F.coalesce(g["playtime_forever"], F.lit(0)).alias("playtime_forever")
+            whole_number(g["appid"]).alias("appid"), _or_zero(g["playtime_forever"]).alias("playtime_forever")
         ),
     )
     return parsed.select(
@@ -76,11 +81,11 @@ def shape_reviews(
         lambda r: F.struct(
             r["recommendationid"].alias("review_id"),
             r["author"]["steamid"].alias("steam_id"),
-            F.coalesce(r["author"]["playtime_at_review"], F.lit(0)).alias("playtime_minutes"),
-            r["voted_up"].alias("voted_up"),
-            r["votes_up"].alias("votes_up"),
+            _or_zero(r["author"]["playtime_at_review"]).alias("playtime_minutes"),
+            flag(r["voted_up"]).alias("voted_up"),
+            whole_number(r["votes_up"]).alias("votes_up"),
             lenient_double(r["weighted_vote_score"]).alias("weighted_score"),
-            r["steam_purchase"].alias("steam_purchase"),
+            flag(r["steam_purchase"]).alias("steam_purchase"),
             r["review"].alias("review_text"),
         ),
     )

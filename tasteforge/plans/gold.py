@@ -56,8 +56,6 @@ def interaction_matrix(
     if max(users.size, items.size) > MAX_INDEX:
         raise ValueError("more ids than an integer index can number")
     by_item = items.encode(stored, item_col, "item_index", broadcast_rows)
-    if items.size > broadcast_rows:
-        by_item = materialize(by_item, "by-item")
     encoded = users.encode(by_item, user_col, "user_index", broadcast_rows)
     matrix = encoded.select(
         F.col("user_index").cast("int"), F.col("item_index").cast("int"), F.col(score_col).cast("float")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteforge.operators.dictionary import BROADCAST_ROWS
 from tasteforge.operators.factors import factor_topk
 from tasteforge.operators.joins import enrich
 from tasteforge.session import materialize
@@ -29,11 +28,9 @@ def recommend_topk(
     """
     wanted = bundle.users.encode(asked.select("steam_id").distinct(), "steam_id", "id")
     # Stored, because it is counted, scored and joined back for the names.
-    users = materialize(bundle.als.userFactors.join(wanted, "id"), "asked")
-    lists = factor_topk(users.select("id", "features"), bundle.als.itemFactors, k, bundle.als.rank)
+    users = materialize(bundle.user_factors.join(wanted, "id"), "asked")
+    lists = factor_topk(users.select("id", "features"), bundle.item_factors, k, bundle.rank)
     named = lists.join(users.select(F.col("id").alias("user"), "steam_id"), "user")
-    if bundle.items.size > BROADCAST_ROWS:
-        named = materialize(named, "top-k")
     decoded = bundle.items.decode(named, "item", "app_id")
     full = enrich(decoded, metadata.select("app_id", "game_name", "genres"))
     result = full.select(
@@ -54,7 +51,7 @@ def unserved_users(bundle: ModelBundle, asked: DataFrame) -> DataFrame:
     ids = asked.select("steam_id").distinct()
     seen = bundle.users.encode(ids, "steam_id", "id")
     unknown = ids.join(seen.select("steam_id"), "steam_id", "left_anti")
-    held_out = seen.join(bundle.als.userFactors.select("id"), "id", "left_anti").select("steam_id")
+    held_out = seen.join(bundle.user_factors.select("id"), "id", "left_anti").select("steam_id")
     return unknown.withColumn("reason", F.lit("unknown")).unionByName(
         held_out.withColumn("reason", F.lit("no factors"))
     )

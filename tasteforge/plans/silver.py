@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge import schemas
+from tasteforge.functions.parsing import flag, id_token, lenient_double, whole_number
 from tasteforge.functions.text import clean_text, long_enough
 from tasteforge.operators.latest import latest_per_key
 from tasteforge.operators.nested import explode_items, pick_fields
-from tasteforge.sources.documents import SOURCE, readable, scan_documents
+from tasteforge.sources.documents import SOURCE, document_counts, readable, rejected, rescue_array, scan_documents
 from tasteforge.sources.tables import table_path, write_table
 
 
@@ -65,22 +67,87 @@ def silver_reviews(
     )
 
 
+def typed_profiles(docs: DataFrame) -> DataFrame:
+    """Profiles as scanned, their values typed; an item without a usable id or playtime is dropped, its profile kept."""
+    docs = readable(rescue_array(docs, "games", schemas.GAME_READ))
+    items = F.transform(
+        "games",
+        lambda g: F.struct(id_token(g["appid"]).alias("appid"), whole_number(g["playtime_forever"]).alias("playtime_forever")),
+    )
+    usable = F.filter(items, lambda g: g["appid"].isNotNull() & g["playtime_forever"].isNotNull())
+    return docs.withColumns({"steam_id": id_token(F.col("steam_id")), "games": usable})
+
+
+def typed_metadata(docs: DataFrame) -> DataFrame:
+    """Metadata as scanned, its values typed."""
+    docs = readable(docs)
+    score = whole_number(F.col("metadata.metacritic.score"))
+    metadata = (
+        F.col("metadata")
+        .withField("is_free", flag(F.col("metadata.is_free")))
+        .withField("metacritic", F.struct(score.alias("score")))
+    )
+    return docs.withColumns({"app_id": id_token(F.col("app_id")), "metadata": metadata})
+
+
+def typed_reviews(docs: DataFrame) -> DataFrame:
+    """Reviews as scanned, their values typed; a value that cannot be read is NULL, its review kept."""
+    docs = readable(rescue_array(docs, "reviews", schemas.REVIEW_READ))
+    reviews = F.transform(
+        "reviews",
+        lambda r: F.struct(
+            r["review_id"].alias("review_id"),
+            id_token(r["steam_id"]).alias("steam_id"),
+            whole_number(r["playtime_minutes"]).alias("playtime_minutes"),
+            flag(r["voted_up"]).alias("voted_up"),
+            lenient_double(r["weighted_score"]).alias("weighted_score"),
+            r["review_text"].alias("review_text"),
+        ),
+    )
+    return docs.withColumns({"app_id": id_token(F.col("app_id")), "reviews": reviews})
+
+
 _JOBS = {
-    "user_profiles": ("user_interactions", schemas.USER_PROFILES_NARROW, silver_interactions),
-    "app_metadata": ("app_metadata", schemas.APP_METADATA_NARROW, silver_metadata),
-    "app_reviews": ("app_reviews", schemas.APP_REVIEWS_NARROW, silver_reviews),
+    "user_profiles": ("user_interactions", schemas.USER_PROFILES_READ, typed_profiles, silver_interactions),
+    "app_metadata": ("app_metadata", schemas.APP_METADATA_READ, typed_metadata, silver_metadata),
+    "app_reviews": ("app_reviews", schemas.APP_REVIEWS_READ, typed_reviews, silver_reviews),
 }
 
 
-def run_silver(spark: SparkSession, base_path: str, layout: str = "dated") -> dict[str, str | None]:
-    """Write all three silver tables; returns where, with None for a dataset that has not landed."""
-    written: dict[str, str | None] = {}
-    for dataset, (table, schema, job) in _JOBS.items():
+@dataclass(frozen=True)
+class SilverTable:
+    """Where a silver table was written, and what its documents were like."""
+
+    path: str
+    documents: int
+    corrupt: int
+    partial: int
+    unstamped: int
+    rejects: str | None = field(default=None)
+
+    def __str__(self) -> str:
+        counts = f"{self.documents} documents, {self.corrupt} not JSON, {self.partial} read in part, {self.unstamped} without stamp"
+        return f"{self.path} ({counts}{'; see ' + self.rejects if self.rejects else ''})"
+
+
+def run_silver(spark: SparkSession, base_path: str, layout: str = "dated") -> dict[str, SilverTable | None]:
+    """Write all three silver tables; returns what was written, with None for a dataset that has not landed.
+
+    The counts come from the pass that writes the table. Documents that were lost or read in part are also written, with
+    the reason, to ``rejects/{dataset}``.
+    """
+    written: dict[str, SilverTable | None] = {}
+    for dataset, (table, schema, typed, job) in _JOBS.items():
         documents = scan_documents(spark, base_path, dataset, schema, layout)
         if documents is None:
             written[table] = None
             continue
-        path = table_path(base_path, table)
-        write_table(job(readable(documents), tie_breakers=(SOURCE,)), path)
-        written[table] = path
+        path, seen = table_path(base_path, table), Observation(f"{dataset} documents")
+        observed = documents.observe(seen, *document_counts(documents))
+        write_table(job(typed(observed), tie_breakers=(SOURCE,)), path)
+        counts, rejects = seen.get, None
+        if counts["corrupt"] + counts["partial"]:
+            rejects = f"{base_path.rstrip('/')}/rejects/{dataset}"
+            rejected(documents).write.mode("overwrite").json(rejects)
+        written[table] = SilverTable(path, **counts, rejects=rejects)
     return written

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.operators.dictionary import load_dictionary
-from tasteforge.operators.factors import AlsSettings, fit_als, predict
+from tasteforge.operators.factors import AlsSettings, blocks_for, fit_als, predict
 from tasteforge.operators.splits import hash_split, random_split, rmse
 from tasteforge.sources.bundle import ModelBundle, load_bundle, save_bundle
 from tasteforge.sources.tables import read_table, table_path
@@ -23,6 +23,7 @@ class Trained:
     error: DataFrame
     train: DataFrame
     test: DataFrame
+    num_blocks: int
 
 
 def train_and_evaluate(
@@ -37,9 +38,11 @@ def train_and_evaluate(
         train, test = hash_split(matrix, ["user_index", "item_index"], train_percent)
     else:
         train, test = random_split(matrix, train_percent)
+    # Fixed here, so that the manifest can tell what the start factors depended on.
+    settings = replace(settings, num_blocks=settings.num_blocks or blocks_for(train.count()))
     model = fit_als(train, settings)
     error = rmse(predict(model, test), "interaction_score", "prediction")
-    return Trained(model, error, train, test)
+    return Trained(model, error, train, test, settings.num_blocks)
 
 
 def run_training(
@@ -57,6 +60,8 @@ def run_training(
     if last["user"] is None or last["user"] >= users.size or last["item"] >= items.size:
         raise ValueError("the matrix is empty or was not numbered by the stored dictionaries; run gold again")
     trained = train_and_evaluate(matrix, settings, split)
-    bundle = ModelBundle(run_id or uuid.uuid4().hex, trained.model, users, items, trained.error.first()["rmse"])
+    bundle = ModelBundle.of_model(
+        run_id or uuid.uuid4().hex, trained.model, users, items, trained.error.first()["rmse"], trained.num_blocks
+    )
     save_bundle(bundle, base_path)
     return load_bundle(spark, base_path, bundle.run_id)

@@ -15,7 +15,7 @@ from tasteforge.functions.parsing import lenient_double
 from tasteforge.functions.scoring import hybrid_score
 from tasteforge.functions.text import clean_text, long_enough
 from tasteforge.operators.dictionary import IdDictionary, fit_dictionary
-from tasteforge.operators.factors import factor_topk, fit_als
+from tasteforge.operators.factors import factor_topk, predict
 from tasteforge.operators.joins import enrich, left_join_feedback, missing_keys
 from tasteforge.operators.latest import latest_per_key
 from tasteforge.operators.nested import compute_once, explode_items, pick_fields
@@ -637,23 +637,68 @@ def rmse_by_sql(spark, sf_dir):
 """, name="factor_topk")
 def factor_top5(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    dim = len(vectors.select("embedding").first()["embedding"])
+    dim = vectors.agg(F.max(F.size("embedding")).alias("n")).first()["n"]
     lists = factor_topk(vectors, vectors, 5, dim, vector_col="embedding", id_col="vec_id", decimals=9)
     return lists.select(F.col("user").alias("user_id"), F.col("item").alias("item_id"), "rank")
 
 
-@_register()
+@_register("""
+    WITH m AS (""" + ORACLES["interaction_matrix"] + """),
+    parts AS (SELECT *, ('0x' || substr(md5(user_index || ':' || item_index), 1, 8))::BIGINT % 100 < 80 AS train FROM m),
+    fit AS (SELECT * FROM parts WHERE train), rest AS (SELECT * FROM parts WHERE NOT train)
+    SELECT (SELECT count(DISTINCT user_index) FROM fit) AS train_users, (SELECT count(DISTINCT item_index) FROM fit) AS train_items,
+        (SELECT count(*) FROM fit) AS train_pairs,
+        (SELECT count(*) FROM rest WHERE user_index IN (SELECT user_index FROM fit) AND item_index IN (SELECT item_index FROM fit))
+            AS scored_pairs,
+        0::BIGINT AS negative, 0::BIGINT AS not_finite, TRUE AS error_in_range
+""")
 def als_holdout(spark, sf_dir):
+    """What can be known of a fit without fitting: who has factors, which held-out pairs get a score, and the scores' range.
+
+    error_in_range: the hold-out error is below the root mean square of the held-out scores, that is, better than
+    predicting nothing.
+    """
     matrix = materialize(_gold(spark, sf_dir).matrix, "matrix")
-    return train_and_evaluate(matrix).error
+    trained = train_and_evaluate(matrix)
+    scored = predict(trained.model, trained.test)
+    label, guess = F.col("interaction_score").cast("double"), F.col("prediction").cast("double")
+    facts = scored.agg(
+        F.count(F.lit(1)).alias("scored_pairs"),
+        F.count_if(guess < 0).alias("negative"),
+        F.count_if(F.isnan(guess) | guess.isNull()).alias("not_finite"),
+        (F.sum((label - guess) ** 2) < F.sum(label**2)).alias("error_in_range"),
+    )
+    sizes = {
+        "train_users": trained.model.userFactors.count(),
+        "train_items": trained.model.itemFactors.count(),
+        "train_pairs": trained.train.count(),
+    }
+    return facts.select("*", *[F.lit(n).cast("bigint").alias(name) for name, n in sizes.items()])
 
 
-@_register(name="recommend_topk")
+@_register("""
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    asked AS (SELECT * FROM v WHERE vec_id % 3 <> 0),
+    s AS (SELECT u.vec_id AS u, i.vec_id AS i, list_dot_product(u.e, i.e) AS score FROM asked u CROSS JOIN v i),
+    best AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS r FROM s
+             QUALIFY row_number() OVER (PARTITION BY u ORDER BY score DESC, i) <= 5)
+    SELECT 'user ' || u AS steam_id, i::VARCHAR AS app_id, p_name AS game_name,
+           CASE WHEN p_partkey IS NOT NULL THEN [p_type] END AS genres, r::INT AS "rank"
+    FROM best LEFT JOIN part ON p_partkey = i
+""", name="recommend_topk")
 def recommend_all(spark, sf_dir):
-    tables = _gold(spark, sf_dir)
-    bundle = ModelBundle("query", fit_als(materialize(tables.matrix, "matrix")), tables.users, tables.items)
-    asked = tables.users.frame.select(F.col("label").alias("steam_id"))
+    """Batch serving with the embeddings as factors of users and items; an asked user without factors has no list."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    users = fit_dictionary(vectors.select(F.concat(F.lit("user "), _text("vec_id")).alias("u")), "u")
+    items = fit_dictionary(vectors.select(_text("vec_id").alias("i")), "i")
+    width = vectors.agg(F.max(F.size("embedding")).alias("n")).first()["n"]
+    factors = vectors.select(_text("vec_id").alias("item"), F.concat(F.lit("user "), _text("vec_id")).alias("user"), F.col("embedding").alias("features"))
+    by_user = users.encode(factors.where(F.col("item").cast("bigint") % 3 != 0), "user", "id").select("id", "features")
+    # Ties by item go by index; equal frequencies are numbered by label, so the item order is that of vec_id only as text.
+    by_item = items.encode(factors, "item", "id").select("id", "features")
+    bundle = ModelBundle("query", by_user, by_item, width, users, items)
+    asked = users.frame.select(F.col("label").alias("steam_id"))
     metadata = _table(spark, sf_dir, "part").select(
         _text("p_partkey").alias("app_id"), F.col("p_name").alias("game_name"), F.array("p_type").alias("genres")
     )
-    return recommend_topk(bundle, asked, metadata, k=5, ordered=False)
+    return recommend_topk(bundle, asked, metadata, k=5, ordered=False).drop("predicted_affinity_score")

@@ -41,34 +41,33 @@ APP_REVIEWS = (
     "votes_up: BIGINT, weighted_score: DOUBLE, steam_purchase: BOOLEAN, review_text: STRING>>"
 )
 
-# The silver jobs need only these fields; a narrow read schema keeps the JSON parser from
-# building the rest.
-USER_PROFILES_NARROW = (
-    "ingested_at STRING, steam_id STRING, games ARRAY<STRUCT<appid: BIGINT, playtime_forever: BIGINT>>"
-)
-APP_METADATA_NARROW = (
-    "ingested_at STRING, app_id STRING, metadata STRUCT<name: STRING, is_free: BOOLEAN, "
+# The silver jobs need only these fields; a narrow read schema keeps the JSON parser from building the rest.
+# Numbers, flags and ids are read as text and cast value by value: a typed leaf would make the parser flag the whole
+# document for one value in another spelling.
+GAME_READ = "appid STRING, playtime_forever STRING"
+USER_PROFILES_READ = f"ingested_at STRING, steam_id STRING, games ARRAY<STRUCT<{GAME_READ}>>"
+APP_METADATA_READ = (
+    "ingested_at STRING, app_id STRING, metadata STRUCT<name: STRING, is_free: STRING, "
     "price_overview: STRUCT<final_formatted: STRING>, release_date: STRUCT<date: STRING>, "
-    "metacritic: STRUCT<score: BIGINT>, genres: ARRAY<STRUCT<description: STRING>>, "
+    "metacritic: STRUCT<score: STRING>, genres: ARRAY<STRUCT<description: STRING>>, "
     "categories: ARRAY<STRUCT<description: STRING>>>"
 )
-APP_REVIEWS_NARROW = (
-    "ingested_at STRING, app_id STRING, reviews ARRAY<STRUCT<review_id: STRING, steam_id: STRING, "
-    "playtime_minutes: BIGINT, voted_up: BOOLEAN, weighted_score: DOUBLE, review_text: STRING>>"
+REVIEW_READ = (
+    "review_id STRING, steam_id STRING, playtime_minutes STRING, voted_up STRING, weighted_score STRING, review_text STRING"
 )
+APP_REVIEWS_READ = f"ingested_at STRING, app_id STRING, reviews ARRAY<STRUCT<{REVIEW_READ}>>"
 
 # --- raw API payloads (text that the shaping jobs parse) -------------------------------------
 
-LIBRARY_PAYLOAD = (
-    "response STRUCT<games: ARRAY<STRUCT<appid: BIGINT, playtime_forever: BIGINT>>>"
-)
+# Numbers and flags are read as text, so that a value in another spelling is converted and not lost.
+LIBRARY_PAYLOAD = "response STRUCT<games: ARRAY<STRUCT<appid: STRING, playtime_forever: STRING>>>"
 FRIENDS_PAYLOAD = "friendslist STRUCT<friends: ARRAY<STRUCT<steamid: STRING>>>"
 METADATA_PAYLOAD = f"MAP<STRING, STRUCT<success: BOOLEAN, data: {_METADATA}>>"
 # success arrives as 1 or true and weighted_vote_score as text or number: both are read as text.
 REVIEWS_PAYLOAD = (
     "success STRING, reviews ARRAY<STRUCT<recommendationid: STRING, "
-    "author: STRUCT<steamid: STRING, playtime_at_review: BIGINT>, language: STRING, voted_up: BOOLEAN, "
-    "votes_up: BIGINT, weighted_vote_score: STRING, steam_purchase: BOOLEAN, review: STRING>>"
+    "author: STRUCT<steamid: STRING, playtime_at_review: STRING>, language: STRING, voted_up: STRING, "
+    "votes_up: STRING, weighted_vote_score: STRING, steam_purchase: STRING, review: STRING>>"
 )
 CATALOGUE_PAYLOAD = "MAP<STRING, STRUCT<appid: BIGINT, ccu: BIGINT>>"
 

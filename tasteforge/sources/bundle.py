@@ -15,16 +15,28 @@ from pyspark.sql import functions as F
 from tasteforge.functions.parsing import utc_stamp
 from tasteforge.operators.dictionary import IdDictionary, load_dictionary, save_dictionary
 
-MANIFEST = "run_id STRING, created_at STRING, rank INT, users BIGINT, items BIGINT, rmse DOUBLE"
+MANIFEST = "run_id STRING, created_at STRING, rank INT, users BIGINT, items BIGINT, rmse DOUBLE, num_blocks INT"
 
 
 @dataclass(frozen=True)
 class ModelBundle:
+    """Factor frames (id, features) and dictionaries. ``als`` is there if the factors come from a fitted model."""
+
     run_id: str
-    als: ALSModel
+    user_factors: DataFrame
+    item_factors: DataFrame
+    rank: int
     users: IdDictionary
     items: IdDictionary
     rmse: float | None = None
+    num_blocks: int | None = None
+    als: ALSModel | None = None
+
+    @classmethod
+    def of_model(
+        cls, run_id: str, als: ALSModel, users: IdDictionary, items: IdDictionary, rmse: float | None = None, num_blocks: int | None = None
+    ) -> ModelBundle:
+        return cls(run_id, als.userFactors, als.itemFactors, als.rank, users, items, rmse, num_blocks, als)
 
 
 def _folder(base_path: str, run_id: str) -> str:
@@ -32,12 +44,14 @@ def _folder(base_path: str, run_id: str) -> str:
 
 
 def save_bundle(bundle: ModelBundle, base_path: str) -> str:
+    if bundle.als is None:
+        raise ValueError("only a bundle of a fitted model can be saved")
     spark = bundle.users.frame.sparkSession
     folder = _folder(base_path, bundle.run_id)
     bundle.als.write().overwrite().save(f"{folder}/als")
     save_dictionary(bundle.users, f"{folder}/users")
     save_dictionary(bundle.items, f"{folder}/items")
-    row = (bundle.run_id, None, bundle.als.rank, bundle.users.size, bundle.items.size, bundle.rmse)
+    row = (bundle.run_id, None, bundle.rank, bundle.users.size, bundle.items.size, bundle.rmse, bundle.num_blocks)
     manifest = spark.createDataFrame([row], MANIFEST).withColumn("created_at", utc_stamp())
     manifest.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
     return folder
@@ -61,4 +75,4 @@ def load_bundle(spark: SparkSession, base_path: str, run_id: str | None = None)
     items = load_dictionary(spark, f"{folder}/items")
     if (als.rank, users.size, items.size) != (manifest["rank"], manifest["users"], manifest["items"]):
         raise ValueError(f"the parts of bundle {manifest['run_id']!r} come from different runs")
-    return ModelBundle(manifest["run_id"], als, users, items, manifest["rmse"])
+    return ModelBundle.of_model(manifest["run_id"], als, users, items, manifest["rmse"], manifest["num_blocks"])

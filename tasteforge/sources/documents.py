@@ -54,22 +54,58 @@ def scan_documents(
     return docs.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 
+def _fields(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in (CORRUPT, SOURCE, DAY)]
+
+
+def _lost(docs: DataFrame) -> Column:
+    """The text is no JSON object: the parser flagged it and found nothing in it."""
+    nothing = F.lit(True)
+    for name in _fields(docs):
+        nothing = nothing & F.col(name).isNull()
+    return F.col(CORRUPT).isNotNull() & nothing
+
+
 def readable(docs: DataFrame) -> DataFrame:
-    """Documents that parsed."""
-    return docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Every document that is JSON.
 
+    The parser also flags a well-formed document for one value of another kind; what it could read is kept then, and
+    only that value is NULL.
+    """
+    return docs.where(~_lost(docs)).drop(CORRUPT)
 
-def corrupt_report(docs: DataFrame, stamp: str = "ingested_at") -> DataFrame:
-    """One row: documents read, documents that did not parse, and documents that parsed but have no stamp.
 
-    The parser only finds corrupt text when it is asked for a real field too, which the stamp is.
+def rescue_array(docs: DataFrame, column: str, element: str) -> DataFrame:
+    """Fill an array of objects (``element`` is their DDL) that the parser gave up for one element of another kind.
+
+    Only flagged documents are parsed again, element by element; the odd element becomes NULL fields.
     """
-    corrupt = F.col(CORRUPT).isNotNull()
-    return docs.agg(
+    again = F.from_json(CORRUPT, f"{column} ARRAY<STRING>").getField(column)
+    rescued = F.transform(again, lambda e: F.from_json(e, element))
+    return docs.withColumn(column, F.when(F.col(CORRUPT).isNotNull() & F.col(column).isNull(), rescued).otherwise(F.col(column)))
+
+
+def document_counts(docs: DataFrame, stamp: str = "ingested_at") -> list[Column]:
+    """Aggregates over scanned documents: how many there are, are lost, are read in part, and have no stamp."""
+    lost = _lost(docs)
+    return [
         F.count(F.lit(1)).alias("documents"),
-        F.count_if(corrupt).alias("corrupt"),
-        F.count_if(~corrupt & F.col(stamp).isNull()).alias("unstamped"),
-    )
+        F.count_if(lost).alias("corrupt"),
+        F.count_if(~lost & F.col(CORRUPT).isNotNull()).alias("partial"),
+        F.count_if(~lost & F.col(stamp).isNull()).alias("unstamped"),
+    ]
+
+
+def corrupt_report(docs: DataFrame, stamp: str = "ingested_at") -> DataFrame:
+    """One row with ``document_counts``. All fields are read, as a value of another kind shows only where it is read."""
+    return docs.agg(*document_counts(docs, stamp))
+
+
+def rejected(docs: DataFrame) -> DataFrame:
+    """(source_file, ingest_date, reason, text) of documents that are lost or were read in part."""
+    reason = F.when(_lost(docs), "not JSON").otherwise("value of another kind")
+    flagged = docs.where(F.col(CORRUPT).isNotNull())
+    return flagged.select(SOURCE, DAY, reason.alias("reason"), F.col(CORRUPT).alias("text"))
 
 
 def write_documents(docs: DataFrame, base_path: str, dataset: str, day: Column | None = None) -> None:

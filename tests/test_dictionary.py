@@ -58,14 +58,14 @@ def test_unseen_and_null_ids_are_skipped(spark, broadcast_rows):
 def test_empty_input_gives_an_empty_dictionary(spark):
     nothing = spark.createDataFrame([(None,)], "id STRING")
     dictionary = fit_dictionary(nothing, "id")
-    assert (dictionary.size, dictionary.widest, dictionary.frame.count()) == (0, 0, 0)
+    assert (dictionary.size, dictionary.label_bytes, dictionary.frame.count()) == (0, 0, 0)
     assert dictionary.encode(nothing, "id", "i").isEmpty()
 
 
 def test_broadcast_is_bounded_in_bytes_too(spark, plan):
     wide = spark.range(50).selectExpr("repeat(string(id), 1 << 20) AS id")
     dictionary = fit_dictionary(wide, "id")
-    assert dictionary.widest == 2 << 20
+    assert dictionary.label_bytes > 50 << 20 and not dictionary.fits()
     assert "LeftAnti" in plan(dictionary.encode(wide, "id", "i"))  # 50 rows, but too many bytes
     assert dictionary.encode(wide, "id", "i").select("i").distinct().count() == 50
 
@@ -79,5 +79,20 @@ def test_save_and_load(spark, skewed, tmp_path):
     dictionary = fit_dictionary(skewed, "user")
     save_dictionary(dictionary, str(tmp_path / "d"))
     loaded = load_dictionary(spark, str(tmp_path / "d"))
-    assert (loaded.size, loaded.widest) == (dictionary.size, dictionary.widest)
+    assert (loaded.size, loaded.label_bytes) == (dictionary.size, dictionary.label_bytes)
     assert loaded.frame.exceptAll(dictionary.frame).isEmpty()
+
+
+def test_one_very_long_label_does_not_move_the_switch(spark, plan):
+    labels = spark.range(500).selectExpr("if(id = 0, repeat('x', 1 << 20), string(id)) AS id")
+    dictionary = fit_dictionary(labels, "id")
+    assert dictionary.fits() and "LeftAnti" not in plan(dictionary.encode(labels, "id", "i"))
+    # In the large case it travels with the tail, whatever its rank, and nothing is lost.
+    assert dictionary.encode(labels, "id", "i", broadcast_rows=400).select("i").distinct().count() == 500
+
+
+def test_the_large_lookup_reads_a_stored_input(spark, skewed, plan):
+    dictionary = fit_dictionary(skewed, "user")
+    heavy = skewed.groupBy("user").agg(F.count("*").alias("n"))
+    text = plan(dictionary.encode(heavy, "user", "i", broadcast_rows=1))
+    assert "HashAggregate" not in text

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tasteforge.operators.factors import AlsSettings, factor_topk, fit_als, predict
+from tasteforge.operators.factors import AlsSettings, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
 from tasteforge.operators.splits import rmse
 from tasteforge.plans.train import train_and_evaluate
 
@@ -90,3 +90,36 @@ def test_topk_equals_the_models_own(spark, planted):
 
 def test_rmse_of_nothing_is_null(spark):
     assert rmse(spark.createDataFrame([], "y DOUBLE, p DOUBLE"), "y", "p").first().rmse is None
+
+
+def test_block_plan_bounds_cells_and_bytes():
+    for users, items, slots in [(10**6, 10**7, 10_000), (10**8, 10**7, 10_000), (10**9, 10**7, 10_000), (100, 50, 8), (10**8, 10, 8), (0, 5, 8), (5, 0, 8)]:
+        plan = plan_blocks(users, items, 10, slots)
+        assert users <= plan[0] * (64 << 20) // 80 + 1 and items <= plan[1] * (64 << 20) // 80 + 1
+        assert replicated_bytes(users, items, 10, plan) <= 3 << 40
+    assert plan_blocks(10**8, 10**7, 10, 10_000)[0] * plan_blocks(10**8, 10**7, 10, 10_000)[1] >= 20_000
+    assert plan_blocks(100, 50, 10, 8) == (1, 1)
+
+
+@pytest.mark.parametrize("bad", [[float("nan"), 1.0], [float("inf"), 1.0]])
+def test_vectors_without_order_take_no_part(spark, bad):
+    items = [[1.0, 0.0], bad, [0.5, 0.0], [0.25, 0.0]]
+    got = factor_topk(frame(spark, [[1.0, 1.0], bad]), frame(spark, items), 3, 2, item_rows=2)
+    assert {(r.user, r.item, r["rank"]) for r in got.collect()} == {(0, 0, 1), (0, 2, 2), (0, 3, 3)}
+
+
+def test_vectors_of_another_length_are_refused(spark):
+    with pytest.raises(Exception, match="has not 2 components"):
+        factor_topk(frame(spark, [[1.0], [1.0, 2.0, 3.0], [1.0, 0.0]]), frame(spark, [[1.0, 0.0]]), 1, 2).collect()
+
+
+def test_the_model_does_not_depend_on_the_cluster(spark, planted, monkeypatch):
+    """Only ratings and settings choose the blocks; the number of cores is never asked for."""
+    assert blocks_for(10) == 10 and blocks_for(10**9) == 500
+    lists = []
+    for cores in (4, 16):
+        monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self, n=cores: n))
+        model = fit_als(planted.repartition(cores), AlsSettings(rank=2, max_iter=5))
+        lists.append({r.id: np.array(r.features) for r in model.userFactors.collect()})
+    assert lists[0].keys() == lists[1].keys()
+    assert all(np.allclose(lists[0][u], lists[1][u], atol=1e-3) for u in lists[0])

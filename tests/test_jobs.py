@@ -112,7 +112,7 @@ def test_matrix_is_the_same_by_either_lookup(spark, base, bundle, broadcast_rows
 
 def test_bundle_round_trip_and_mixed_parts(spark, base, bundle):
     loaded = load_bundle(spark, base, "first")
-    assert loaded.als.itemFactors.exceptAll(bundle.als.itemFactors).isEmpty()
+    assert loaded.item_factors.exceptAll(bundle.item_factors).isEmpty()
     assert (loaded.users.size, loaded.items.size, loaded.rmse) == (bundle.users.size, bundle.items.size, bundle.rmse)
     with pytest.raises(ValueError, match="no complete model bundle"):
         load_bundle(spark, base, "absent")
@@ -148,12 +148,12 @@ def test_recommendations(spark, base, bundle):
 def test_every_item_is_ranked_when_k_is_large(spark, base, bundle):
     metadata = read_table(spark, table_path(base, "app_metadata"))
     rows = recommend_topk(bundle, users_frame(spark, ["u3"]), metadata, k=50, ordered=False).collect()
-    assert sorted(r["rank"] for r in rows) == list(range(1, bundle.als.itemFactors.count() + 1))
+    assert sorted(r["rank"] for r in rows) == list(range(1, bundle.item_factors.count() + 1))
     assert {r.app_id for r in rows if r.game_name is None} <= {"107"}
 
 
 def test_users_without_factors_are_reported(spark, base, bundle):
-    trained = bundle.als.userFactors
+    trained = bundle.user_factors
     known = bundle.users.frame.join(trained, bundle.users.frame["index"] == trained["id"], "left_anti")
     asked = users_frame(spark, ["nobody"]).unionByName(bundle.users.frame.selectExpr("label AS steam_id"))
     got = {tuple(r) for r in unserved_users(bundle, asked).collect()}
@@ -164,7 +164,7 @@ def test_missing_dataset_does_not_stop_the_others(spark, tmp_path):
     land(tmp_path, "app_metadata", "2026-06-09", "meta_1", {"ingested_at": "x", "app_id": "1", "metadata": {"name": "n"}})
     written = run_silver(spark, str(tmp_path))
     assert written["user_interactions"] is None and written["app_reviews"] is None
-    assert read_table(spark, written["app_metadata"]).count() == 1
+    assert read_table(spark, written["app_metadata"].path).count() == 1
 
 
 def test_command_line(spark, base, bundle, capsys):

@@ -138,3 +138,24 @@ def test_rmse(spark):
     df = spark.createDataFrame(pairs, "y FLOAT, p DOUBLE")
     expected = (sum((y - p) ** 2 for y, p in pairs) / 100) ** 0.5
     assert rmse(df, "y", "p").first().rmse == pytest.approx(expected, rel=1e-6)
+
+
+def test_a_hot_asked_key_is_split(spark):
+    """Half of the asked rows on one key: the anti join is dealt with as a skewed one at run time."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        asked = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 2 = 0, 0, id) AS key", "xxhash64(id) AS more")
+        known = spark.range(5, 20).selectExpr("id AS key")
+        missing = missing_keys(asked, known, "key")
+        assert missing.count() == 300_000 - 8
+        counted = missing.groupBy().agg(F.max("more"))
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tasteforge.queries import ORACLES, QUERIES
 
 SF = Path("/root/testdata/sf0.001")
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-NO_SQL = {"als_holdout", "recommend_topk"}
+NO_SQL: set[str] = set()
 IN_PYTHON = {"factor_topk", "recommend_topk"}
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables here")
@@ -28,6 +28,11 @@ def by_name(columns, rows):
     return sorted(columns), sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
+def test_the_entry_point_has_every_query():
+    assert QUERIES.items() <= __spark_entry__.queries().items()
+    assert ORACLES.items() <= __spark_entry__.oracle_sql().items()
+
+
 def test_only_the_iterative_queries_lack_sql():
     assert QUERIES.keys() - ORACLES.keys() == NO_SQL and not ORACLES.keys() - QUERIES.keys()
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.operators.latest import latest_per_key
+from tasteforge.plans.silver import run_silver
 from tasteforge.sources.documents import corrupt_report, on_day, readable, scan_documents, write_documents
 from tasteforge.sources.tables import read_table, write_table
 
@@ -43,7 +44,7 @@ def test_pretty_printed_documents_over_all_days(spark, landed):
         ("1", 9, "2026-06-09"),
     ]
     assert good[0].source_file.endswith("/2026-06-08/user_1.json")
-    assert tuple(corrupt_report(docs).first()) == (3, 1, 0)
+    assert tuple(corrupt_report(docs).first()) == (3, 1, 0, 0)
 
 
 def test_one_day_reads_one_folder(spark, landed):
@@ -106,3 +107,35 @@ def test_stray_fields_do_not_drift_the_schema(spark, tmp_path):
         "metadata.required_age", F.col("metadata.genres.description"), "metadata.price_overview.final_formatted"
     )
     assert [tuple(r) for r in got.collect()] == [("0", [], None), ("17", None, None)]
+
+
+def test_one_value_of_another_kind_costs_that_value_only(spark, tmp_path):
+    profiles = [
+        {"ingested_at": "2026-06-08T00:00:00", "steam_id": "text-id", "games": [{"appid": "1", "playtime_forever": 3}, {"appid": 2, "playtime_forever": "4"}]},
+        {"ingested_at": "2026-06-08T00:00:00", "steam_id": 7, "games": [{"appid": 3.0, "playtime_forever": 5.5}, {"appid": 4, "playtime_forever": "many"}]},
+        {"ingested_at": "2026-06-08T00:00:00", "steam_id": "odd", "games": [{"appid": 5, "playtime_forever": 6}, "x", {"appid": None, "playtime_forever": 1}]},
+        {"ingested_at": "2026-06-08T00:00:00", "steam_id": "none", "games": {"appid": 6}},
+    ]
+    for i, doc in enumerate(profiles):
+        land(tmp_path, "user_profiles", "2026-06-08", f"{i}.json", doc)
+    land(tmp_path, "user_profiles", "2026-06-08", "broken.json", "{ not json")
+    land(tmp_path, "app_reviews", "2026-06-08", "r.json", {
+        "ingested_at": "x", "app_id": 9, "reviews": [
+            {"review_id": 1, "steam_id": 2, "playtime_minutes": "8", "voted_up": 1, "weighted_score": "0.5", "review_text": "long enough text"},
+            {"review_id": "b", "steam_id": "c", "playtime_minutes": [], "voted_up": "perhaps", "weighted_score": {}, "review_text": "also long enough"},
+        ],
+    })
+    land(tmp_path, "app_metadata", "2026-06-08", "m.json", {
+        "ingested_at": "x", "app_id": "9", "metadata": {"name": "n", "is_free": "true", "metacritic": [], "genres": {}, "price_overview": []},
+    })
+    written = run_silver(spark, str(tmp_path))
+    played = {tuple(r) for r in read_table(spark, written["user_interactions"].path).collect()}
+    assert played == {("text-id", "1", 3), ("text-id", "2", 4), ("7", "3", 5), ("odd", "5", 6)}
+    table = written["user_interactions"]
+    assert (table.documents, table.corrupt, table.unstamped) == (5, 1, 0) and table.partial >= 1
+    reasons = {r.reason for r in spark.read.json(table.rejects).collect()}
+    assert reasons == {"not JSON", "value of another kind"}
+    reviews = {tuple(r) for r in read_table(spark, written["app_reviews"].path).collect()}
+    assert reviews == {("9", "1", "2", 8, True, 0.5, "long enough text"), ("9", "b", "c", None, None, 0.0, "also long enough")}
+    (meta,) = read_table(spark, written["app_metadata"].path).collect()
+    assert (meta.app_id, meta.game_name, meta.is_free, meta.metacritic_score) == ("9", "n", True, None)

@@ -5,12 +5,14 @@ Input rows are (id, payload text). Nothing is fetched here: a payload table is w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.functions.parsing import flag, lenient_double, or_empty, truthy, utc_stamp, whole_number
-from tasteforge.operators.nested import map_rows, compute_once
+from tasteforge.operators.nested import compute_once, map_rows
+from tasteforge.sources.documents import write_documents
 
 
 def _stamp(ingested_at: Column | None) -> Column:
@@ -99,3 +101,30 @@ def shape_catalogue(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """Catalogue listings, a JSON object of items, to rows of (appid, ccu)."""
     listing = raw.select(F.from_json(payload, schemas.CATALOGUE_PAYLOAD).alias("items"))
     return map_rows(listing, "items", {"appid": "appid", "ccu": "ccu"})
+
+
+#: Payload tables that a crawler lands, and the documents they become: table -> (dataset, shaping).
+PAYLOADS = {
+    "library_payloads": ("user_profiles", shape_libraries),
+    "metadata_payloads": ("app_metadata", shape_metadata),
+    "review_payloads": ("app_reviews", shape_reviews),
+}
+
+
+def run_bronze(spark: SparkSession, base_path: str) -> list[str]:
+    """Shape every landed payload table, ``{base}/payloads/{table}`` of (id, payload), into documents of today.
+
+    Returns the datasets written. A table that has not landed is skipped. The documents are appended under their day; a
+    rerun lands newer snapshots, which latest-per-key prefers.
+    """
+    written = []
+    for table, (dataset, shape) in PAYLOADS.items():
+        try:
+            raw = spark.read.parquet(f"{base_path.rstrip('/')}/payloads/{table}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
+        write_documents(shape(raw, id_col="id"), base_path, dataset)
+        written.append(dataset)
+    return written

@@ -11,7 +11,7 @@ from tasteforge.operators.factors import factor_topk
 from tasteforge.operators.joins import enrich
 from tasteforge.session import materialize
 from tasteforge.sources.bundle import ModelBundle, load_bundle
-from tasteforge.sources.tables import read_table, table_path
+from tasteforge.sources.tables import read_table, table_path, write_table
 
 
 def users_frame(spark: SparkSession, user_ids: Sequence[str]) -> DataFrame:
@@ -65,3 +65,16 @@ def run_recommend(
     asked = users_frame(spark, user_ids)
     metadata = read_table(spark, table_path(base_path, "app_metadata"))
     return recommend_topk(bundle, asked, metadata, k), unserved_users(bundle, asked)
+
+
+def run_recommend_batch(
+    spark: SparkSession, base_path: str, users_path: str, out_path: str, k: int = 5, run_id: str | None = None
+) -> tuple[str, str]:
+    """Lists for a Parquet table of users (steam_id), written to ``out_path``/lists; those without one to /unserved."""
+    bundle = load_bundle(spark, base_path, run_id)
+    asked = spark.read.parquet(users_path).select(F.col("steam_id").cast("string").alias("steam_id"))
+    metadata = read_table(spark, table_path(base_path, "app_metadata"))
+    out = out_path.rstrip("/")
+    write_table(recommend_topk(bundle, asked, metadata, k, ordered=False), f"{out}/lists")
+    write_table(unserved_users(bundle, asked), f"{out}/unserved")
+    return f"{out}/lists", f"{out}/unserved"

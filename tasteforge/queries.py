@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteforge.functions.parsing import lenient_double
+from tasteforge import schemas
+from tasteforge.functions.parsing import lenient_double, utc_stamp
 from tasteforge.functions.scoring import hybrid_score
 from tasteforge.functions.text import clean_text, long_enough
-from tasteforge.operators.dictionary import IdDictionary, fit_dictionary
+from tasteforge.operators.dictionary import IdDictionary, fit_dictionary, load_dictionary, save_dictionary
 from tasteforge.operators.factors import factor_topk, predict
 from tasteforge.operators.joins import enrich, left_join_feedback, missing_keys
 from tasteforge.operators.latest import latest_per_key
@@ -24,9 +25,10 @@ from tasteforge.operators.topn import distinct_ids, top_n, top_n_tagged
 from tasteforge.plans import bronze, gold, silver, worklists
 from tasteforge.plans.serve import recommend_topk
 from tasteforge.plans.train import train_and_evaluate
-from tasteforge.session import materialize
+from tasteforge.session import intermediate_path, materialize
 from tasteforge.sources.bundle import ModelBundle
-from tasteforge.sources.documents import on_day
+from tasteforge.sources.documents import DAY, corrupt_report, on_day, readable, scan_documents, write_documents
+from tasteforge.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -702,3 +704,81 @@ def recommend_all(spark, sf_dir):
         _text("p_partkey").alias("app_id"), F.col("p_name").alias("game_name"), F.array("p_type").alias("genres")
     )
     return recommend_topk(bundle, asked, metadata, k=5, ordered=False).drop("predicted_affinity_score")
+
+
+# --- stores and landed documents -----------------------------------------------------------------
+
+
+def _landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event landed as a line of text, ids and numbers in changing spellings, every tenth line broken; scanned."""
+    even = F.col("event_id") % 2 == 0
+    number, text = F.round("value", 2).cast("string"), F.concat(F.lit('"'), F.round("value", 2).cast("string"), F.lit('"'))
+    item = F.concat(
+        F.lit('{"appid": '), F.when(even, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), "user_id", F.lit('"'))),
+        F.lit(', "playtime_forever": '), F.when(F.col("event_id") % 3 == 0, text).otherwise(number), F.lit("}"),
+    )
+    document = F.concat(
+        F.lit('{"ingested_at": "2024-01-01T00:00:00", "steam_id": '), F.when(even, F.concat(F.lit('"'), "event_id", F.lit('"'))).otherwise(_text("event_id")),
+        F.lit(', "games": ['), item, F.lit(', {"appid": null, "playtime_forever": 1}, {"appid": 1, "playtime_forever": "none"}]}'),
+    )
+    line = F.when(F.col("event_id") % 10 == 0, F.lit("{ not json")).otherwise(document)
+    base = intermediate_path(spark, "landed")
+    _table(spark, sf_dir, "events").select(line).write.text(f"{base}/raw/user_profiles/{DAY}=2024-01-01")
+    return scan_documents(spark, base, "user_profiles", schemas.USER_PROFILES_READ, layout="hive", files="*.txt")
+
+
+@_register("""
+    SELECT event_id::VARCHAR AS steam_id, user_id::VARCHAR AS app_id, trunc(round(value, 2))::BIGINT AS playtime_minutes
+    FROM events WHERE event_id % 10 <> 0 AND trunc(round(value, 2)) > 0
+""")
+def scan_mixed_documents(spark, sf_dir):
+    return silver.silver_interactions(silver.typed_profiles(_landed_events(spark, sf_dir)), tie_breakers=("source_file",))
+
+
+@_register("""
+    SELECT count(*) AS documents, count(*) FILTER (event_id % 10 = 0) AS corrupt, 0::BIGINT AS partial, 0::BIGINT AS unstamped
+    FROM events
+""")
+def reject_counts(spark, sf_dir):
+    return corrupt_report(_landed_events(spark, sf_dir))
+
+
+@_register("""
+    SELECT o_orderkey::VARCHAR AS steam_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at,
+           o_custkey AS appid, DATE '1995-03-01' AS ingest_date
+    FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1995-03-01'
+""")
+def stored_documents(spark, sf_dir):
+    """Documents written under their month, with a stamp, and one month read back."""
+    games = F.array(_struct(appid=F.col("o_custkey"), playtime_forever=F.lit(1).cast("bigint")))
+    stamp = utc_stamp(F.col("o_orderdate").cast("timestamp"))
+    docs = _table(spark, sf_dir, "orders").select(stamp.alias("ingested_at"), _text("o_orderkey").alias("steam_id"), games.alias("games"), "o_orderdate")
+    base, month = intermediate_path(spark, "documents"), F.trunc("o_orderdate", "month")
+    write_documents(docs.withColumn("month", month).repartition("month").drop("month"), base, "user_profiles", month)
+    read = readable(scan_documents(spark, base, "user_profiles", schemas.USER_PROFILES, layout="hive", day="1995-03-01"))
+    return explode_items(read, "games", {"appid": "appid"}, carry=("steam_id", "ingested_at", DAY))
+
+
+@_register("""
+    SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT o_orderkey, 0, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000
+""")
+def stored_table(spark, sf_dir):
+    """A partitioned table of which one partition is replaced, read back."""
+    path = intermediate_path(spark, "table")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    write_table(orders, path, ["o_orderstatus"])
+    again = orders.where("o_orderstatus = 'F' and o_totalprice > 100000").withColumn("o_totalprice", F.lit(0.0))
+    write_table(again, path, ["o_orderstatus"])
+    return read_table(spark, path)
+
+
+@_register(f"""
+    {_FINISHED} SELECT o_orderkey, o_custkey, i AS user_index FROM orders JOIN dictionary ON o_custkey = k
+""")
+def stored_dictionary(spark, sf_dir):
+    """Ids encoded with a dictionary that was saved and loaded."""
+    orders, dictionary = _finished_orders(spark, sf_dir)
+    path = intermediate_path(spark, "dictionary")
+    save_dictionary(dictionary, path)
+    return load_dictionary(spark, path).encode(orders, "o_custkey", "user_index")

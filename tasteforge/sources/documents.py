@@ -25,10 +25,11 @@ def scan_documents(
     schema: str,
     layout: str = "dated",
     day: str | None = None,
+    files: str = "*.json",
 ) -> DataFrame | None:
     """Documents with their day, source file and corrupt text; None when the dataset is not there.
 
-    ``day`` (YYYY-MM-DD) reads that day's folder only. Any failure other than a missing path is
+    ``day`` (YYYY-MM-DD) reads that day's folder only; ``files`` is a pattern for file names. Any failure other than a missing path is
     raised.
     """
     root = f"{base_path.rstrip('/')}/raw/{dataset}"
@@ -36,7 +37,7 @@ def scan_documents(
         spark.read.schema(f"{schema}, {CORRUPT} STRING")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", files)
     )
     try:
         if layout == "dated":

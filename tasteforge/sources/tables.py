@@ -15,6 +15,8 @@ TABLES = {
     "user_dictionary": "gold/user_dictionary.parquet",
     "item_dictionary": "gold/item_dictionary.parquet",
 }
+# Our own: where the lists of what to collect next go.
+TABLES |= {f"worklist_{name}": f"gold/worklist_{name}.parquet" for name in ("seeds", "reviewers", "harvest", "quota")}
 
 
 def table_path(base_path: str, table: str) -> str:

@@ -172,3 +172,36 @@ def test_command_line(spark, base, bundle, capsys):
     main(["recommend", "--base-path", base, "--user", "u3", "--user", "nobody", "--top", "2", "--run-id", "first"])
     out = capsys.readouterr().out
     assert "user_interactions: " in out and "nobody" in out and "unknown" in out
+
+
+def test_payloads_to_stored_lists(spark, tmp_path, capsys):
+    """bronze, worklist, silver, gold, train, recommend by command line, from payload tables to lists on disk."""
+    base = str(tmp_path / "b")
+
+    def payloads(table, rows):
+        df = spark.createDataFrame([(i, json.dumps(p)) for i, p in rows], "id STRING, payload STRING")
+        df.write.parquet(f"{base}/payloads/{table}")
+
+    payloads("library_payloads", [
+        (f"u{u}", {"response": {"games": [{"appid": str(100 + a) if u % 2 else 100 + a, "playtime_forever": 5 + (u * a) % 7} for a in range(8) if (u + a) % 3]}})
+        for u in range(10)
+    ])
+    payloads("metadata_payloads", [(str(100 + a), {str(100 + a): {"success": True, "data": {"name": f"game {a}"}}}) for a in range(8)])
+    payloads("review_payloads", [("101", {"success": 1, "reviews": [
+        {"recommendationid": "1", "author": {"steamid": "u1"}, "language": "english", "voted_up": True, "review": "long enough text"}]})])
+    for name in ("popular", "tagged"):
+        payloads(f"catalogue_{name}", [("", {"a": {"appid": 1, "ccu": 5}, "b": {"appid": 2}})])
+    main(["bronze", "--base-path", base])
+    day = sorted(p.name for p in (tmp_path / "b/raw/user_profiles").glob("ingest_date=*"))[-1].removeprefix("ingest_date=")
+    main(["worklist", "--base-path", base, "--layout", "hive", "--day", day])
+    lists = {n: {r[0] for r in read_table(spark, table_path(base, f"worklist_{n}")).collect()} for n in ("seeds", "reviewers", "harvest", "quota")}
+    assert lists["seeds"] == {"1", "2"} and lists["reviewers"] == {"u1"} and lists["quota"] == {f"u{u}" for u in range(10)}
+    assert lists["harvest"] == {"100", "101", "102", "103", "104"}
+    for job in ("silver", "gold", "train"):
+        main([job, "--base-path", base, "--layout", "hive", *(["--run-id", "r"] if job == "train" else [])])
+    spark.createDataFrame([("u1",), ("u2",), ("stranger",)], "steam_id STRING").write.parquet(f"{base}/asked")
+    main(["recommend", "--base-path", base, "--users", f"{base}/asked", "--out", f"{base}/out", "--top", "2"])
+    assert {(r.steam_id, r["rank"]) for r in spark.read.parquet(f"{base}/out/lists").collect()} == {(u, k) for u in ("u1", "u2") for k in (1, 2)}
+    assert [tuple(r) for r in spark.read.parquet(f"{base}/out/unserved").collect()] == [("stranger", "unknown")]
+    with pytest.raises(SystemExit):
+        main(["recommend", "--base-path", base, "--users", "x"])

@@ -36,7 +36,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns[:2]
     current = edges.select(F.col(f"`{a}`").alias("u"), F.col(f"`{b}`").alias("v")).where("u <> v")
-    nodes = current
     current = materialize(_small_star(current), "components")
     before, now = None, _state(current)
     while now != before and now[0]:
@@ -44,5 +43,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         current = materialize(_small_star(_large_star(current)), "components")
         now = _state(current)
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    del nodes
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()

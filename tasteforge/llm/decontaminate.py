@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteforge.llm.bitmap import collect_bitmap, may_contain
 from tasteforge.llm.words import gram_hashes, mix, slices, text_bytes, words_in, words_of
 from tasteforge.session import materialize
 
@@ -158,7 +159,7 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: list[int] | None, bitma
                 for size in own:
                     for hashes, starts, slot in windows_of(symbols, size, cfg):
                         if shared is not None:
-                            met = _inside(shared.value, hashes)
+                            met = may_contain(shared.value, hashes)
                             hashes, starts = hashes[met], starts[met]
                         elif size < cfg.window:
                             whole = lengths[symbols.doc[starts]] == size
@@ -177,21 +178,6 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: list[int] | None, bitma
     return rows.mapInArrow(run, WINDOW)
 
 
-def _inside(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys & np.uint64(len(bitmap) * 64 - 1)
-    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap with the bits of the column ``key`` set; at most bits / 64 rows reach the driver."""
-    place = F.col("key").bitwiseAND(F.lit(bits - 1))
-    words = keys.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("b"))
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.uint64)
-    out[found.column("w").to_numpy()] = found.column("b").to_numpy().view(np.uint64)
-    return out
-
-
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     return df.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(body).alias("tag"), body.alias("text"))
@@ -214,7 +200,7 @@ def template_matches(
     known = bench.select("key", F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("place").alias("item_place"),
                          F.col("slots").alias("item_slots"))
     short = _short_sizes(items, cfg, item_text)
-    found = _window_rows(_rows(docs, doc_id, text).where("id is not null"), cfg, [cfg.window, *short], _bitmap(bench, cfg.filter_bits))
+    found = _window_rows(_rows(docs, doc_id, text).where("id is not null"), cfg, [cfg.window, *short], collect_bitmap(bench, "key", cfg.filter_bits))
     hits = found.join(known, "key").where(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     aligned = hits.groupBy("id", "tag", "item", "item_tag", (F.col("place") - F.col("item_place")).alias("shift")).agg(

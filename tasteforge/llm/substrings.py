@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteforge.llm.bitmap import collect_bitmap, may_contain
 from tasteforge.llm.words import Words, gram_hashes, slices, starts_of_grams, text_bytes, words_of
 from tasteforge.session import materialize
 
@@ -72,21 +73,6 @@ def _anchors(words: Words, cfg: Parsing) -> tuple[np.ndarray, np.ndarray, np.nda
     return grams[place[begin]], starts[begin], starts[end - 1] + 1
 
 
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits with those of the column ``a`` set; at most bits / 64 rows reach the driver."""
-    place = F.col("a").bitwiseAND(F.lit(bits - 1))
-    words = keys.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("b"))
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.uint64)
-    out[found.column("w").to_numpy()] = found.column("b").to_numpy().view(np.uint64)
-    return out
-
-
-def _inside(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys & np.uint64(len(bitmap) * 64 - 1)
-    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 OCCURRENCE = "a long, salt int, doc long, tag long, start int, windows binary"
 RUN = "doc long, tag long, start int, n int, ref_doc long, ref_tag long, ref_start int, window long"
 
@@ -111,7 +97,7 @@ def _occurrences(texts: DataFrame, repeated: np.ndarray, heavy: np.ndarray, cfg:
             for part in slices(batch, "text"):
                 words = words_of(part.column(2))
                 anchor, begin, end = _anchors(words, cfg)
-                met = _inside(shared.value, anchor)
+                met = may_contain(shared.value, anchor)
                 anchor, begin, end = anchor[met], begin[met], end[met]
                 if not len(anchor):
                     continue
@@ -125,7 +111,7 @@ def _occurrences(texts: DataFrame, repeated: np.ndarray, heavy: np.ndarray, cfg:
                 ).cast(pa.binary())
                 owner = words.doc[begin]
                 docs, tags = np.asarray(part.column(0))[owner], np.asarray(part.column(1))[owner]
-                salt = np.where(_inside(frequent.value, anchor), docs & 63, -1).astype(np.int32)
+                salt = np.where(may_contain(frequent.value, anchor), docs & 63, -1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (anchor.view(np.int64), salt, docs, tags, (begin - words.first[owner]).astype(np.int32))] + [packed],
                     names=["a", "salt", "doc", "tag", "start", "windows"],
@@ -198,8 +184,8 @@ def repeated_runs(docs: DataFrame, cfg: Parsing = Parsing(), doc_id: str = "doc_
     order (doc_id, tag, start), is elsewhere, with that occurrence. Runs of a document do not overlap."""
     texts = _texts(docs.where(F.col(f"`{doc_id}`").isNotNull()), doc_id, text)
     counts = materialize(_count_anchors(texts, cfg), "anchors")
-    repeated = _bitmap(counts, cfg.filter_bits)
-    heavy = _bitmap(counts.where(F.col("n") > cfg.heavy), cfg.heavy_bits)
+    repeated = collect_bitmap(counts, "a", cfg.filter_bits)
+    heavy = collect_bitmap(counts.where(F.col("n") > cfg.heavy), "a", cfg.heavy_bits)
     matched = materialize(_match_blocks(_occurrences(texts, repeated, heavy, cfg)), "runs")
     light = matched.where("n > 0").drop("window")
     return light.union(_match_windows(matched.where("n = 0")))

@@ -244,9 +244,11 @@ def _links_across(packed: list[bytes], comps: np.ndarray, left: np.ndarray, righ
     order = np.argsort(codes, kind="stable")
     owner, codes = owner[order], codes[order]
     both = np.zeros((len(left), len(right)), np.float32)
-    for begin in range(0, int(codes[-1]) + 1 if len(codes) else 0, 8192):
-        at, to = np.searchsorted(codes, [begin, begin + 8192])
-        rows = np.zeros((len(packed), 8192), np.float32)
+    total = int(codes[-1]) + 1 if len(codes) else 0
+    width = min(total, 8192)
+    for begin in range(0, total, max(width, 1)):
+        at, to = np.searchsorted(codes, [begin, begin + width])
+        rows = np.zeros((len(packed), width), np.float32)
         rows[owner[at:to], codes[at:to] - begin] = 1
         both += rows[left] @ rows[right].T
     both = both.astype(np.int64)

@@ -16,6 +16,7 @@ the window that it, so far, finds worst in each document, toxic or not.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -52,7 +53,7 @@ class Network:
     entries: int = 60_000
     shortest: int = 3
     longest: int = 5
-    cached_words: int = 150_000
+    cached_words: int = 250_000
     seed: int = 11
 
 
@@ -267,6 +268,17 @@ class Model:
     usual: float  # score of a text without words
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer_of(key: str, model: Model, cfg: Network) -> Scorer:
+    """The worker's scorer of the model called ``key``: what it has learned about words serves the worker's next tasks."""
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(model, cfg)
+    return _scorers[key]
+
+
 class Scorer:
     """Scores texts; keeps the gate inputs of words it has met, up to ``cfg.cached_words``."""
 
@@ -425,11 +437,11 @@ def score_documents(docs: DataFrame, model: Model, cfg: Network = Network(), tex
     are scored alike. A column already called like ``score`` is replaced.
     """
     rest = [c for c in docs.columns if c != score and (keep_text or c != text)]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     schema = docs.select(*[f"`{c}`" for c in rest], F.lit(0.0).alias(score)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value, cfg)
+        scorer = scorer_of(key, shared.value, cfg)
         for batch in batches:
             for part in slices(batch, "__text", 2 << 20):
                 scores, _ = scorer.score(part.column(part.num_columns - 1).to_pylist())

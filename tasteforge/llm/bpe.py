@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +32,8 @@ WORD_END = "</w>"
 # White space as the file's normalizer means it (the Unicode property; 0x1C-0x1F are not in it).
 WHITE_SPACE = r"[\t-\r \x85\xa0  -     　]+"
 
-CACHE_ENTRIES = 200_000
+# Entries of one of the two cache generations.
+CACHE_ENTRIES = 100_000
 
 
 def byte_symbols() -> list[str]:
@@ -79,8 +82,15 @@ class WordBpe:
         self.split = regex.compile(SPLIT_PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.white = regex.compile(WHITE_SPACE)
-        self.words = _Cache(lambda word: np.array(self.encode_word(word.encode()), dtype="<u4").tobytes())
-        self.chunks = _Cache(lambda chunk: b"".join(map(self.words.__getitem__, self.split.findall(chunk))))
+        self.chunks = _Cache(self.encode_chunk)
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        """The packed ids of a chunk without white space. A pre-token is a chunk of its own, so both share the cache."""
+        pieces = [chunk] if chunk.isalpha() else self.split.findall(chunk)
+        if len(pieces) != 1:
+            return b"".join(map(self.chunks.__getitem__, pieces))
+        ids = self.encode_word(chunk.encode())
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype="<u4").tobytes()
 
     def encode_word(self, word: bytes) -> list[int]:
         """The ids of one pre-token. Bytes that the vocabulary lacks have no id and are left out."""
@@ -186,7 +196,18 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Every row without its text, with ``n_tokens``, packed ``ids`` and the ``decoded`` text."""
-    kept = [c for c in df.columns if c not in ("ids", "decoded", "n_tokens")]
-    encoded = bpe_encode(df.select(*[f"`{c}`" for c in kept]), path, text).drop(text)
-    return bpe_decode(encoded, path).withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
+    """Every row without its text, with packed ``ids``, the ``decoded`` text and ``n_tokens``: both ways in one pass."""
+    rest = [c for c in df.columns if c not in ("ids", "decoded", "n_tokens", text)]
+    columns = [*[F.col(f"`{c}`") for c in rest]]
+    schema = df.select(*columns, F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tokenizer(path)
+        for batch in batches:
+            for part in slices(batch, "__text", 1 << 20):
+                packed = [bpe.encode(t) for t in _texts(part.column(part.num_columns - 1))]
+                decoded = pa.array([bpe.decode(ids) for ids in packed], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary()), decoded], names=[*rest, "ids", "decoded"])
+
+    done = df.select(*columns, F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(both, schema)
+    return done.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))

@@ -53,7 +53,7 @@ class Network:
     entries: int = 60_000
     shortest: int = 3
     longest: int = 5
-    cached_words: int = 250_000
+    cached_words: int = 100_000
     seed: int = 11
 
 

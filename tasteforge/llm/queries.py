@@ -27,6 +27,15 @@ def query(function):
     return function
 
 
+def sql_of(name: str, sql: str) -> None:
+    """The DuckDB SQL that the query ``name`` equals."""
+    ORACLES[name] = sql
+
+
+# Words of every document, as DuckDB sees them.
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -120,3 +129,34 @@ URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Ru
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, host, path, rule, verdict, template and purity of every page's url."""
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FOLDED = _WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
+
+sql_of("op2_minhash_neardup", f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_FOLDED} AS words FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []::VARCHAR[]
+              WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+              ELSE [array_to_string(words[i:i + 3], ' ') for i in range(1, len(words) - 2)] END) AS shingles FROM w),
+    e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+    links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT ways.y, reach.root FROM reach JOIN ways ON ways.x = reach.doc_id),
+    roots AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN roots USING (doc_id)
+""")
+
+sql_of("op3_substring_dedup", f"""
+    WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words FROM documents),
+    v AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 18, 1))) AS start FROM w),
+    g AS (SELECT v.doc_id, start, array_to_string(words[start:start + 19], ' ') AS gram FROM v JOIN w USING (doc_id)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY gram ORDER BY doc_id, start) AS place FROM g),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS i FROM f WHERE place > 1),
+    listed AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+    kept AS (SELECT doc_id, len(words) AS n, coalesce(len(gone), 0) AS removed,
+                    CASE WHEN gone IS NULL THEN words ELSE [words[i] for i in range(1, len(words) + 1) IF NOT list_contains(gone, i)] END AS left_words
+             FROM w LEFT JOIN listed USING (doc_id))
+    SELECT doc_id, n::BIGINT AS n_words, removed::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
+""")

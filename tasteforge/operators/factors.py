@@ -85,16 +85,16 @@ def plan_blocks(n_users: int, n_items: int, dim: int, slots: int, item_rows: int
 
     A block of either side holds at most ``BLOCK_BYTES`` of vectors. Beyond that, cells are only added while there are
     fewer than two per slot and they hold more than ``PAIRS_PER_CELL`` pairs. Every user block receives all items
-    and every item block all users, so of the two sides the one whose further block costs fewer bytes is split.
+    and every item block all users, so the side whose blocks cost fewer bytes so far is split further.
     """
     fits = max(1, BLOCK_BYTES // (8 * dim))
     user_blocks = max(1, -(-n_users // fits))
     item_blocks = max(1, -(-n_items // min(item_rows or fits, fits)))
     wanted = min(2 * slots, -(-n_users * n_items // PAIRS_PER_CELL))
     while user_blocks * item_blocks < wanted:
-        # A further user block sends the items once more, a further item block the users.
-        grow_users = n_items * item_blocks <= n_users * user_blocks if user_blocks < n_users else False
-        if grow_users or item_blocks >= n_items:
+        # User blocks cost their number times the items, item blocks theirs times the users; least where both cost the same.
+        cheaper = n_items * user_blocks <= n_users * item_blocks
+        if user_blocks < n_users and (cheaper or item_blocks >= n_items):
             user_blocks = min(max(1, n_users), user_blocks + max(1, user_blocks // 8))
         else:
             item_blocks = min(max(1, n_items), item_blocks + max(1, item_blocks // 8))

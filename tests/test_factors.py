@@ -99,6 +99,10 @@ def test_block_plan_bounds_cells_and_bytes():
         assert replicated_bytes(users, items, 10, plan) <= 3 << 40
     assert plan_blocks(10**8, 10**7, 10, 10_000)[0] * plan_blocks(10**8, 10**7, 10, 10_000)[1] >= 20_000
     assert plan_blocks(100, 50, 10, 8) == (1, 1)
+    # Near the least that so many cells can cost: 2 * sqrt(cells * users * items) vectors.
+    for users in (10**6, 10**8):
+        plan = plan_blocks(users, 10**7, 10, 10_000)
+        assert replicated_bytes(users, 10**7, 10, plan) <= 1.3 * 40 * 2 * (plan[0] * plan[1] * users * 10**7) ** 0.5
 
 
 @pytest.mark.parametrize("bad", [[float("nan"), 1.0], [float("inf"), 1.0]])

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteforge.llm.bitmap import collect_bitmap, may_contain
@@ -36,13 +36,15 @@ UNITS = (
 class Templates:
     """Windows of ``window`` symbols, at least ``literals`` of them plain words.
 
-    An item counts as contained if windows on consistent alignments make up ``coverage`` of its windows. ``filter_bits``,
-    a power of two, is the size of the bitmap of item windows that every task gets: 512 KiB, whatever the benchmark.
+    An item counts as contained if ``run`` of its symbols in a row stand on one consistent alignment, however long it is, or
+    if windows on consistent alignments make up ``coverage`` of its windows. ``filter_bits``, a power of two, is the size of
+    the bitmap of item windows that every task gets: 512 KiB, whatever the benchmark.
     """
 
     window: int = 8
     literals: int = 4
     coverage: float = 0.5
+    run: int = 11
     filter_bits: int = 1 << 22
 
 
@@ -189,8 +191,9 @@ def template_matches(
 ) -> DataFrame:
     """(doc_id, tag, item_id, coverage, exact) for every item that a document contains.
 
-    coverage is the share of the item's windows found on alignments whose slots are consistent; exact tells that all slot
-    values are the item's own. ``tag`` is a hash of the text. Null ids take no part, null texts have no windows, and equal
+    coverage is the share of the item's windows found on alignments whose slots are consistent, small for a short quote of a
+    long item; exact tells that all slot values are the item's own. Of an alignment that is not consistent the windows with
+    the item's own values count if they make ``run`` symbols in a row. ``tag`` is a hash of the text. Null ids take no part, null texts have no windows, and equal
     rows count once. An item with fewer than three symbols has no window and is never found. A match is decided for each
     (doc_id, text), so texts that share a doc_id do not complete each other.
     """
@@ -204,21 +207,38 @@ def template_matches(
     hits = found.join(known, "key").where(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     aligned = hits.groupBy("id", "tag", "item", "item_tag", (F.col("place") - F.col("item_place")).alias("shift")).agg(
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.collect_set("item_place").alias("places")
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.collect_set("item_place").alias("places"),
+        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("same"),
     )  # no longer than the item
-    consistent = aligned.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
-    whole = consistent.groupBy("id", "tag", "item", "item_tag").agg(
+    aligned = aligned.withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
+    aligned = aligned.withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("same")))
+    aligned = aligned.withColumn("run", _longest_run("places", cfg)).where(F.col("consistent") | (F.col("run") >= cfg.run))
+    whole = aligned.groupBy("id", "tag", "item", "item_tag").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
-        F.min(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"),
+        F.max("run").alias("run"),
+        F.min(~F.col("consistent") | F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"),
     )
     sizes = lengths.withColumnsRenamed({"id": "item", "tag": "item_tag"})
     return (
         whole.join(sizes, ["item", "item_tag"])
-        .select(F.col("id").alias("doc_id"), "tag", F.col("item").alias("item_id"), (F.col("n") / F.col("n_windows")).alias("coverage"), "exact")
-        .where(F.col("coverage") >= cfg.coverage)
+        .withColumn("coverage", F.col("n") / F.col("n_windows"))
+        .where((F.col("coverage") >= cfg.coverage) | (F.col("run") >= cfg.run))
+        .select(F.col("id").alias("doc_id"), "tag", F.col("item").alias("item_id"), "coverage", "exact")
     )
 
 
+def _longest_run(places: str, cfg: Templates) -> Column:
+    """Most symbols in a row that the windows at ``places`` cover; windows that touch or overlap make one run."""
+    size = F.lit(cfg.window)
+
+    def add(held: Column, place: Column) -> Column:
+        begin = F.when(place - held["last"] <= size, held["begin"]).otherwise(place)
+        return F.struct(begin.alias("begin"), place.alias("last"), F.greatest(held["run"], place + size - begin).alias("run"))
+
+    none = F.struct(F.lit(0).alias("begin"), F.lit(-cfg.window - 1).alias("last"), F.lit(0).alias("run"))
+    return F.aggregate(F.array_sort(places), none, add, lambda held: held["run"])
+
+
 def _short_sizes(items: DataFrame, cfg: Templates, text: str) -> list[int]:
     """Which window sizes below ``window`` some item needs: at most window - 3 numbers."""
 

@@ -67,6 +67,36 @@ def test_agrees_with_brute_force_on_planted_passages(spark):
     assert {d: v[0] for d, v in got.items()} == expected and any(expected.values())
 
 
+def test_quotes_of_a_small_share_agree_with_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = ["w" + "".join(rng.choice("abcde") for _ in range(4)) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rng.choice([60, 90, 200]))) for i in range(12)]
+    texts, expected = [], {}
+    for d in range(60):
+        body = text(20)
+        for i in rng.sample(range(12), 2):
+            words = items[i][1].split()
+            n = rng.choice([7, 10, 11, 15, len(words) * rng.randrange(25, 46) // 100])
+            at = rng.randrange(len(words) - n + 1)
+            body += " " + " ".join(words[at : at + n]) + " " + text(10)
+        grams = lambda t, k=Templates().run: {tuple(t.split()[j : j + k]) for j in range(len(t.split()) - k + 1)}
+        texts.append(body)
+        expected[d] = [i for i, t in items if grams(t) & grams(body)]
+    got = flags(spark, texts, items)
+    assert {d: v[0] for d, v in got.items()} == expected
+    assert 0 < sum(map(len, expected.values())) < 120
+
+
+def test_a_long_verbatim_part_counts_beside_other_values(spark):
+    item = "Mary has 5 apples and gives 5 pears to her friend who already owns three red plums from the old garden behind the house of a baker"
+    other = item.replace("has 5", "has 7").replace("gives 5", "gives 8")
+    changed = item.replace("5", "7").rpartition(" her friend ")[0] + " her friend who already owns three red plums in town"
+    tail = item.partition("three red")[0]
+    got = flags(spark, [other, changed, tail], [(1, item)])
+    assert got[0] == ([1], True) and got[1] == ([1], False) and got[2] == ([1], True)
+
+
 def test_empty_tables_null_and_repeated_ids(spark):
     assert flags(spark, []) == {}
     assert flags(spark, ["plain text of no use here"], []) == {0: ([], False)}

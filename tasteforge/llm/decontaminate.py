@@ -7,6 +7,9 @@ and alignment the slot values are then compared: one item value must always stan
 separates a copy with other parameters from an accidental template match.
 
 A capitalised word at the start of a sentence may be a name or not, so windows over one are looked up both ways.
+
+Every window of an item is also looked up word for word, on the folded words before any of them becomes a slot. So a
+verbatim copy is found however many of its words are numbers, units or names, and however short it is.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteforge.llm.bitmap import collect_bitmap, may_contain
-from tasteforge.llm.words import gram_hashes, mix, slices, text_bytes, words_in, words_of
+from tasteforge.llm.words import Words, gram_hashes, mix, slices, starts_of_grams, text_bytes, words_in, words_of
 from tasteforge.session import materialize
 
 # Unit words, folded, that count as a unit behind a number.
@@ -34,7 +37,7 @@ UNITS = (
 
 @dataclass(frozen=True)
 class Templates:
-    """Windows of ``window`` symbols, at least ``literals`` of them plain words.
+    """Windows of ``window`` symbols, at least ``literals`` of them plain words, and windows of ``window`` words as they are.
 
     An item counts as contained if ``run`` of its symbols in a row stand on one consistent alignment, however long it is, or
     if windows on consistent alignments make up ``coverage`` of its windows. ``filter_bits``, a power of two, is the size of
@@ -69,6 +72,7 @@ class Symbols:
     literal: np.ndarray  # whether ``plain`` is the token itself
     doc: np.ndarray
     first: np.ndarray
+    words: Words  # all folded words, before runs of names become one symbol
 
 
 def symbols_of(column: pa.Array) -> Symbols:
@@ -87,7 +91,7 @@ def symbols_of(column: pa.Array) -> Symbols:
     n = len(words.start)
     if not n:
         none = np.zeros(0, np.uint64)
-        return Symbols(none, none, none, none.astype(bool), words.doc, words.first)
+        return Symbols(none, none, none, none.astype(bool), words.doc, words.first, words)
     opening = words.data[words.start]
     capital, sentence = upper[keep], sentence[keep][words.start]
     second = words.start + 1 + (opening >= 0x80)
@@ -109,7 +113,7 @@ def symbols_of(column: pa.Array) -> Symbols:
     stays[1:] = ~(inner[1:] & inner[:-1])  # a run of names inside a sentence is one slot
     first = np.concatenate([[0], np.cumsum(stays)])[words.first]
     literal = ~(number | unit | inner)
-    return Symbols(plain[stays], named[stays], words.hash[stays], literal[stays], words.doc[stays], first)
+    return Symbols(plain[stays], named[stays], words.hash[stays], literal[stays], words.doc[stays], first, words)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -137,17 +141,27 @@ def windows_of(symbols: Symbols, size: int, cfg: Templates) -> Iterator[tuple[np
         yield hashes[use], use, ~literal
 
 
+_VERBATIM = np.uint64(0x4444444444444444)
+
+
+def verbatim_windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, starts) of all windows of ``size`` words."""
+    starts = starts_of_grams(words, size)
+    return mix(gram_hashes(words.hash, size)[starts] + _VERBATIM + np.uint64(size)), starts
+
+
 def _slot_values(symbols: Symbols, start: int, size: int, slot: np.ndarray) -> list[int]:
     return symbols.value[start : start + size][slot[start : start + size]].view(np.int64).tolist()
 
 
-WINDOW = "key long, id long, tag long, place int, slots array<long>"
+WINDOW = "key long, id long, tag long, verbatim boolean, place int, slots array<long>"
 
 
-def _window_rows(rows: DataFrame, cfg: Templates, sizes: list[int] | None, bitmap: np.ndarray | None) -> DataFrame:
-    """(key, id, tag, place, slots) of windows: all windows of items, or those of documents that pass the bitmap.
+def _window_rows(rows: DataFrame, cfg: Templates, sizes: tuple[list[int], list[int]] | None, bitmap: np.ndarray | None) -> DataFrame:
+    """(key, id, tag, verbatim, place, slots) of windows: all windows of items, or those of documents that pass the bitmap.
 
-    Items (``sizes`` is None) shorter than the window are one window of their own length.
+    Items (``sizes`` is None) shorter than the window are one window of their own length, in symbols and in words. Places
+    count symbols, or words where ``verbatim``; there slots is empty. A document's window that is a whole item is one row.
     """
     shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
@@ -155,31 +169,47 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: list[int] | None, bitma
         for batch in batches:
             for part in slices(batch, "text"):
                 symbols = symbols_of(part.column(2))
-                lengths = np.diff(symbols.first)
-                own = {cfg.window, *(int(x) for x in lengths if x < cfg.window)} - {0, 1, 2} if sizes is None else sizes
-                keys, owners, places, slots = [], [], [], []
-                for size in own:
+                words = symbols.words
+                keys, owners, verbatim, places, slots = [], [], [], [], []
+
+                def add(size, hashes, starts, doc, first, slot=None):
+                    if shared is not None:
+                        met = may_contain(shared.value, hashes)
+                        hashes, starts = hashes[met], starts[met]
+                        if slot is None and size < cfg.window:
+                            once = np.unique(mix(hashes + mix(doc[starts].astype(np.uint64))), return_index=True)[1]
+                            hashes, starts = hashes[once], starts[once]
+                    elif size < cfg.window:
+                        whole = np.diff(first)[doc[starts]] == size
+                        hashes, starts = hashes[whole], starts[whole]
+                    keys.extend(hashes.view(np.int64).tolist())
+                    owners.extend(doc[starts].tolist())
+                    verbatim.extend([slot is None] * len(starts))
+                    places.extend((starts - first[doc[starts]]).tolist())
+                    slots.extend([] if slot is None else _slot_values(symbols, s, size, slot) for s in starts.tolist())
+
+                own, own_words = (_own_sizes(x.first, cfg) for x in (symbols, words)) if sizes is None else sizes
+                for size in {cfg.window, *own} - {1, 2}:
                     for hashes, starts, slot in windows_of(symbols, size, cfg):
-                        if shared is not None:
-                            met = may_contain(shared.value, hashes)
-                            hashes, starts = hashes[met], starts[met]
-                        elif size < cfg.window:
-                            whole = lengths[symbols.doc[starts]] == size
-                            hashes, starts = hashes[whole], starts[whole]
-                        keys += hashes.view(np.int64).tolist()
-                        owners += symbols.doc[starts].tolist()
-                        places += (starts - symbols.first[symbols.doc[starts]]).tolist()
-                        slots += [_slot_values(symbols, s, size, slot) for s in starts.tolist()]
+                        add(size, hashes, starts, symbols.doc, symbols.first, slot)
+                for size in {cfg.window, *own_words}:
+                    add(size, *verbatim_windows(words, size), words.doc, words.first)
                 owners = np.array(owners, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), part.column(0).take(pa.array(owners)), part.column(1).take(pa.array(owners)),
-                     pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.int64()))],
-                    names=["key", "id", "tag", "place", "slots"],
+                     pa.array(verbatim, pa.bool_()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.int64()))],
+                    names=["key", "id", "tag", "verbatim", "place", "slots"],
                 )
 
     return rows.mapInArrow(run, WINDOW)
 
 
+def _own_sizes(first: np.ndarray, cfg: Templates) -> list[int]:
+    """Lengths below the window, 0 apart."""
+    sizes = np.unique(np.diff(first))
+    return sizes[(sizes > 0) & (sizes < cfg.window)].tolist()
+
+
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     return df.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(body).alias("tag"), body.alias("text"))
@@ -193,35 +223,36 @@ def template_matches(
 
     coverage is the share of the item's windows found on alignments whose slots are consistent, small for a short quote of a
     long item; exact tells that all slot values are the item's own. Of an alignment that is not consistent the windows with
-    the item's own values count if they make ``run`` symbols in a row. ``tag`` is a hash of the text. Null ids take no part, null texts have no windows, and equal
-    rows count once. An item with fewer than three symbols has no window and is never found. A match is decided for each
-    (doc_id, text), so texts that share a doc_id do not complete each other.
+    the item's own values count if they make ``run`` symbols in a row. ``tag`` is a hash of the text. Null ids take no part,
+    null texts have no windows, and equal rows count once. An item that is mostly slots, or has fewer than three symbols, is found word for word only: with other
+    values nothing would tell it from chance. An item without a word is never found. A match is decided for each (doc_id,
+    text), so texts that share a doc_id do not complete each other.
     """
     bench = _window_rows(_rows(items, item_id, item_text).where("id is not null").distinct(), cfg, None, None)
     bench = materialize(bench, "templates")
-    lengths = materialize(bench.groupBy("id", "tag").agg(F.countDistinct("place").alias("n_windows")), "items")
+    lengths = materialize(bench.groupBy("id", "tag", "verbatim").agg(F.countDistinct("place").alias("n_windows")), "items")
     known = bench.select("key", F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("place").alias("item_place"),
                          F.col("slots").alias("item_slots"))
-    short = _short_sizes(items, cfg, item_text)
-    found = _window_rows(_rows(docs, doc_id, text).where("id is not null"), cfg, [cfg.window, *short], collect_bitmap(bench, "key", cfg.filter_bits))
+    found = _window_rows(_rows(docs, doc_id, text).where("id is not null"), cfg, _short_sizes(items, cfg, item_text), collect_bitmap(bench, "key", cfg.filter_bits))
     hits = found.join(known, "key").where(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    aligned = hits.groupBy("id", "tag", "item", "item_tag", (F.col("place") - F.col("item_place")).alias("shift")).agg(
+    aligned = hits.groupBy("id", "tag", "item", "item_tag", "verbatim", (F.col("place") - F.col("item_place")).alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.collect_set("item_place").alias("places"),
         F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("same"),
     )  # no longer than the item
     aligned = aligned.withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
     aligned = aligned.withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("same")))
     aligned = aligned.withColumn("run", _longest_run("places", cfg)).where(F.col("consistent") | (F.col("run") >= cfg.run))
-    whole = aligned.groupBy("id", "tag", "item", "item_tag").agg(
+    whole = aligned.groupBy("id", "tag", "item", "item_tag", "verbatim").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
         F.max("run").alias("run"),
         F.min(~F.col("consistent") | F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"),
     )
     sizes = lengths.withColumnsRenamed({"id": "item", "tag": "item_tag"})
     return (
-        whole.join(sizes, ["item", "item_tag"])
-        .withColumn("coverage", F.col("n") / F.col("n_windows"))
+        whole.join(sizes, ["item", "item_tag", "verbatim"])
+        .groupBy("id", "tag", "item", "item_tag")
+        .agg(F.max(F.col("n") / F.col("n_windows")).alias("coverage"), F.max("run").alias("run"), F.min("exact").alias("exact"))
         .where((F.col("coverage") >= cfg.coverage) | (F.col("run") >= cfg.run))
         .select(F.col("id").alias("doc_id"), "tag", F.col("item").alias("item_id"), "coverage", "exact")
     )
@@ -239,16 +270,18 @@ def _longest_run(places: str, cfg: Templates) -> Column:
     return F.aggregate(F.array_sort(places), none, add, lambda held: held["run"])
 
 
-def _short_sizes(items: DataFrame, cfg: Templates, text: str) -> list[int]:
-    """Which window sizes below ``window`` some item needs: at most window - 3 numbers."""
+def _short_sizes(items: DataFrame, cfg: Templates, text: str) -> tuple[list[int], list[int]]:
+    """Which window sizes below ``window`` some item needs, in symbols and in words: at most 2 * (window - 1) numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.unique(np.diff(symbols_of(batch.column(0)).first))
-            yield pa.RecordBatch.from_arrays([pa.array(sizes[(sizes > 2) & (sizes < cfg.window)].astype(np.int32))], names=["n"])
+            symbols = symbols_of(batch.column(0))
+            own = [(kind, n) for kind, first in ((False, symbols.first), (True, symbols.words.first)) for n in _own_sizes(first, cfg)]
+            yield pa.RecordBatch.from_pylist([{"verbatim": v, "n": n} for v, n in own], pa.schema([("verbatim", pa.bool_()), ("n", pa.int32())]))
 
     body = items.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    return sorted(r.n for r in body.mapInArrow(run, "n int").distinct().collect())
+    found = body.mapInArrow(run, "verbatim boolean, n int").distinct().collect()
+    return sorted(r.n for r in found if not r.verbatim), sorted(r.n for r in found if r.verbatim)
 
 
 def contaminated_documents(docs: DataFrame, items: DataFrame, cfg: Templates = Templates(), **columns: str) -> DataFrame:

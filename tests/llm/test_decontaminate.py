@@ -97,6 +97,17 @@ def test_a_long_verbatim_part_counts_beside_other_values(spark):
     assert got[0] == ([1], True) and got[1] == ([1], False) and got[2] == ([1], True)
 
 
+def test_slots_and_short_items_are_found_word_for_word(spark):
+    items = ["Is 17 prime?", "Add 3 and 5", "Solve x = 3", "Alice 3, Bob 4, Carol 5, Dave 6, Erin 7, Frank 8, Grace 9", "Why?", "2 + 2", "Name Ann Lee Roe"]
+    values = ["Is 19 prime?", "Add 4 and 6", "Solve x = 5", "Alice 4, Bob 5, Carol 6, Dave 7, Erin 8, Frank 9, Grace 1", "Who?", "2 + 3", "Name Ann Lee Poe"]
+    quote = FILLER + "Bob 4, Carol 5, Dave 6, Erin 7, Frank 8, Grace 9"
+    cut = FILLER + "Frank 8, Grace 9 Frank 8"
+    got = flags(spark, [FILLER + f"Then he told Jo: {t} " * 2 for t in items] + [FILLER + t for t in values] + [quote, cut], list(enumerate(items)))
+    assert all(got[i] == ([i], True) for i in range(7))
+    assert all(got[i] == ([], False) for i in range(7, 14))
+    assert got[14] == ([3], True) and got[15] == ([], False)
+
+
 def test_empty_tables_null_and_repeated_ids(spark):
     assert flags(spark, []) == {}
     assert flags(spark, ["plain text of no use here"], []) == {0: ([], False)}

@@ -2,7 +2,8 @@
 
 Inputs. Each word has two channels. The word channel is the shrunken log odds of the word among toxic against other
 training documents; the character channel does the same for the character n-grams of the word with its ends marked, as
-their maximum and mean, so that a word never seen is judged by its parts. Both tables are supervised embeddings.
+their maximum and mean, so that a word never seen is judged by its parts. A long word, as text without spaces is, counts as overlapping
+pieces. Both tables are supervised embeddings.
 
 Network. A window of ``window`` words runs through a gated recurrent unit in either direction; attention weights pool the
 states; a logistic unit gives the window's probability. Forward and backward passes are numpy. Windows overlap, every
@@ -53,17 +54,34 @@ class Network:
     entries: int = 60_000
     shortest: int = 3
     longest: int = 5
+    piece: int = 50
     cached_words: int = 100_000
     seed: int = 11
 
 
-def words_in(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+#: Inner end of a piece of a long word; no word has it.
+CUT = "+"
+
+
+def words_in(text: str | None, cfg: Network) -> list[str]:
+    """Folded words. One of more than ``cfg.piece`` characters is given in pieces that share longest - 1 characters.
+
+    A piece says with ``CUT`` where the word goes on, so together the pieces have the word's n-grams and no others.
+    """
+    found = WORD.findall(text.lower()) if text else []
+    if any(len(w) > cfg.piece for w in found):
+        found = [p for w in found for p in (_pieces(w, cfg) if len(w) > cfg.piece else [w])]
+    return found
+
+
+def _pieces(word: str, cfg: Network) -> list[str]:
+    starts = range(0, len(word) - cfg.longest + 1, cfg.piece - cfg.longest + 1)
+    return [CUT * (s > 0) + word[s : s + cfg.piece] + CUT * (s != starts[-1]) for s in starts]
 
 
 def ngrams(word: str, cfg: Network) -> set[str]:
-    """n-grams of a word between marks; no more than its first 40 and last 10 characters matter for them."""
-    marked = f"^{word}$" if len(word) <= 50 else f"^{word[:40]} {word[-10:]}$"
+    """n-grams of a word, or of a piece of one, with the word's ends marked."""
+    marked = f"^{word}$".removeprefix("^" + CUT).removesuffix(CUT + "$")
     return {marked[i : i + n] for n in range(cfg.shortest, cfg.longest + 1) for i in range(len(marked) - n + 1)}
 
 
@@ -122,7 +140,7 @@ class Lexicon:
 
 def lexicon(texts: list[str | None], cfg: Network) -> Lexicon:
     words: dict[str, int] = {}
-    docs = [np.array([words.setdefault(w, len(words)) for w in words_in(t)], np.int64) for t in texts]
+    docs = [np.array([words.setdefault(w, len(words)) for w in words_in(t, cfg)], np.int64) for t in texts]
     grams: dict[str, int] = {}
     parts, sizes = [], [0]
     for word in words:
@@ -313,7 +331,7 @@ class Scorer:
             self._clear()
         ids, owner, starts, sizes, begins, total = [], [], [], [], [], 0
         for i, text in enumerate(texts):
-            found = self._ids(words_in(text))
+            found = self._ids(words_in(text, cfg))
             own = window_starts(len(found), cfg)
             owner += [i] * len(own)
             starts += own

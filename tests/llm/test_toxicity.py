@@ -82,6 +82,23 @@ def test_worst_window_is_found_anywhere_and_batches_do_not_matter(model):
     assert np.allclose(scores, alone, atol=1e-5)
 
 
+def test_no_ngram_of_a_long_word_is_lost():
+    rng = random.Random(9)
+    for n in (50, 51, 52, 54, 55, 95, 96, 97, 142, 143, 500):
+        word = "".join(rng.choice("abcdefgh") for _ in range(n))
+        marked = f"^{word}$"
+        whole = {marked[i : i + k] for k in range(3, 6) for i in range(len(marked) - k + 1)}
+        pieces = tox.words_in(word, SMALL)
+        assert set().union(*(tox.ngrams(p, SMALL) for p in pieces)) == whole
+        assert all(len(p.strip(tox.CUT)) <= SMALL.piece for p in pieces) and (len(pieces) == 1) == (n <= 50)
+
+
+def test_the_middle_of_a_long_word_is_scored(model):
+    plain = "_".join(corpus(1, seed=7)[0][0].split()[1:2] * 40)
+    scores, _ = Scorer(model, SMALL).score([plain, plain[:120] + "_zorkhij_zorkijk_" + plain[120:]])
+    assert scores[0] < 0.3 <= scores[1]
+
+
 def test_frames_and_defined_cases(spark, model):
     rows = [(1, "wabcd wefga zorkhik"), (1, "wabcd wefga zorkhik"), (2, None), (3, ""), (4, "!? --"), (None, "wabcd " * 30_000)]
     df = spark.createDataFrame([(*r, 9.0) for r in rows], "doc_id long, text string, score double")

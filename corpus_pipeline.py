@@ -24,8 +24,8 @@ from tasteforge.llm.queries import table, vocabulary
 from tasteforge.llm.substrings import remove_repeated
 from tasteforge.session import materialize
 
-#: Documents from this score on are rejected.
-TOXIC_FROM = 0.5
+#: Documents from this score on are rejected; it is that of ``op10_toxicity``.
+TOXIC_FROM = toxicity.TOXIC_FROM
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

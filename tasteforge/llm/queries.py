@@ -93,7 +93,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 4, 2))
     model = toxicity.train(*toxicity.training_sample(docs, labels, cfg), cfg)
     scored = toxicity.score_documents(docs.withColumn("held_out", held_out("doc_id", 4, 2)), model, cfg)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
 
 
 @query

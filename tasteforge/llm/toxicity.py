@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from tasteforge.llm.words import slices
 
 WORD = re.compile(r"\w+")
+#: A document is toxic from this score on.
+TOXIC_FROM = 0.3
 
 
 @dataclass(frozen=True)

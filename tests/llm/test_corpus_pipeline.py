@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
@@ -68,6 +69,19 @@ def test_stages_against_brute_force(spark):
         assert hashlib.sha256(row.decoded.encode()).digest() == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).digest()
 
 
+def test_toxic_documents_go(spark, monkeypatch):
+    larger = SF.replace("0.001", "0.01")  # the smallest table has 11 toxic documents, too few to learn from
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    toxic = {r.doc_id for r in spark.read.parquet(f"{larger}/labels.parquet").collect() if r.toxic} & set(texts(docs))
+    assert len(toxic - set(texts(pipeline.drop_toxic(spark, docs, larger)))) >= 0.7 * len(toxic) > 0
+    # Both decide alike, also between 0.3 and 0.5.
+    assert pipeline.TOXIC_FROM == toxicity.TOXIC_FROM
+    scores = {i: s / 10 for i, s in enumerate((2.9, 3.0, 4.0, 5.0))}
+    monkeypatch.setattr(toxicity, "score_documents", lambda df, *_, score, **__: df.withColumn(score, F.element_at(F.create_map(*[F.lit(x) for kv in scores.items() for x in kv]), F.col("doc_id").cast("int"))))
+    few = docs.limit(1).drop("doc_id").crossJoin(spark.range(4).withColumnRenamed("id", "doc_id")).select(*docs.columns)
+    assert set(texts(pipeline.drop_toxic(spark, few, SF))) == {0}
+
+
 def test_run_is_the_stages_in_order(spark):
     rows = pipeline.run(spark, SF).select("doc_id", "n_tokens").collect()
     assert len({r.doc_id for r in rows}) == len(rows) > 100

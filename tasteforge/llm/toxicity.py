@@ -437,7 +437,8 @@ def _worst_windows(inputs: list[np.ndarray], able: list[int], weights: dict, cfg
 def training_sample(docs: DataFrame, labels: DataFrame, cfg: Network, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"):
     """Texts and labels of at most ``cfg.toxic`` + ``cfg.other`` labelled documents, by hash of the id.
 
-    A null label or id takes no part; an id labelled twice is labelled toxic if one of its rows is.
+    A null label or id takes no part; an id labelled twice is labelled toxic if one of its rows is. Of the texts that share
+    an id the one with the smallest hash is taken.
     """
     marks = labels.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{toxic}`").cast("int").alias("label"))
     marks = marks.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
@@ -446,7 +447,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, cfg: Network, doc_id: st
         picked.append(marks.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(most))
     sample = F.broadcast(picked[0].union(picked[1]))  # as many rows as the two bounds at most
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = texts.join(sample, "id").select("text", "label").collect()
+    found = texts.join(sample, "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
     return [r.text for r in found], [int(r.label > 0) for r in found]
 
 

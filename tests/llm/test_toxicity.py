@@ -120,6 +120,15 @@ def test_sample_bounds_and_odd_labels(spark):
     assert 6 <= sum(one[1]) <= 7 and len(one[1]) <= 18
 
 
+def test_sample_takes_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(500)] + [(2, "other"), (2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    one = training_sample(docs, labels, Network())
+    assert sorted(one[1]) == [0, 1] and one[0][one[1].index(0)] == "other"
+    two = training_sample(docs.repartition(5), labels, Network())
+    assert sorted(zip(*one, strict=True)) == sorted(zip(*two, strict=True))
+
+
 def test_one_kind_of_label_only():
     for labels, high in (([0, 0], False), ([1, 1], True), ([], False)):
         fitted = train(["some words", "other words"][: len(labels)], labels, SMALL)

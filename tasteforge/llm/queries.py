@@ -1,4 +1,4 @@
-"""The ten operators bound to the driver's tables: one query each, as registered."""
+"""The operators bound to the driver's tables: one query each, as registered."""
 
 from __future__ import annotations
 
@@ -12,11 +12,13 @@ from tasteforge.llm.chat import digest_windows, format_conversations
 from tasteforge.llm.decontaminate import flag_contaminated
 from tasteforge.llm.html import extract_text
 from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
+from tasteforge.llm.mixing import mix_sources
 from tasteforge.llm.neardup import near_duplicates
 from tasteforge.llm import toxicity
 from tasteforge.llm.neighbours import nearest
 from tasteforge.llm.substrings import remove_repeated
 from tasteforge.llm.urls import Rule, judge_urls
+from tasteforge.llm.whitening import whiten
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -131,6 +133,19 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained, identity_error: eight components of every usable vector."""
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target and taken of every document, sources weighing 3, 1, 2 in turn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = _WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
 
@@ -160,3 +175,22 @@ sql_of("op3_substring_dedup", f"""
              FROM w LEFT JOIN listed USING (doc_id))
     SELECT doc_id, n::BIGINT AS n_words, removed::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
 """)
+
+sql_of("op12_mixing", f"""
+    WITH d AS (SELECT doc_id, source, len({_WORDS.format(text="coalesce(text, '')")})::BIGINT AS size FROM documents),
+    s AS (SELECT source, sum(size)::HUGEINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM d GROUP BY source),
+    w AS (SELECT *, CASE number % 3 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 2 END AS weight FROM s),
+    -- A source is full if all sources would fit with the rest at the level (times 6) where it is.
+    f AS (SELECT a.source, any_value(a.source_size) AS source_size, any_value(a.weight) AS weight,
+                 sum(least(12 * b.source_size, 12 // a.weight * a.source_size * b.weight)) <= 9 * sum(b.source_size) AS is_full
+          FROM w a CROSS JOIN w b GROUP BY a.source, a.number),
+    t AS (SELECT sum(source_size) AS words, coalesce(sum(2 * source_size) FILTER (is_full), 0) AS caps, sum(weight) FILTER (NOT is_full) AS open FROM f),
+    p AS (SELECT source, source_size, CASE WHEN is_full THEN (2 * source_size)::DOUBLE
+                 ELSE ((3 * words - 2 * caps) * weight)::DOUBLE / (2 * open)::DOUBLE END AS target FROM f, t),
+    o AS (SELECT d.*, p.source_size, target, floor(target + 0.5)::HUGEINT AS budget,
+                 sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+          FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+           CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size + least(size, greatest(0, budget % source_size - before)) END::BIGINT AS taken
+    FROM o
+""")

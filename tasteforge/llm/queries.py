@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasteforge.llm.bpe import round_trip
 from tasteforge.llm.chat import digest_windows, format_conversations
+from tasteforge.llm.collocations import collocations
 from tasteforge.llm.decontaminate import flag_contaminated
 from tasteforge.llm.html import extract_text
 from tasteforge.llm.language import Kernel, fit, held_out, identify, training_sample
@@ -146,6 +147,13 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score: the 2,000 best phrases of 2 to 5 words of each language."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = _WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")
 
@@ -194,3 +202,22 @@ sql_of("op12_mixing", f"""
            CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size + least(size, greatest(0, budget % source_size - before)) END::BIGINT AS taken
     FROM o
 """)
+
+sql_of("op13_collocations", f"""
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+    p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+    c AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+          FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL),
+    s AS (SELECT lang, sum(f)::HUGEINT AS n FROM c WHERE k = 1 GROUP BY lang),
+    a AS (SELECT * FROM c WHERE k > 1 AND f >= 100),
+    x AS (SELECT * FROM a s WHERE NOT EXISTS (SELECT 1 FROM a t WHERE t.lang = s.lang AND t.k > s.k AND 100 * t.f >= 100 * s.f
+                                                AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' '))),
+    u AS (SELECT lang, k, phrase, f, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS ws FROM x),
+    v AS (SELECT u.*, 1000::HUGEINT * u.f * n // (l.f::HUGEINT * r.f) AS score, l.f AS l, r.f AS r, n FROM u JOIN s USING (lang)
+          JOIN c l ON l.lang = u.lang AND l.phrase = array_to_string(ws[1:cut], ' ')
+          JOIN c r ON r.lang = u.lang AND r.phrase = array_to_string(ws[cut + 1:u.k], ' ')),
+    b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase, f AS a, l, r,
+           n::BIGINT AS n, score::BIGINT AS score FROM b QUALIFY rank <= 2000
+""")

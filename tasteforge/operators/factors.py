@@ -7,10 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tasteforge.session import shared_dir
+from tasteforge.operators.ordering import number_rows
+from tasteforge.session import materialize, shared_dir
 
 # Bounds of one scoring cell (a block of users against a block of items).
 BLOCK_BYTES = 64 << 20
@@ -121,6 +122,15 @@ def usable_vectors(df: DataFrame, vector_col: str, id_col: str, dim: int) -> Dat
     return rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite)
 
 
+@dataclass
+class CellCounts:
+    """Cells (a block of users against a block of items) that a scoring had, and those that were scored, in how many waves."""
+
+    cells: int = 0
+    scored: int = 0
+    waves: int = 0
+
+
 def factor_topk(
     users: DataFrame,
     items: DataFrame,
@@ -130,42 +140,119 @@ def factor_topk(
     id_col: str = "id",
     decimals: int | None = None,
     item_rows: int | None = None,
+    counts: CellCounts | None = None,
 ) -> DataFrame:
     """(user, item, score, rank): the ``k`` items with the greatest dot product for each user, ties by item.
 
-    Exact. Users and items are hashed into blocks (``plan_blocks``); each cell, a block of either,
-    multiplies Arrow batches as matrices. It gives at most ``k`` rows per user, never the pairs, and
-    the blocks' lists are merged per user. Inside a block, items are visited by falling norm, and a
-    user stops at the first run of items whose norms cannot reach that user's k-th best score
-    (Cauchy-Schwarz). See ``usable_vectors`` for odd vectors.
-    Counting both sides runs two jobs; ``item_rows`` overrides the item block size and
-    ``decimals`` rounds scores before they are ranked.
+    Exact. Users and items are cut into blocks (``plan_blocks``); each cell, a block of either,
+    multiplies Arrow batches as matrices. It gives at most ``k`` rows per user, never the pairs. Inside a block, items are
+    visited by falling norm, and a user stops at the first run of items whose norms cannot reach that user's k-th best
+    score (Cauchy-Schwarz). More than one item block is scored in waves by falling norm (``_topk_by_norm``), which
+    carries that bound from block to block. See ``usable_vectors`` for odd vectors.
+    Counting both sides runs two jobs; ``item_rows`` overrides the item block size, ``decimals`` rounds scores before
+    they are ranked, and ``counts`` is filled with the numbers of cells.
     """
     slots = users.sparkSession.sparkContext.defaultParallelism
     n_users, n_items = users.count(), items.count()
     user_blocks, item_blocks = plan_blocks(n_users, n_items, dim, slots, item_rows)
-    # A given partition count also keeps AQE from merging cells: they are small but costly.
-    partitions = max(1, min(item_blocks * user_blocks, max(1000, 4 * slots)))
     users, items = (usable_vectors(side, vector_col, id_col, dim) for side in (users, items))
+    counts = counts or CellCounts()
+    counts.cells = user_blocks * item_blocks
+    score = _CellRun(k, dim, decimals, max(1000, 4 * slots))
+    if item_blocks > 1:
+        return _topk_by_norm(users, items, score, user_blocks, item_blocks, counts)
+    counts.scored, counts.waves = counts.cells, 1
+    left = users.select("id", "vector", _hashed(user_blocks), F.lit(0).alias("ib"))
+    right = items.select("id", "vector", _every(user_blocks), F.lit(0).alias("ib"))
+    return score(left, right, user_blocks)
 
-    def block_of(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
 
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+def _hashed(n: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("ub")
 
-    left = users.select("id", "vector", block_of(user_blocks).alias("ub"), every(item_blocks).alias("ib"))
-    right = items.select("id", "vector", every(user_blocks).alias("ub"), block_of(item_blocks).alias("ib"))
-    cells = (
-        left.repartition(partitions, "ub", "ib")
-        .groupBy("ub", "ib")
-        .cogroup(right.repartition(partitions, "ub", "ib").groupBy("ub", "ib"))
-        .applyInArrow(_cell_scorer(k, dim, decimals), "user bigint, item bigint, score double, rank int")
-    )
-    if item_blocks == 1:
-        return cells
-    best = Window.partitionBy("user").orderBy(F.col("score").desc(), F.col("item").asc())
-    return cells.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+def _every(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("ub")
+
+
+@dataclass(frozen=True)
+class _CellRun:
+    """Scores cells: (id, vector, ub, ib) of users and of items to (user, item, score, rank) within a cell."""
+
+    k: int
+    dim: int
+    decimals: int | None
+    most_partitions: int
+
+    def __call__(self, users: DataFrame, items: DataFrame, cells: int) -> DataFrame:
+        # A given partition count also keeps AQE from merging cells: they are small but costly.
+        partitions = max(1, min(cells, self.most_partitions))
+        return (
+            users.repartition(partitions, "ub", "ib")
+            .groupBy("ub", "ib")
+            .cogroup(items.repartition(partitions, "ub", "ib").groupBy("ub", "ib"))
+            .applyInArrow(_cell_scorer(self.k, self.dim, self.decimals), "user bigint, item bigint, score double, rank int")
+        )
+
+    def merged(self, lists: DataFrame) -> DataFrame:
+        best = Window.partitionBy("user").orderBy(F.col("score").desc(), F.col("item").asc())
+        return lists.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= self.k)
+
+
+def _topk_by_norm(
+    users: DataFrame, items: DataFrame, score: _CellRun, user_blocks: int, item_blocks: int, counts: CellCounts
+) -> DataFrame:
+    """Exact top-k over item blocks cut by falling norm (runs jobs).
+
+    Every user meets the block of the longest items first; the k-th best score there is the user's floor. Then blocks
+    follow in waves of 1, 2, 4 ...; a user is sent to a block only if the user's norm times the longest item's in it can
+    reach the floor, and a block of items only to blocks of users with such a user. Users are blocked by the item norm
+    they still need, so whole cells fall away. After each wave the lists are merged and floors rise; when no user can
+    reach the next wave, none can reach a later one.
+    """
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("norm")
+    items, n_items = number_rows(items.select("*", norm), [F.col("norm").desc(), "id"], "place")
+    block = max(1, -(-n_items // item_blocks))
+    items = items.select("id", "vector", "norm", F.expr(f"cast(place div {block} as int)").alias("ib"))
+    longest = [r["norm"] for r in items.groupBy("ib").agg(F.max("norm").alias("norm")).orderBy("ib").collect()]
+    item_blocks = len(longest)
+    tops = F.split(F.lit(",".join(map(repr, longest))), ",").cast("array<double>")
+    users = materialize(users.select("*", norm), "topk-users")
+    slack = 0.0 if score.decimals is None else 10.0**-score.decimals
+
+    def with_floors(frame: DataFrame, lists: DataFrame) -> DataFrame:
+        full = lists.where(F.col("rank") == score.k).select(F.col("user").alias("id"), F.col("score").alias("floor"))
+        return frame.join(full, "id", "left")
+
+    first = items.where("ib = 0").select("id", "vector", _every(user_blocks), "ib")
+    lists = score(users.select("id", "vector", _hashed(user_blocks), F.lit(0).alias("ib")), first, user_blocks)
+    lists = materialize(lists, "topk-lists")
+    counts.scored, counts.waves = user_blocks, 1
+
+    need = F.when(F.col("norm") > 0, F.col("floor") / F.col("norm"))
+    users, n_users = number_rows(with_floors(users, lists).withColumn("need", need), [F.col("need").asc_nulls_first(), "id"], "place")
+    share = max(1, -(-n_users // user_blocks))
+    users = users.select("id", "vector", "norm", F.expr(f"cast(place div {share} as int)").alias("ub"))
+
+    low, step = 1, 1
+    while low < item_blocks:
+        high = min(item_blocks, low + step)
+        bound = lambda b: F.col("norm") * F.get(tops, b)
+        # The bound is compared with some slack, as both sides of it are rounded.
+        live = F.filter(
+            F.sequence(F.lit(low), F.lit(high - 1)),
+            lambda b: F.col("floor").isNull() | (bound(b) + F.lit(1e-9) * (F.lit(1.0) + bound(b)) + F.lit(slack) >= F.col("floor")),
+        )
+        left = with_floors(users, lists).select("id", "vector", "ub", F.explode(live).alias("ib"))
+        cells = materialize(left.select("ub", "ib").distinct(), "live-cells")
+        n_cells = cells.count()
+        if not n_cells:
+            break
+        right = items.where(F.col("ib").between(low, high - 1)).join(cells, "ib").select("id", "vector", "ub", "ib")
+        lists = materialize(score.merged(lists.union(score(left, right, n_cells))), "topk-lists")
+        counts.scored, counts.waves = counts.scored + n_cells, counts.waves + 1
+        low, step = high, 2 * step
+    return lists
 
 
 def _cell_scorer(k: int, dim: int, decimals: int | None):

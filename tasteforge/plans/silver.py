@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteforge import schemas
@@ -13,7 +13,18 @@ from tasteforge.functions.parsing import flag, id_token, lenient_double, whole_n
 from tasteforge.functions.text import clean_text, long_enough
 from tasteforge.operators.latest import latest_per_key
 from tasteforge.operators.nested import explode_items, pick_fields
-from tasteforge.sources.documents import SOURCE, document_counts, readable, rejected, rescue_array, scan_documents
+from tasteforge.sources.documents import (
+    OUTCOME,
+    SOURCE,
+    compact_documents,
+    document_counts,
+    readable,
+    rejected,
+    rescue,
+    rewrite_documents,
+    scan_documents,
+    store_outcomes,
+)
 from tasteforge.sources.tables import table_path, write_table
 
 
@@ -69,7 +80,7 @@ def silver_reviews(
 
 def typed_profiles(docs: DataFrame) -> DataFrame:
     """Profiles as scanned, their values typed; an item without a usable id or playtime is dropped, its profile kept."""
-    docs = readable(rescue_array(docs, "games", schemas.GAME_READ))
+    docs = readable(rescue(docs, schemas.USER_PROFILES_READ))
     items = F.transform(
         "games",
         lambda g: F.struct(id_token(g["appid"]).alias("appid"), whole_number(g["playtime_forever"]).alias("playtime_forever")),
@@ -79,8 +90,8 @@ def typed_profiles(docs: DataFrame) -> DataFrame:
 
 
 def typed_metadata(docs: DataFrame) -> DataFrame:
-    """Metadata as scanned, its values typed."""
-    docs = readable(docs)
+    """Metadata as scanned, its values typed; a genre or category of another kind is dropped, the others kept."""
+    docs = readable(rescue(docs, schemas.APP_METADATA_READ))
     score = whole_number(F.col("metadata.metacritic.score"))
     metadata = (
         F.col("metadata")
@@ -92,7 +103,7 @@ def typed_metadata(docs: DataFrame) -> DataFrame:
 
 def typed_reviews(docs: DataFrame) -> DataFrame:
     """Reviews as scanned, their values typed; a value that cannot be read is NULL, its review kept."""
-    docs = readable(rescue_array(docs, "reviews", schemas.REVIEW_READ))
+    docs = readable(rescue(docs, schemas.APP_REVIEWS_READ))
     reviews = F.transform(
         "reviews",
         lambda r: F.struct(
@@ -107,6 +118,9 @@ def typed_reviews(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"app_id": id_token(F.col("app_id")), "reviews": reviews})
 
 
+#: The field of a document that names its entity.
+KEYS = {"user_profiles": "steam_id", "app_metadata": "app_id", "app_reviews": "app_id"}
+
 _JOBS = {
     "user_profiles": ("user_interactions", schemas.USER_PROFILES_READ, typed_profiles, silver_interactions),
     "app_metadata": ("app_metadata", schemas.APP_METADATA_READ, typed_metadata, silver_metadata),
@@ -133,8 +147,8 @@ class SilverTable:
 def run_silver(spark: SparkSession, base_path: str, layout: str = "dated") -> dict[str, SilverTable | None]:
     """Write all three silver tables; returns what was written, with None for a dataset that has not landed.
 
-    The counts come from the pass that writes the table. Documents that were lost or read in part are also written, with
-    the reason, to ``rejects/{dataset}``.
+    Each dataset is parsed once, into stored documents by outcome: the table is made from what could be read, and
+    documents that were lost or read in part are written, with the reason, to ``rejects/{dataset}``.
     """
     written: dict[str, SilverTable | None] = {}
     for dataset, (table, schema, typed, job) in _JOBS.items():
@@ -142,12 +156,25 @@ def run_silver(spark: SparkSession, base_path: str, layout: str = "dated") -> di
         if documents is None:
             written[table] = None
             continue
-        path, seen = table_path(base_path, table), Observation(f"{dataset} documents")
-        observed = documents.observe(seen, *document_counts(documents))
-        write_table(job(typed(observed), tie_breakers=(SOURCE,)), path)
-        counts, rejects = seen.get, None
+        path, rejects = table_path(base_path, table), None
+        stored, counts = store_outcomes(documents, *document_counts(documents))
+        write_table(job(typed(stored.where(F.col(OUTCOME) != "lost").drop(OUTCOME)), tie_breakers=(SOURCE,)), path)
         if counts["corrupt"] + counts["partial"]:
             rejects = f"{base_path.rstrip('/')}/rejects/{dataset}"
-            rejected(documents).write.mode("overwrite").json(rejects)
+            flagged = rejected(stored.where(F.col(OUTCOME) != "whole").drop(OUTCOME))
+            flagged.write.mode("overwrite").json(rejects)
         written[table] = SilverTable(path, **counts, rejects=rejects)
     return written
+
+
+def run_compaction(spark: SparkSession, base_path: str, out_base: str, day: str | None = None) -> list[str]:
+    """Pack all landed datasets into the hive layout under ``out_base``; returns those that were there.
+
+    The silver tables of ``out_base`` equal those of ``base_path``.
+    """
+    return [dataset for dataset, key in KEYS.items() if compact_documents(spark, base_path, dataset, key, out_base, day)]
+
+
+def run_rewrite(spark: SparkSession, base_path: str, day: str | None = None) -> list[str]:
+    """Rewrite the hive layout of all datasets, or one day of it, to the latest document per key; returns those that were there."""
+    return [dataset for dataset, key in KEYS.items() if rewrite_documents(spark, base_path, dataset, key, day)]

@@ -16,7 +16,7 @@ from tasteforge.functions.parsing import lenient_double, utc_stamp
 from tasteforge.functions.scoring import hybrid_score
 from tasteforge.functions.text import clean_text, long_enough
 from tasteforge.operators.dictionary import IdDictionary, fit_dictionary, load_dictionary, save_dictionary
-from tasteforge.operators.factors import factor_topk, predict
+from tasteforge.operators.factors import AlsSettings, factor_topk, predict
 from tasteforge.operators.joins import enrich, left_join_feedback, missing_keys
 from tasteforge.operators.latest import latest_per_key
 from tasteforge.operators.nested import compute_once, explode_items, pick_fields
@@ -26,8 +26,19 @@ from tasteforge.plans import bronze, gold, silver, worklists
 from tasteforge.plans.serve import recommend_topk
 from tasteforge.plans.train import train_and_evaluate
 from tasteforge.session import intermediate_path, materialize
-from tasteforge.sources.bundle import ModelBundle
-from tasteforge.sources.documents import DAY, corrupt_report, on_day, readable, scan_documents, write_documents
+from tasteforge.sources.bundle import ModelBundle, load_bundle, save_bundle
+from tasteforge.sources.documents import (
+    DAY,
+    SOURCE,
+    compact_documents,
+    corrupt_report,
+    on_day,
+    readable,
+    rewrite_documents,
+    scan_documents,
+    scan_or_empty,
+    write_documents,
+)
 from tasteforge.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +655,23 @@ def factor_top5(spark, sf_dir):
     return lists.select(F.col("user").alias("user_id"), F.col("item").alias("item_id"), "rank")
 
 
+@_register("""
+    WITH w AS (SELECT vec_id, embedding::DOUBLE[] AS e, (1 + vec_id % 50)::DOUBLE AS d FROM embeddings),
+    v AS (SELECT vec_id, e, [x / d for x in e] AS f FROM w),
+    s AS (SELECT u.vec_id AS user_id, i.vec_id AS item_id, round(list_dot_product(u.e, i.f), 9) AS score FROM v u CROSS JOIN v i)
+    SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id)::INT AS "rank"
+    FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) <= 10
+""")
+def factor_topk_by_norm(spark, sf_dir):
+    """Items of very different lengths, as popular ones are, in blocks cut by norm: most cells cannot reach a floor."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    dim = vectors.agg(F.max(F.size("e")).alias("n")).first()["n"]
+    shrink = (1 + F.col("vec_id") % 50).cast("double")
+    items = vectors.select("vec_id", F.transform("e", lambda x: x / shrink).alias("e"))
+    lists = factor_topk(vectors, items, 10, dim, vector_col="e", id_col="vec_id", decimals=9, item_rows=100)
+    return lists.select(F.col("user").alias("user_id"), F.col("item").alias("item_id"), "score", "rank")
+
+
 @_register("""
     WITH m AS (""" + ORACLES["interaction_matrix"] + """),
     parts AS (SELECT *, ('0x' || substr(md5(user_index || ':' || item_index), 1, 8))::BIGINT % 100 < 80 AS train FROM m),
@@ -782,3 +810,167 @@ def stored_dictionary(spark, sf_dir):
     path = intermediate_path(spark, "dictionary")
     save_dictionary(dictionary, path)
     return load_dictionary(spark, path).encode(orders, "o_custkey", "user_index")
+
+
+@_register("""
+    SELECT 'user_interactions' AS part, event_id || '/' || user_id AS entity, trunc(round(value, 2))::BIGINT AS playtime_minutes
+    FROM events WHERE event_id % 10 <> 0 AND trunc(round(value, 2)) > 0
+    UNION ALL SELECT CASE event_id % 10 WHEN 0 THEN 'not JSON' ELSE 'value of another kind' END, event_id::VARCHAR, 0::BIGINT
+    FROM events WHERE event_id % 10 < 2
+""")
+def silver_run(spark, sf_dir):
+    """The whole silver job over landed lines: every tenth is not JSON, every tenth has an element of another kind."""
+    line = F.format_string(
+        '{"steam_id": "%d", "ingested_at": "2024-01-01T00:00:00", "games": [%s{"appid": %d, "playtime_forever": %s}]}',
+        "event_id", F.when(F.col("event_id") % 10 == 1, '"odd", ').otherwise(""), "user_id", F.round("value", 2).cast("string"),
+    )
+    text = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{ not json "), _text("event_id"))).otherwise(line)
+    base = intermediate_path(spark, "landed")
+    _table(spark, sf_dir, "events").select(text).write.text(f"{base}/raw/user_profiles/{DAY}=2024-01-01")
+    written = silver.run_silver(spark, base, "hive")["user_interactions"]
+    played = read_table(spark, written.path).select(
+        F.lit("user_interactions").alias("part"), F.concat_ws("/", "steam_id", "app_id").alias("entity"), "playtime_minutes"
+    )
+    rejects = spark.read.schema("reason STRING, text STRING").json(written.rejects)
+    return played.union(rejects.select("reason", F.regexp_extract("text", r"(\d+)", 1), F.lit(0).cast("bigint")))
+
+
+@_register("""
+    SELECT count(*) AS documents, count(*) FILTER (event_id % 10 = 0) AS corrupt, count(*) FILTER (event_id % 10 <> 0 AND event_id % 3 = 0) AS partial,
+           count(*) FILTER (event_id % 10 <> 0 AND event_id % 7 = 0) AS unstamped
+    FROM events
+""")
+def reject_counts_partial(spark, sf_dir):
+    """Counts over lines of which some are not JSON, some have a field of another kind and some have no stamp."""
+    stamp = F.when(F.col("event_id") % 7 == 0, "").otherwise(', "ingested_at": "2024-01-01T00:00:00"')
+    games = F.when(F.col("event_id") % 3 == 0, '{"appid": 1}').otherwise("[]")
+    line = F.format_string('{"steam_id": "%d", "games": %s%s}', "event_id", games, stamp)
+    base = intermediate_path(spark, "landed")
+    text = F.when(F.col("event_id") % 10 == 0, F.lit("{ not json")).otherwise(line)
+    _table(spark, sf_dir, "events").select(text).write.text(f"{base}/raw/user_profiles/{DAY}=2024-01-01")
+    return corrupt_report(scan_documents(spark, base, "user_profiles", schemas.USER_PROFILES_READ, layout="hive"))
+
+
+@_register("""
+    SELECT p_partkey::VARCHAR AS app_id, p_name AS game_name,
+           CASE p_partkey % 4 WHEN 0 THEN p_type || ',' || p_brand WHEN 1 THEN p_brand WHEN 2 THEN '' ELSE p_type END AS genres,
+           CASE WHEN p_partkey % 4 < 2 THEN p_brand ELSE p_type END AS categories
+    FROM part
+""")
+def silver_metadata_mixed(spark, sf_dir):
+    """Metadata whose nested arrays hold elements of other kinds: those go, their neighbours stay."""
+    case = F.col("p_partkey") % 4
+    kind, brand = (F.format_string('{"id": "1", "description": "%s"}', c) for c in ("p_type", "p_brand"))
+    genres = (
+        F.when(case == 0, F.format_string('["Action", %s, 7, %s]', kind, brand))
+        .when(case == 1, F.format_string("[%s, [1, 2]]", brand))
+        .when(case == 2, F.lit('["none", true]'))
+        .otherwise(F.format_string("[%s]", kind))
+    )
+    categories = F.when(case < 2, F.format_string("[3.5, %s]", brand)).otherwise(F.format_string("[%s]", kind))
+    line = F.format_string(
+        '{"app_id": %d, "ingested_at": "2024-01-01T00:00:00", "metadata": {"name": "%s", "genres": %s, "categories": %s}}',
+        "p_partkey", "p_name", genres, categories,
+    )
+    base = intermediate_path(spark, "landed")
+    _table(spark, sf_dir, "part").select(line).write.text(f"{base}/raw/app_metadata/{DAY}=2024-01-01")
+    docs = scan_documents(spark, base, "app_metadata", schemas.APP_METADATA_READ, layout="hive")
+    flat = silver.silver_metadata(silver.typed_metadata(docs), (SOURCE,))
+    return flat.select("app_id", "game_name", *[F.array_join(c, ",").alias(c) for c in ("genres", "categories")])
+
+
+@_register("""
+    SELECT 'user_profiles' AS dataset, count(*) AS documents, 0::BIGINT AS played, 4 AS fields FROM customer
+    UNION ALL SELECT 'app_reviews', 0::BIGINT, 0::BIGINT, 4
+""")
+def scan_missing_dataset(spark, sf_dir):
+    """One dataset that has landed and one that has not: typed columns and no rows, not an error."""
+    base = intermediate_path(spark, "landed")
+    line = F.format_string('{"steam_id": "%d", "games": []}', "c_custkey")
+    _table(spark, sf_dir, "customer").select(line).write.text(f"{base}/raw/user_profiles/{DAY}=2024-01-01")
+    found = []
+    for dataset, schema, items in (
+        ("user_profiles", "steam_id STRING, games ARRAY<STRUCT<appid: STRING>>", "games"),
+        ("app_reviews", "app_id STRING, reviews ARRAY<STRUCT<review_id: STRING>>", "reviews"),
+    ):
+        docs = readable(scan_or_empty(spark, base, dataset, schema, layout="hive"))
+        facts = docs.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size(items).cast("bigint")), F.lit(0).cast("bigint")).alias("played"))
+        found.append(facts.select(F.lit(dataset).alias("dataset"), "documents", "played", F.lit(len(docs.columns)).alias("fields")))
+    return found[0].union(found[1])
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(text, day, s_suppkey): two pretty-printed snapshots of every supplier, and a third of every other one on the first day."""
+    copies = F.when(F.col("s_suppkey") % 2 == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1), F.lit(3)))
+    rows = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.explode(copies).alias("copy"))
+    text = F.format_string(
+        '{\n  "steam_id": "%d",\n  "ingested_at": "2024-01-0%dT00:00:0%d",\n  "games": [\n    {"appid": %d, "playtime_forever": %d}\n  ]\n}',
+        "s_suppkey", F.when(F.col("copy") == 3, 2).otherwise(1), "copy", "s_nationkey", "copy",
+    )
+    return rows.select(text.alias("text"), F.when(F.col("copy") == 3, "2024-01-02").otherwise("2024-01-01").alias("day"))
+
+
+@_register("""
+    SELECT 'before' AS state, s_suppkey::VARCHAR AS steam_id, s_nationkey::VARCHAR AS app_id, 3::BIGINT AS playtime_minutes, 2 * count(*) OVER () + count(*) FILTER (s_suppkey % 2 = 0) OVER () AS documents FROM supplier
+    UNION ALL SELECT 'after', s_suppkey::VARCHAR, s_nationkey::VARCHAR, 3::BIGINT, 2 * count(*) OVER () FROM supplier
+""")
+def compacted_documents(spark, sf_dir):
+    """One file per document on two days, packed into lines by day: the same silver rows from fewer documents."""
+    base, out = intermediate_path(spark, "landed"), intermediate_path(spark, "packed")
+    snapshots = materialize(_snapshots(spark, sf_dir), "snapshots")
+    for day in ("2024-01-01", "2024-01-02"):
+        files = snapshots.where(F.col("day") == day).select("text").write.option("maxRecordsPerFile", 1)
+        files.text(f"{base}/raw/user_profiles/{day}")
+    compact_documents(spark, base, "user_profiles", "steam_id", out, files="*.txt")
+    states = []
+    for state, root, layout in (("before", base, "dated"), ("after", out, "hive")):
+        docs = scan_documents(spark, root, "user_profiles", schemas.USER_PROFILES_READ, layout, files="*.txt")
+        rows = silver.silver_interactions(silver.typed_profiles(docs), (SOURCE,))
+        states.append(rows.select(F.lit(state).alias("state"), "*", F.lit(docs.count()).alias("documents")))
+    return states[0].union(states[1])
+
+
+@_register("""
+    SELECT o_orderkey::VARCHAR AS steam_id, CASE WHEN o_orderkey % 3 = 0 THEN '2024-01-01T00:00:02' ELSE '2024-01-01T00:00:01' END AS ingested_at,
+           o_custkey AS appid, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS playtime_forever
+    FROM orders WHERE o_custkey % 2 = 0
+    UNION ALL SELECT 'stored', NULL, count(*) FILTER (o_custkey % 2 = 0), (count(*) FILTER (o_custkey % 2 = 0 AND o_orderkey % 3 = 0))::BIGINT FROM orders
+""")
+def rewritten_documents(spark, sf_dir):
+    """A day that a rerun has appended to, rewritten to the latest document per key; the last row counts stored and replaced ones."""
+    base = intermediate_path(spark, "landed")
+    orders = _table(spark, sf_dir, "orders").where("o_custkey % 2 = 0")
+    for run, rows in ((1, orders), (2, orders.where("o_orderkey % 3 = 0"))):
+        games = F.array(_struct(appid=F.col("o_custkey"), playtime_forever=F.lit(run).cast("bigint")))
+        stamp = F.lit(f"2024-01-01T00:00:0{run}").alias("ingested_at")
+        write_documents(rows.select(stamp, _text("o_orderkey").alias("steam_id"), games.alias("games")), base, "user_profiles")
+    landed = scan_documents(spark, base, "user_profiles", schemas.USER_PROFILES, layout="hive").count()
+    rewrite_documents(spark, base, "user_profiles", "steam_id", day="2024-01-01")
+    docs = scan_documents(spark, base, "user_profiles", schemas.USER_PROFILES, layout="hive")
+    stored = docs.count()
+    rows = explode_items(readable(docs), "games", {"appid": "appid", "playtime_forever": "playtime_forever"}, carry=("steam_id", "ingested_at"))
+    facts = spark.createDataFrame([("stored", None, stored, landed - stored)], "steam_id STRING, ingested_at STRING, appid BIGINT, playtime_forever BIGINT")
+    return rows.union(facts)
+
+
+@_register("""
+    WITH m AS (""" + ORACLES["interaction_matrix"] + """)
+    SELECT count(DISTINCT user_index) AS users, count(DISTINCT user_index) * least(5, count(DISTINCT item_index)) AS listed, 0::BIGINT AS different,
+           'second' AS run_id
+    FROM m
+""")
+def stored_model(spark, sf_dir):
+    """Factors that were trained, saved and loaded serve the same lists; the newest published bundle is the one that serves."""
+    tables = _gold(spark, sf_dir)
+    model = train_and_evaluate(materialize(tables.matrix, "matrix"), AlsSettings(rank=4, max_iter=2, num_blocks=4), train_percent=100).model
+    base = intermediate_path(spark, "store")
+    bundles = [ModelBundle.of_model(run, model, tables.users, tables.items) for run in ("first", "second")]
+    for bundle in bundles:
+        save_bundle(bundle, base)
+    loaded = load_bundle(spark, base)
+    asked = tables.users.frame.select(F.col("label").alias("steam_id"))
+    metadata = _table(spark, sf_dir, "part").select(_text("p_partkey").alias("app_id"), F.col("p_name").alias("game_name"), F.array("p_type").alias("genres"))
+    lists = [materialize(recommend_topk(b, asked, metadata, k=5, ordered=False), "lists") for b in (bundles[1], loaded)]
+    different = lists[0].exceptAll(lists[1]).union(lists[1].exceptAll(lists[0])).count()
+    facts = lists[1].agg(F.countDistinct("steam_id").alias("users"), F.count(F.lit(1)).alias("listed"))
+    return facts.select("*", F.lit(different).cast("bigint").alias("different"), F.lit(loaded.run_id).alias("run_id"))

@@ -8,14 +8,19 @@ which splits, prunes by day and does not need a file per entity; ``write_documen
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tasteforge.functions.parsing import utc_day
+from tasteforge.functions.parsing import id_token, utc_day
+from tasteforge.operators.latest import latest_per_key
+from tasteforge.session import intermediate_path, materialize
 
 CORRUPT = "_corrupt_record"
 SOURCE = "source_file"
 DAY = "ingest_date"
+OUTCOME = "outcome"
+LINES = "*.{json,txt}"
 
 
 def scan_documents(
@@ -25,13 +30,14 @@ def scan_documents(
     schema: str,
     layout: str = "dated",
     day: str | None = None,
-    files: str = "*.json",
+    files: str | None = None,
 ) -> DataFrame | None:
     """Documents with their day, source file and corrupt text; None when the dataset is not there.
 
-    ``day`` (YYYY-MM-DD) reads that day's folder only; ``files`` is a pattern for file names. Any failure other than a missing path is
-    raised.
+    ``day`` (YYYY-MM-DD) reads that day's folder only; ``files`` is a pattern for file names (json, and text files of lines
+    in the hive layout). Any failure other than a missing path is raised.
     """
+    files = files or ("*.json" if layout == "dated" else LINES)
     root = f"{base_path.rstrip('/')}/raw/{dataset}"
     reader = (
         spark.read.schema(f"{schema}, {CORRUPT} STRING")
@@ -55,8 +61,31 @@ def scan_documents(
     return docs.withColumn(SOURCE, F.col("_metadata.file_path"))
 
 
+def scan_or_empty(
+    spark: SparkSession, base_path: str, dataset: str, schema: str, layout: str = "dated", day: str | None = None, files: str | None = None
+) -> DataFrame:
+    """Like ``scan_documents``, but a dataset that is not there gives no rows, with the columns and types of one that is."""
+    docs = scan_documents(spark, base_path, dataset, schema, layout, day, files)
+    return docs if docs is not None else spark.createDataFrame([], f"{schema}, {CORRUPT} STRING, {DAY} DATE, {SOURCE} STRING")
+
+
+
+def store_outcomes(docs: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """Scanned documents parsed once and stored by outcome (``whole``, ``partial`` or ``lost``), with the measures (runs a job).
+
+    What reads the documents and what reads the rejects each open their own partition, so neither parses JSON again and a
+    clean dataset has no second output at all. The text of a document is stored only where it was flagged.
+    """
+    outcome = F.when(_lost(docs), "lost").when(F.col(CORRUPT).isNotNull(), "partial").otherwise("whole")
+    seen = Observation("documents")
+    path = intermediate_path(docs.sparkSession, "outcomes")
+    docs.observe(seen, *measures).withColumn(OUTCOME, outcome).write.partitionBy(OUTCOME).parquet(path)
+    schema = T.StructType([*docs.schema.fields, T.StructField(OUTCOME, T.StringType())])
+    return docs.sparkSession.read.schema(schema).parquet(path), seen.get
+
+
 def _fields(docs: DataFrame) -> list[str]:
-    return [c for c in docs.columns if c not in (CORRUPT, SOURCE, DAY)]
+    return [c for c in docs.columns if c not in (CORRUPT, SOURCE, DAY, OUTCOME)]
 
 
 def _lost(docs: DataFrame) -> Column:
@@ -76,14 +105,42 @@ def readable(docs: DataFrame) -> DataFrame:
     return docs.where(~_lost(docs)).drop(CORRUPT)
 
 
-def rescue_array(docs: DataFrame, column: str, element: str) -> DataFrame:
-    """Fill an array of objects (``element`` is their DDL) that the parser gave up for one element of another kind.
+def _loose(kind: T.DataType) -> T.DataType:
+    """``kind`` with text for every leaf and for every array element."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind.fields])
+    return T.ArrayType(T.StringType()) if isinstance(kind, T.ArrayType) else T.StringType()
+
+
+def _tighten(value: Column, kind: T.DataType) -> Column:
+    """A value read as ``_loose(kind)`` as ``kind``: elements that are no objects (or arrays) where those belong are dropped."""
+    if isinstance(kind, T.StructType):
+        fields = [_tighten(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if not isinstance(kind, T.ArrayType):
+        return value if isinstance(kind, T.StringType) else value.try_cast(kind)
+    inner = kind.elementType
+    if not isinstance(inner, (T.StructType, T.ArrayType)):
+        return F.transform(value, lambda e: _tighten(e, inner))
+    opens = "{" if isinstance(inner, T.StructType) else "["
+    fitting = F.filter(value, lambda e: F.startswith(F.ltrim(e), F.lit(opens)))
+    return F.transform(fitting, lambda e: _tighten(F.from_json(e, _loose(inner)), inner))
 
-    Only flagged documents are parsed again, element by element; the odd element becomes NULL fields.
+
+def rescue(docs: DataFrame, schema: str) -> DataFrame:
+    """Read flagged documents again, array element by array element, at any depth of ``schema``.
+
+    The parser gives a whole array up for one element of another kind. Here such an element is dropped and its neighbours
+    stay, also in arrays inside objects and inside other arrays' elements. Documents that were not flagged are left alone.
     """
-    again = F.from_json(CORRUPT, f"{column} ARRAY<STRING>").getField(column)
-    rescued = F.transform(again, lambda e: F.from_json(e, element))
-    return docs.withColumn(column, F.when(F.col(CORRUPT).isNotNull() & F.col(column).isNull(), rescued).otherwise(F.col(column)))
+    kind = T.StructType.fromDDL(schema)
+    again = F.from_json(CORRUPT, _loose(kind))
+    return docs.withColumns(
+        {
+            f.name: F.when(F.col(CORRUPT).isNull(), F.col(f.name)).otherwise(_tighten(again.getField(f.name), f.dataType))
+            for f in kind.fields
+        }
+    )
 
 
 def document_counts(docs: DataFrame, stamp: str = "ingested_at") -> list[Column]:
@@ -119,6 +176,74 @@ def write_documents(docs: DataFrame, base_path: str, dataset: str, day: Column |
     stamped.write.partitionBy(DAY).mode("append").json(f"{base_path.rstrip('/')}/raw/{dataset}")
 
 
+def _packed(texts: DataFrame, key: str) -> DataFrame:
+    """Document texts (text, day, source) as lines, the latest of each day and key; texts without a key all stay.
+
+    A line break in JSON is white space between tokens, so joining lines loses nothing. Texts are kept as they are, with
+    fields that no schema here knows.
+    """
+    line = F.regexp_replace("text", r"[\r\n]+", " ")
+    known = texts.select(
+        line.alias("value"),
+        DAY,
+        SOURCE,
+        id_token(F.get_json_object("text", f"$.{key}")).alias("_key"),
+        F.get_json_object("text", "$.ingested_at").alias("_stamp"),
+    )
+    known = materialize(known, "document-lines")
+    latest = latest_per_key(known.where("_key is not null"), [DAY, "_key"], "_stamp", [SOURCE, "value"])
+    return latest.union(known.where("_key is null")).select("value", DAY)
+
+
+def compact_documents(
+    spark: SparkSession, base_path: str, dataset: str, key: str, out_base: str, day: str | None = None, files: str = "*.json"
+) -> bool:
+    """Pack the dated layout, one file per document, into the hive layout under ``out_base``; False if nothing landed.
+
+    A day (or every day) becomes a few files of one document a line that list, split and prune well. Of several
+    documents of a key on one day the latest stays, which is the one that latest-per-key would read. Texts that are
+    not JSON are kept. Days that are packed again are replaced.
+    """
+    try:
+        folder = f"{base_path.rstrip('/')}/raw/{dataset}/{day or '*'}"
+        texts = spark.read.option("pathGlobFilter", files).text(folder, wholetext=True)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    of_path = F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1).try_cast("date")
+    texts = texts.select(F.col("value").alias("text"), of_path.alias(DAY), F.col("_metadata.file_path").alias(SOURCE))
+    _replace_days(_packed(texts, key), out_base, dataset)
+    return True
+
+
+def rewrite_documents(spark: SparkSession, base_path: str, dataset: str, key: str, day: str | None = None, files: str = LINES) -> bool:
+    """Rewrite a day of the hive layout (or every day) to its latest document per key; False if nothing landed.
+
+    Reruns append newer snapshots; without this a day grows with every one. The lines are stored before the day is
+    replaced, and other days are not touched.
+    """
+    root = f"{base_path.rstrip('/')}/raw/{dataset}"
+    try:
+        lines = spark.read.option("pathGlobFilter", files).schema(f"value STRING, {DAY} DATE").text(root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    if day is not None:
+        lines = lines.where(F.col(DAY) == F.lit(day).cast("date"))
+    texts = lines.select(F.col("value").alias("text"), DAY, F.col("_metadata.file_path").alias(SOURCE))
+    kept = materialize(_packed(texts, key), "rewritten")
+    _replace_days(kept, base_path, dataset)
+    return True
+
+
+def _replace_days(lines: DataFrame, base_path: str, dataset: str) -> None:
+    # Rebalanced by day: a large day is split into files of the advisory size, small days are not scattered.
+    writer = lines.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
+    writer.option("partitionOverwriteMode", "dynamic").text(f"{base_path.rstrip('/')}/raw/{dataset}")
+
+
 def on_day(df: DataFrame, stamp: str, day: str) -> DataFrame:
     """Rows of one day, as a half-open range on the stored column so that the scan can skip row groups."""
     kind = df.schema[stamp].dataType

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tasteforge.operators.factors import AlsSettings, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
+from tasteforge.operators.factors import AlsSettings, CellCounts, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
 from tasteforge.operators.splits import rmse
 from tasteforge.plans.train import train_and_evaluate
 
@@ -33,6 +33,31 @@ def test_topk_equals_brute_force(spark, item_rows, scale):
     assert {(r.user, r.item, r["rank"]) for r in got.collect()} == brute_force(users, items, 4)
 
 
+def test_blocks_that_cannot_reach_a_floor_are_neither_scored_nor_sent(spark):
+    rng = np.random.default_rng(7)
+    users, items = rng.normal(size=(80, 4)), rng.normal(size=(400, 4)) * np.geomspace(100, 0.01, 400)[:, None]
+    users[::9] *= 1000
+    counts = CellCounts()
+    got = factor_topk(frame(spark, users), frame(spark, items), 5, 4, decimals=9, item_rows=20, counts=counts)
+    assert {(r.user, r.item, r["rank"]) for r in got.collect()} == brute_force(users, items, 5)
+    assert counts.cells >= 20 and counts.scored < counts.cells / 2 and counts.waves < 6
+    # Equal norms leave nothing to skip; every cell is scored, in waves of 1, 1, 2, 4, 8 ... blocks.
+    even = np.eye(4)[rng.integers(0, 4, 400)] * 3.0
+    got = factor_topk(frame(spark, users), frame(spark, even), 5, 4, decimals=9, item_rows=20, counts=counts)
+    assert {(r.user, r.item, r["rank"]) for r in got.collect()} == brute_force(users, even, 5)
+    assert counts.scored == counts.cells and counts.waves >= 5
+
+
+def test_blocks_by_norm_with_ties_zeros_short_lists_and_empty_sides(spark):
+    users = [[1.0, 0.0], [0.0, 0.0], [-1.0, 2.0]]
+    items = [[0.0, 0.0]] * 5 + [[2.0, 0.0]] * 5 + [[-2.0, 0.0]] * 5 + [[0.0, 0.5]] * 3
+    for k in (3, 7, 40):
+        got = factor_topk(frame(spark, users), frame(spark, items), k, 2, item_rows=2)
+        assert {(r.user, r.item, r["rank"]) for r in got.collect()} == brute_force(np.array(users), np.array(items), k)
+    assert factor_topk(frame(spark, users).limit(0), frame(spark, items), 3, 2, item_rows=2).collect() == []
+    assert factor_topk(frame(spark, users), frame(spark, [[float("nan"), 0.0]] * 5), 3, 2, item_rows=2).collect() == []
+
+
 def test_norm_bound_cuts_across_item_runs(spark):
     rng = np.random.default_rng(5)
     users = np.abs(rng.normal(size=(20, 3)))

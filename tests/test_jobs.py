@@ -2,6 +2,7 @@
 
 import json
 import math
+from dataclasses import replace
 
 import pytest
 
@@ -10,7 +11,8 @@ from tasteforge.plans.gold import interaction_matrix, run_gold, score_interactio
 from tasteforge.plans.serve import recommend_topk, run_recommend, unserved_users, users_frame
 from tasteforge.plans.silver import run_silver
 from tasteforge.plans.train import run_training
-from tasteforge.sources.bundle import list_bundles, load_bundle
+from tasteforge.sources import bundle as bundles
+from tasteforge.sources.bundle import list_bundles, load_bundle, save_bundle
 from tasteforge.sources.tables import read_table, table_path
 
 
@@ -120,11 +122,39 @@ def test_bundle_round_trip_and_mixed_parts(spark, base, bundle):
     run_training(spark, base, run_id="second")
     assert [r.run_id for r in list_bundles(spark, base).collect()] == ["second", "first"]
     assert load_bundle(spark, base).run_id == "second"
-    bundle.users.frame.limit(2).write.mode("overwrite").parquet(f"{base}/models/second/users")
+    folder = list_bundles(spark, base).first().folder
+    bundle.users.frame.limit(2).write.mode("overwrite").parquet(f"{base}/models/parts/{folder}/users")
     with pytest.raises(ValueError, match="different runs"):
         load_bundle(spark, base, "second")
 
 
+def test_a_crash_between_parts_leaves_the_published_bundle(spark, base, bundle, tmp_path, monkeypatch):
+    store = str(tmp_path)
+    with pytest.raises(ValueError, match="no complete model bundle"):
+        load_bundle(spark, store)
+    save_bundle(bundle, store)
+    served = load_bundle(spark, store).item_factors.collect()
+    for part in ("save_dictionary", "utc_stamp"):  # while parts are written, and right before the commit
+        with monkeypatch.context() as patch:
+            patch.setattr(bundles, part, lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                save_bundle(replace(bundle, rmse=-1.0), store)
+        assert load_bundle(spark, store, "first").rmse == bundle.rmse
+        assert load_bundle(spark, store).item_factors.collect() == served
+    save_bundle(replace(bundle, rmse=-1.0), store)
+    assert load_bundle(spark, store).rmse == -1.0 and list_bundles(spark, store).count() == 1
+
+
+def test_a_bundle_of_given_factors_round_trips(spark, base, bundle, tmp_path):
+    given = replace(bundle, als=None, run_id="given")
+    save_bundle(given, str(tmp_path))
+    loaded = load_bundle(spark, str(tmp_path), "given")
+    metadata = read_table(spark, table_path(base, "app_metadata"))
+    asked = users_frame(spark, ["u3", "u5"])
+    lists = [sorted(map(tuple, recommend_topk(b, asked, metadata, k=4, ordered=False).drop("genres").collect())) for b in (bundle, loaded)]
+    assert lists[0] and lists[0] == lists[1] and loaded.als is None
+
+
 def test_training_refuses_a_matrix_of_another_run(spark, base, bundle, tmp_path):
     copy = str(tmp_path)
     for table in ("ml_interaction_matrix", "item_dictionary"):
@@ -167,6 +197,32 @@ def test_missing_dataset_does_not_stop_the_others(spark, tmp_path):
     assert read_table(spark, written["app_metadata"].path).count() == 1
 
 
+def test_packed_documents_give_the_same_silver_tables(spark, base, bundle, tmp_path):
+    """Dated files to the hive layout, then a rewritten day: fewer documents, the same tables."""
+    packed = str(tmp_path / "packed")
+    main(["compact", "--base-path", base, "--out", packed])
+    before, after = run_silver(spark, base), run_silver(spark, packed, "hive")
+    for table in ("user_interactions", "app_metadata", "app_reviews"):
+        old, new = (read_table(spark, w[table].path) for w in (before, after))
+        assert old.count() and old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty()
+    folder = tmp_path / "packed/raw/user_profiles"
+    assert sorted(p.name for p in folder.glob("ingest_date=*")) == ["ingest_date=2026-06-08", "ingest_date=2026-06-09"]
+    assert len(list(folder.glob("*/part-*"))) <= 4
+    # A rerun of the day appends; rewriting keeps one document per key and does not touch the other day.
+    day, rest = folder / "ingest_date=2026-06-09", {p.name for p in (folder / "ingest_date=2026-06-08").iterdir()}
+    lines = [line for p in day.glob("part-*") for line in p.read_text().splitlines()]
+    newer = [json.dumps({**json.loads(line), "ingested_at": "2026-06-09T01:00:00", "more": "kept"}) for line in lines]
+    (day / "again.json").write_text("\n".join([*newer, "{ not json"]))
+    main(["compact", "--base-path", packed, "--layout", "hive", "--day", "2026-06-09"])
+    now = [line for p in day.glob("part-*") for line in p.read_text().splitlines()]
+    assert sorted(now) == sorted([*newer, "{ not json"]) and not (day / "again.json").exists()
+    assert {p.name for p in (folder / "ingest_date=2026-06-08").iterdir()} == rest
+    again = read_table(spark, run_silver(spark, packed, "hive")["user_interactions"].path)
+    assert again.exceptAll(read_table(spark, before["user_interactions"].path)).isEmpty() and again.count()
+    with pytest.raises(SystemExit):
+        main(["compact", "--base-path", base])
+
+
 def test_command_line(spark, base, bundle, capsys):
     main(["silver", "--base-path", base])
     main(["recommend", "--base-path", base, "--user", "u3", "--user", "nobody", "--top", "2", "--run-id", "first"])

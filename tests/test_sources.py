@@ -7,7 +7,21 @@ from pyspark.sql import functions as F
 from tasteforge import schemas
 from tasteforge.operators.latest import latest_per_key
 from tasteforge.plans.silver import run_silver
-from tasteforge.sources.documents import corrupt_report, on_day, readable, scan_documents, write_documents
+from tasteforge.sources.documents import (
+    OUTCOME,
+    compact_documents,
+    corrupt_report,
+    document_counts,
+    on_day,
+    readable,
+    rejected,
+    rescue,
+    rewrite_documents,
+    scan_documents,
+    scan_or_empty,
+    store_outcomes,
+    write_documents,
+)
 from tasteforge.sources.tables import read_table, write_table
 
 
@@ -139,3 +153,73 @@ def test_one_value_of_another_kind_costs_that_value_only(spark, tmp_path):
     assert reviews == {("9", "1", "2", 8, True, 0.5, "long enough text"), ("9", "b", "c", None, None, 0.0, "also long enough")}
     (meta,) = read_table(spark, written["app_metadata"].path).collect()
     assert (meta.app_id, meta.game_name, meta.is_free, meta.metacritic_score) == ("9", "n", True, None)
+
+
+def test_elements_of_another_kind_go_at_any_depth(spark, tmp_path):
+    schema = "id STRING, a STRUCT<b: ARRAY<STRUCT<n: BIGINT, c: ARRAY<STRUCT<d: STRING>>>>, e: ARRAY<STRING>>, f ARRAY<ARRAY<BIGINT>>"
+    documents = [
+        {"id": "clean", "a": {"b": [{"n": 1, "c": [{"d": "x"}]}], "e": ["p"]}, "f": [[1, 2], []]},
+        {"id": "odd", "a": {"b": ["Action", {"n": "2", "c": [3, {"d": "y"}, [4]]}, None, {"n": [], "c": {}}], "e": [1, "q", {"r": 1}]}, "f": [5, [6, "7", {}]]},
+        {"id": "scalar", "a": 5, "f": "none"},
+        {"id": "arrays", "a": {"b": {}, "e": []}, "f": [[]]},
+    ]
+    for i, document in enumerate(documents):
+        land(tmp_path, "x", "2026-06-08", f"{i}.json", document)
+    land(tmp_path, "x", "2026-06-08", "broken.json", "{ not json")
+    got = {r.id: r for r in readable(rescue(scan_documents(spark, str(tmp_path), "x", schema), schema)).collect()}
+    assert got.keys() == {"clean", "odd", "scalar", "arrays"}
+    plain = lambda r: None if r is None else r.asDict(recursive=True)
+    assert plain(got["clean"].a) == {"b": [{"n": 1, "c": [{"d": "x"}]}], "e": ["p"]} and got["clean"].f == [[1, 2], []]
+    assert plain(got["odd"].a) == {"b": [{"n": 2, "c": [{"d": "y"}]}, {"n": None, "c": None}], "e": ["1", "q", '{"r":1}']}
+    assert got["odd"].f == [[6, 7, None]]
+    assert got["scalar"].a is None and got["scalar"].f is None
+    assert plain(got["arrays"].a) == {"b": None, "e": []} and got["arrays"].f == [[]]
+
+
+def test_genres_of_another_kind_cost_only_themselves(spark, tmp_path):
+    land(tmp_path, "app_metadata", "2026-06-08", "m.json", {
+        "ingested_at": "x", "app_id": "9", "metadata": {"name": "n", "genres": ["Action", {"id": 1, "description": "B"}], "categories": [{"description": "c"}, 4]},
+    })
+    written = run_silver(spark, str(tmp_path))["app_metadata"]
+    (meta,) = read_table(spark, written.path).collect()
+    assert (meta.game_name, meta.genres, meta.categories, written.partial) == ("n", ["B"], ["c"], 1)
+
+
+def test_rejects_and_table_come_from_one_parse(spark, landed, plan):
+    docs = scan_documents(spark, landed, "user_profiles", schemas.USER_PROFILES_READ)
+    assert "json" in plan(docs).lower()
+    stored, counts = store_outcomes(docs, *document_counts(docs))
+    assert counts == {"documents": 3, "corrupt": 1, "partial": 0, "unstamped": 0}
+    lost = rejected(stored.where(f"{OUTCOME} <> 'whole'").drop(OUTCOME))
+    for frame in (lost, readable(stored.where(f"{OUTCOME} <> 'lost'").drop(OUTCOME))):
+        assert "FileScan json" not in plan(frame) and "FileScan parquet" in plan(frame)
+        assert "PartitionFilters: [isnotnull(outcome" in plan(frame)
+    assert [(r.reason, r.text) for r in lost.collect()] == [("not JSON", "{ not json")]
+    assert readable(stored.drop(OUTCOME)).count() == 2
+
+
+def test_a_missing_dataset_has_typed_columns(spark, landed):
+    there, absent = (scan_or_empty(spark, landed, d, schemas.USER_PROFILES) for d in ("user_profiles", "absent"))
+    assert absent.dtypes == there.dtypes and absent.isEmpty() and not there.isEmpty()
+    assert tuple(corrupt_report(absent).first()) == (0, 0, 0, 0)
+
+
+def test_packing_and_rewriting_of_nothing(spark, tmp_path):
+    assert not compact_documents(spark, str(tmp_path), "absent", "id", str(tmp_path / "out"))
+    assert not rewrite_documents(spark, str(tmp_path), "absent", "id")
+
+
+def test_packing_keeps_unknown_fields_and_broken_texts(spark, tmp_path):
+    land(tmp_path, "x", "2026-06-08", "a.json", {"id": 7.0, "ingested_at": "1", "own": {"deep": ["line\nbreak", 1]}})
+    land(tmp_path, "x", "2026-06-08", "b.json", {"id": "7", "ingested_at": "2", "own": "newer"})
+    land(tmp_path, "x", "2026-06-08", "c.json", "{ not\njson")
+    land(tmp_path, "x", "2026-06-09", "a.json", {"id": 7, "ingested_at": "0", "own": {"deep": ["line\nbreak", 1]}})
+    out = str(tmp_path / "out")
+    for _ in range(2):  # packing again replaces the days
+        assert compact_documents(spark, str(tmp_path), "x", "id", out)
+    lines = {(str(r.ingest_date), r.value) for r in spark.read.text(f"{out}/raw/x").collect()}
+    (broken,) = [v for _, v in lines if "not" in v]
+    assert ("2026-06-08", broken) in lines and broken == "{ not json"
+    kept = {(d, json.dumps(json.loads(v)["own"])) for d, v in lines if v != broken}
+    assert kept == {("2026-06-08", '"newer"'), ("2026-06-09", json.dumps({"deep": ["line\nbreak", 1]}))}
+    assert len(lines) == 3

@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), doc_id: str = "do
         links = materialize(links.union(confirm(pairs, sets, cfg)), "links")
         found = connected_components(links)
     rest = materialize(_open_buckets(keyed.where(F.col("diagonal") < cfg.diagonals), found), "open")
-    links = links.union(_block_links(rest, sets, cfg))
+    # Stored: the components read their links several times, and the blocks are the costliest step.
+    links = materialize(links.union(_block_links(rest, sets, cfg)), "links")
     found = connected_components(links)
     roots = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "d1", "d2", F.coalesce("component", "id").alias("component_id")

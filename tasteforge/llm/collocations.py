@@ -7,8 +7,10 @@ phrase holds it fewer times than its own support, the sum bounds the phrase's co
 support is dropped. The rest fills a bitmap of a fixed number of bits that the next length looks its two parts up in (no
 phrase is more frequent than its parts). In the end one pass counts all candidates of all lengths exactly, by their words.
 
-Where shards are so many that the local support is 1 everywhere, the bound is the count itself, so candidates are the
-frequent phrases only; what travels then is one key for each different phrase of a shard whose parts are frequent.
+Shards are small, so a task mines many and unites what they found before it sends anything. Where shards are so many
+that the local support is 1 everywhere, the bound is the count itself, so candidates are the frequent phrases only; what
+travels then is one key for each different phrase of a task whose parts are frequent. Keys are 64-bit hashes: two phrases
+of one task would have to share one, and one of them be frequent, to change a count.
 """
 
 from __future__ import annotations
@@ -43,16 +45,20 @@ class Phrases:
     """Phrases of 2 to ``longest`` words met ``support`` times; one is dropped if a longer one around it has ``cover`` per
     cent of its count; ``top`` are listed per language.
 
-    A shard holds ``shard_bytes`` of text, or one longer text. ``filter_bits`` (a power of two) is the size of the
-    bitmap of candidates, 16 MiB; a wrong bit costs work only. The ``known`` languages with the most words get
-    lowered supports; any other is mined at support 1, which is complete too.
+    A shard holds ``shard_bytes`` of text, or one longer text; the exact count goes over ``count_bytes`` at a time. A task
+    sends what it mined on when it holds ``held`` phrases, and what it counted at ``counted``. ``filter_bits`` (a power of two) is the size of the bitmap of
+    candidates, 16 MiB; a wrong bit costs work only. The ``known`` languages with the most words get lowered supports;
+    any other is mined at support 1, which is complete too.
     """
 
     support: int = 100
     longest: int = 5
     cover: int = 100
     top: int = 2000
-    shard_bytes: int = 32 << 20
+    shard_bytes: int = 512 << 10
+    count_bytes: int = 4 << 20
+    held: int = 500_000
+    counted: int = 500_000
     filter_bits: int = 1 << 27
     known: int = 10_000
 
@@ -65,14 +71,17 @@ class _Words:
     pieces: list = field(default_factory=list)
     spans: list = field(default_factory=list)  # (bytes, starts, ends), if texts are wanted
 
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(self.keys), np.concatenate(self.pieces)
 
-def _shards(batches: Iterator[pa.RecordBatch], cfg: Phrases, texts: bool) -> Iterator[dict[str, _Words]]:
-    """Shards of (lang, text) batches, as words by language."""
+
+def _shards(batches: Iterator[pa.RecordBatch], size: int, texts: bool) -> Iterator[dict[str, _Words]]:
+    """Shards of about ``size`` bytes of (lang, text) batches, as words by language."""
     shard, held, next_piece = {}, 0, 0
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", min(size // 2, 1 << 20)):
             data, offsets = text_bytes(part.column("text"))
-            cut = np.concatenate([[0], np.cumsum(_BREAKS[data])])
+            cut = np.concatenate([[0], np.cumsum(_BREAKS[data], dtype=np.int32)])
             folded = _FOLDED[data]
             words = words_in(folded, offsets)
             if len(words.hash):
@@ -92,7 +101,7 @@ def _shards(batches: Iterator[pa.RecordBatch], cfg: Phrases, texts: bool) -> Ite
                     if texts:
                         into.spans.append((whole, words.start[mine], words.end[mine]))
             held += len(data)
-            if held >= cfg.shard_bytes:
+            if held >= size:
                 yield shard
                 shard, held = {}, 0
     if shard:
@@ -117,77 +126,115 @@ def _local_support(words: int, sizes: dict[str, int], lang: str, cfg: Phrases) -
     return max(1, -(-cfg.support * words // sizes[lang])) if lang in sizes else 1
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, sorted, and their counts added up."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+
+
+def _cut(columns: list[pa.Array], names: list[str], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Columns as batches of a bounded number of rows."""
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    return (batch.slice(at, rows) for at in range(0, max(1, batch.num_rows), rows))
+
+
 def _miner(k: int, sizes: dict[str, int], bitmap, cfg: Phrases) -> Callable:
     """Locally frequent phrases of k words: (lang, key, excess), where excess is the count over what a silent shard may hold.
 
-    A row without a key gives what a silent shard may hold, once per shard and language.
+    Shards of a task are united before they are sent. A row without a key gives what silent shards may hold.
     """
 
+    def united(found: dict[str, list], silent: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in found.items():
+            keys, excess = _summed(*(np.concatenate(c) for c in zip(*parts)))
+            yield from _cut(
+                [
+                    pa.repeat(lang, len(keys) + 1),
+                    pa.array(np.append(keys.view(np.int64), 0), pa.int64(), mask=np.arange(len(keys) + 1) == len(keys)),
+                    pa.array(np.append(excess, silent[lang]), pa.int64()),
+                ],
+                ["lang", "key", "excess"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, cfg, texts=False):
-            for lang in list(shard):
-                words = shard.pop(lang)
-                keys, pieces = np.concatenate(words.keys), np.concatenate(words.pieces)
+        found, silent, held = {}, {}, 0
+        for shard in _shards(batches, cfg.shard_bytes, texts=False):
+            for lang, words in shard.items():
+                keys, pieces = words.joined()
                 least = _local_support(len(keys), sizes, lang, cfg)
                 at = _starts(pieces, k)
                 if k > 1:
                     known = may_contain(bitmap.value, _grams(lang, keys, k - 1))
                     at = at[known[at] & known[at + 1]]
-                found, counts = np.unique(_grams(lang, keys, k)[at], return_counts=True)
+                grams, counts = np.unique(_grams(lang, keys, k)[at], return_counts=True)
                 frequent = counts >= least
-                found, counts = found[frequent].view(np.int64), counts[frequent] - (least - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * (len(found) + 1), pa.string()),
-                        pa.array(np.append(found, 0), pa.int64(), mask=np.append(np.zeros(len(found), bool), True)),
-                        pa.array(np.append(counts, least - 1), pa.int64()),
-                    ],
-                    names=["lang", "key", "excess"],
-                )
+                found.setdefault(lang, []).append((grams[frequent], counts[frequent] - (least - 1)))
+                silent[lang] = silent.get(lang, 0) + least - 1
+                held += int(frequent.sum())
+            if held >= cfg.held:
+                yield from united(found, silent)
+                found, silent, held = {}, {}, 0
+        yield from united(found, silent)
 
     return run
 
 
+class _Tally:
+    """Counts of different phrases by key; the text of each is kept from where it was met first."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts, self.phrases = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
+        self.langs, self.words = np.zeros(0, object), np.zeros(0, np.int32)
+
+    def add(self, lang: str, k: int, grams: np.ndarray, counts: np.ndarray, text_of: Callable) -> None:
+        place = np.searchsorted(self.keys, grams)
+        old = np.zeros(len(grams), bool)
+        inside = place < len(self.keys)
+        old[inside] = self.keys[place[inside]] == grams[inside]
+        self.counts[place[old]] += counts[old]
+        new, at = np.flatnonzero(~old), place[~old]
+        self.keys, self.counts = np.insert(self.keys, at, grams[new]), np.insert(self.counts, at, counts[new])
+        self.phrases, self.langs = np.insert(self.phrases, at, text_of(new)), np.insert(self.langs, at, lang)
+        self.words = np.insert(self.words, at, k)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        columns = [pa.array(self.langs, pa.string()), pa.array(self.words), pa.array(self.phrases, pa.string()), pa.array(self.counts)]
+        return _cut(columns, ["lang", "words", "phrase", "n"])
+
+
 def _counter(bitmap, cfg: Phrases) -> Callable:
     """Exact counts of candidates in a task: (lang, words, phrase, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, cfg, texts=True):
-            for lang in list(shard):
-                words = shard.pop(lang)
-                keys, pieces = np.concatenate(words.keys), np.concatenate(words.pieces)
+        tally = _Tally()
+        for shard in _shards(batches, cfg.count_bytes, texts=True):
+            for lang, words in shard.items():
+                keys, pieces = words.joined()
                 first = np.cumsum([0] + [len(k) for k in words.keys])
                 for k in range(1, cfg.longest + 1):
                     grams, at = _grams(lang, keys, k), _starts(pieces, k)
                     at = at[may_contain(bitmap.value, grams[at])]
-                    _, one, counts = np.unique(grams[at], return_index=True, return_counts=True)
-                    phrases = _phrases(words.spans, first, at[one], k)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(phrases), pa.string()),
-                            pa.array(np.full(len(phrases), k), pa.int32()),
-                            pa.array(phrases, pa.string()),
-                            pa.array(counts, pa.int64()),
-                        ],
-                        names=["lang", "words", "phrase", "n"],
-                    )
+                    found, one, counts = np.unique(grams[at], return_index=True, return_counts=True)
+                    tally.add(lang, k, found, counts, lambda new: _phrases(words.spans, first, at[one[new]], k))
+            if len(tally.keys) >= cfg.counted:
+                yield from tally.batches()
+                tally = _Tally()
+        yield from tally.batches()
 
     return run
 
 
-def _phrases(spans: list, first: np.ndarray, at: np.ndarray, k: int) -> list[str]:
+def _phrases(spans: list, first: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     """The k words from each place in ``at``, joined by a space; a phrase lies in one text, so in one slice."""
-    out = [""] * len(at)
-    order = np.argsort(at)
-    part = np.searchsorted(first, at[order], side="right") - 1
+    out = np.zeros(len(at), object)
+    part = np.searchsorted(first, at, side="right") - 1
     for s in np.unique(part):
         data, starts, ends = spans[s]
-        chosen = order[part == s]
-        place = at[chosen] - first[s]
-        columns = [(starts[place + j].tolist(), ends[place + j].tolist()) for j in range(k)]
-        texts = [[data[a:b] for a, b in zip(*c)] for c in columns]
-        for i, pieces in zip(chosen.tolist(), zip(*texts)):
-            out[i] = b" ".join(pieces).decode()
+        chosen = np.flatnonzero(part == s)
+        for i, j in zip(chosen.tolist(), (at[chosen] - first[s]).tolist()):
+            out[i] = b" ".join([data[a:b] for a, b in zip(starts[j : j + k], ends[j : j + k])]).decode()
     return out
 
 
@@ -197,6 +244,8 @@ def phrase_counts(texts: DataFrame, sizes: DataFrame, cfg: Phrases = Phrases())
     ``texts`` has (lang, text), ``sizes`` (lang, n words), stored.
     """
     context = texts.sparkSession.sparkContext
+    # Few tasks with many shards each unite more before they send anything.
+    texts = texts.coalesce(2 * context.defaultParallelism)
     largest = sizes.where(F.col("n") >= cfg.support).orderBy(F.col("n").desc(), "lang").limit(cfg.known).collect()
     known = {r["lang"]: r["n"] for r in largest}
     candidates, shared = np.zeros(cfg.filter_bits // 64, np.uint64), None

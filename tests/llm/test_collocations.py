@@ -59,10 +59,10 @@ def corpus(n=300, seed=5):
 
 
 @pytest.mark.parametrize("cfg", [
-    Phrases(support=10, shard_bytes=300, filter_bits=1 << 12),
+    Phrases(support=10, shard_bytes=300, count_bytes=500, held=40, counted=50, filter_bits=1 << 12),
     Phrases(support=25, shard_bytes=4000, filter_bits=1 << 16, cover=80, known=1),
     Phrases(support=6, shard_bytes=1 << 20, filter_bits=1 << 16, longest=4, top=7),
-    Phrases(support=1, shard_bytes=900, filter_bits=1 << 20, known=2),
+    Phrases(support=1, shard_bytes=900, count_bytes=900, filter_bits=1 << 20, known=2),
 ])
 def test_it_equals_the_plain_version(spark, cfg):
     rows = corpus()
@@ -93,6 +93,6 @@ def test_empty_tables(spark):
 def test_shards_are_bounded_and_hold_every_word():
     texts = ["one two. three"] * 40 + ["long " * 500, "", "a b"]
     batch = pa.RecordBatch.from_pydict({"lang": ["en", "fr"] * 21 + ["en"], "text": texts})
-    shards = list(_shards(iter([batch] * 3), Phrases(shard_bytes=700), texts=False))
+    shards = list(_shards(iter([batch] * 3), 700, texts=False))
     assert len(shards) > 1
     assert sum(len(k) for s in shards for w in s.values() for k in w.keys) == 3 * (40 * 3 + 500 + 2)

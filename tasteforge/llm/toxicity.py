@@ -16,6 +16,7 @@ the window that it, so far, finds worst in each document, toxic or not.
 
 from __future__ import annotations
 
+import pickle
 import re
 import uuid
 from collections.abc import Iterator
@@ -434,8 +435,10 @@ def _worst_windows(inputs: list[np.ndarray], able: list[int], weights: dict, cfg
     return {i: s for i, (_, s) in best.items()}
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, cfg: Network, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"):
-    """Texts and labels of at most ``cfg.toxic`` + ``cfg.other`` labelled documents, by hash of the id.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, cfg: Network, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"
+) -> DataFrame:
+    """(text, label) of at most ``cfg.toxic`` + ``cfg.other`` labelled documents, by hash of the id.
 
     A null label or id takes no part; an id labelled twice is labelled toxic if one of its rows is. Of the texts that share
     an id the one with the smallest hash is taken.
@@ -447,8 +450,29 @@ def training_sample(docs: DataFrame, labels: DataFrame, cfg: Network, doc_id: st
         picked.append(marks.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(most))
     sample = F.broadcast(picked[0].union(picked[1]))  # as many rows as the two bounds at most
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = texts.join(sample, "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
-    return [r.text for r in found], [int(r.label > 0) for r in found]
+    found = texts.join(sample, "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return found.select("text", (F.col("label") > 0).cast("int").alias("label"))
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, cfg: Network, **columns: str) -> tuple[list[str | None], list[int]]:
+    """Texts and labels of ``labelled_sample``."""
+    found = labelled_sample(docs, labels, cfg, **columns).collect()
+    return [r.text for r in found], [r.label for r in found]
+
+
+def train_in_task(sample: DataFrame, cfg: Network) -> Model:
+    """``train`` on a bounded (text, label) table in one task of an executor, so that only the model reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches), ARROW_SAMPLE)
+        model = train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), cfg)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found.model) if found else train([], [], cfg)
+
+
+ARROW_SAMPLE = pa.schema([("text", pa.string()), ("label", pa.int32())])
 
 
 def score_documents(docs: DataFrame, model: Model, cfg: Network = Network(), text: str = "text", score: str = "score", keep_text: bool = False) -> DataFrame:

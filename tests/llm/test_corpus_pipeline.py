@@ -87,6 +87,19 @@ def test_run_is_the_stages_in_order(spark):
     assert len({r.doc_id for r in rows}) == len(rows) > 100
 
 
+def test_different_texts_of_one_id_are_documents_of_their_own(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [
+        (1, text("a"), "en", "s", 1), (1, text("b"), "en", "s", 1), (1, text("c"), "en", "s", 1), (1, text("c"), "en", "s", 1),
+        (2, text("b") + " tail", "en", "s", 1), (3, text("d"), "en", "s", 1), (3, text("d"), "fr", "s", 1), (None, text("a"), "en", "s", 1),
+    ]
+    kept = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted(r.text for r in kept if r.doc_id == 1 and r.text != text("b")) == [text("a"), text("c")]
+    assert len([r for r in kept if r.text.startswith(text("b"))]) == 1 and len([r for r in kept if r.doc_id == 3]) == 1
+    assert [r.text for r in kept if r.doc_id is None] == [text("a")] and len(kept) == 5
+
+
 def test_defined_cases(spark, monkeypatch):
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema
     monkeypatch.setattr(pipeline, "TOXIC_FROM", 1.1)  # the texts below are not those the classifier is for

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tasteforge.llm import toxicity as tox
-from tasteforge.llm.toxicity import FEATURES, Network, Scorer, score_documents, train, training_sample
+from tasteforge.llm.toxicity import FEATURES, Network, Scorer, labelled_sample, score_documents, train, train_in_task, training_sample
 
 SMALL = Network(window=12, stride=8, hidden=4, batch=32, rounds=2)
 
@@ -134,3 +134,16 @@ def test_one_kind_of_label_only():
         fitted = train(["some words", "other words"][: len(labels)], labels, SMALL)
         scores, _ = Scorer(fitted, SMALL).score(["any text", None])
         assert bool((scores >= 0.3).all()) == high
+
+
+def test_training_in_a_task_gives_the_same_model(spark):
+    rows = [(i, f"{'vile awful ' if i % 5 == 0 else 'kind plain '}word{i % 7} and more text", int(i % 5 == 0)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    cfg = Network(rounds=1, epochs=1)
+    there = train_in_task(labelled_sample(docs, labels, cfg), cfg)
+    here = train(*training_sample(docs, labels, cfg), cfg)
+    assert there.tables == here.tables and there.usual == here.usual
+    assert all((there.weights[k] == here.weights[k]).all() for k in here.weights)
+    nothing = train_in_task(labelled_sample(docs.limit(0), labels.limit(0), cfg), cfg)
+    assert nothing.tables.words == {} and 0 <= nothing.usual < 0.3

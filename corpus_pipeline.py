@@ -6,9 +6,9 @@ shared folder as Parquet and reads it back as the next stage's input. All stages
 ``documents``, in its order; columns they do not need pass through.
 
 Defined cases. A null or empty text is not toxic, not a duplicate, not contaminated, and encodes to no ids. A row with a
-null doc_id is never linked or cut, and stays unless it is toxic. Rows that repeat a doc_id are one document from the
-near-duplicate stage on: one of its rows stays, the one with the smallest hash over all columns. An empty table gives an
-empty result.
+null doc_id is never linked or cut, and stays unless it is toxic. Of equal rows that share a doc_id one stays from the
+near-duplicate stage on; rows that share a doc_id but differ are documents of their own, kept or dropped by their texts. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from tasteforge.llm.decontaminate import contaminated_documents
 from tasteforge.llm.neardup import MinHash, near_duplicates
 from tasteforge.llm.queries import table, vocabulary
 from tasteforge.llm.substrings import remove_repeated
+from tasteforge.operators.ordering import number_rows
 from tasteforge.session import materialize
 
 #: Documents from this score on are rejected; it is that of ``op10_toxicity``.
@@ -31,26 +32,41 @@ TOXIC_FROM = toxicity.TOXIC_FROM
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on a bounded sample of the labelled ones, scores below ``TOXIC_FROM``."""
     cfg = toxicity.Network()
-    model = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels"), cfg), cfg)
+    # In a task: what training holds would else stay in the driver's process for the stages that follow.
+    model = toxicity.train_in_task(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), cfg), cfg)
     scored = toxicity.score_documents(docs, model, cfg, score="__toxicity", keep_text=True)
     return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group linked on five-word shingles at a similarity of 0.8."""
-    docs = _one_row_per_document(docs)
-    found = near_duplicates(docs.select("doc_id", "text"), MinHash(shingle=5))
-    extra = materialize(found.where("doc_id is not null and not kept").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(extra, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    nodes = _with_nodes(docs)
+    found = near_duplicates(nodes.select("__node", "text"), MinHash(shingle=5), doc_id="__node")
+    extra = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("__node")).distinct()
+    extra = materialize(extra, "near-duplicates")
+    return nodes.join(extra, "__node", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
-def _one_row_per_document(docs: DataFrame) -> DataFrame:
+def _with_nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__node``: the doc_id, or, for all but one of different rows that share a doc_id, a number above all ids.
+
+    Equal rows that share a doc_id become one.
+    """
     code = F.xxhash64(*[f"`{c}`" for c in docs.columns])
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(code).alias("h"))
-    repeated = materialize(repeated.where("n > 1").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")), "repeated-ids")
-    once = docs.join(repeated, F.col("doc_id") == F.col("__id"), "left_anti")
-    again = docs.join(repeated, (F.col("doc_id") == F.col("__id")) & (code == F.col("__h"))).select(docs["*"]).distinct()
-    return once.union(again)
+    named = docs.where("doc_id is not null")
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(code).alias("h")).where("n > 1")
+    repeated = materialize(repeated.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")), "repeated-ids")
+    own = F.col("doc_id").cast("long").alias("__node")
+    if repeated.isEmpty():
+        return docs.select("*", own)
+    once = docs.join(repeated, F.col("doc_id") == F.col("__id"), "left_anti").select("*", own)
+    again = docs.join(repeated, F.col("doc_id") == F.col("__id")).select(docs["*"], code.alias("__code"), "__h").distinct()
+    again = materialize(again, "repeated-rows")
+    others, _ = number_rows(again.where("__code <> __h").select("doc_id", "__code"), ["doc_id", "__code"], "__place")
+    above = int(named.agg(F.max("doc_id")).first()[0]) + 1
+    others = others.select("doc_id", "__code", (F.col("__place") + above).alias("__other"))
+    placed = again.join(others, ["doc_id", "__code"], "left").withColumn("__node", F.coalesce("__other", own))
+    return once.union(placed.select(*[f"`{c}`" for c in docs.columns], "__node"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -208,13 +208,17 @@ def _plausible(pairs: DataFrame, cfg: MinHash) -> DataFrame:
 
 
 def _star_pairs(buckets: DataFrame, nodes: DataFrame, turn: int, cfg: MinHash) -> DataFrame:
-    """Distinct plausible (pivot, member) pairs of each bucket; the pivot differs from turn to turn and table to table."""
+    """Distinct plausible (pivot, member) pairs of each bucket whose ends lie in different components.
+
+    ``buckets`` has (key, id, component). The pivot differs from turn to turn and table to table.
+    """
     # The first turn shares the smallest member as pivot between tables, so that few different pairs come up.
     order = F.col("id") if turn == 0 else F.xxhash64("id", "key", F.lit(turn))
-    pivots = buckets.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("id"))).alias("p"), F.count("*").alias("n"))
+    pivot = F.min(F.struct(order.alias("o"), F.col("id"), F.col("component").alias("c")))
+    pivots = buckets.groupBy("key").agg(pivot.alias("p"), F.count("*").alias("n"))
     pairs = (
-        buckets.join(pivots.where("n > 1").select("key", F.col("p.id").alias("x")), "key")
-        .where("x <> id").select("x", F.col("id").alias("y")).distinct()
+        buckets.join(pivots.where("n > 1").select("key", F.col("p.id").alias("x"), "p.c"), "key")
+        .where("x <> id and c <> component").select("x", F.col("id").alias("y")).distinct()
     )
     return _with_signatures(pairs, nodes, cfg)
 
@@ -312,14 +316,14 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), doc_id: str = "do
     repeated = able.groupBy("doc_id").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi")).where("lo <> hi").select("doc_id")
     links = able.join(repeated, "doc_id").join(classes.select("d1", "d2", "id"), ["d1", "d2"]).where("doc_id <> id")
     links = links.select(F.col("doc_id").alias("x"), F.col("id").alias("y")).distinct()
-    first = materialize(_star_pairs(buckets, nodes, 0, cfg), "pairs")
+    first = materialize(_star_pairs(buckets.withColumn("component", F.col("id")), nodes, 0, cfg), "pairs")
     candidates = buckets.select("id").distinct()
     sets = materialize(full_sets(docs, candidates, cfg, doc_id, text), "sets")
     links = materialize(links.union(confirm(first, sets, cfg)), "links")
     found = connected_components(links)
     for turn in range(1, cfg.star_rounds):
         rest = materialize(_open_buckets(buckets, found), "open")
-        pairs = _across(_star_pairs(rest.select("key", "id"), nodes, turn, cfg), found)
+        pairs = _star_pairs(rest, nodes, turn, cfg)
         links = materialize(links.union(confirm(pairs, sets, cfg)), "links")
         found = connected_components(links)
     rest = materialize(_open_buckets(keyed.where(F.col("diagonal") < cfg.diagonals), found), "open")
@@ -339,10 +343,3 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), doc_id: str = "do
 def _shared_keys(keys: DataFrame) -> DataFrame:
     """Rows of table keys that more than one class has."""
     return keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key")
-
-
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    side = lambda s: found.select(F.col("node").alias(s), F.col("component").alias(f"c_{s}"))
-    placed = pairs.join(side("y"), "y", "left").join(side("x"), "x", "left")
-    return placed.where(F.coalesce("c_x", "x") != F.coalesce("c_y", "y")).select("x", "y")

@@ -244,8 +244,6 @@ def phrase_counts(texts: DataFrame, sizes: DataFrame, cfg: Phrases = Phrases())
     ``texts`` has (lang, text), ``sizes`` (lang, n words), stored.
     """
     context = texts.sparkSession.sparkContext
-    # Few tasks with many shards each unite more before they send anything.
-    texts = texts.coalesce(2 * context.defaultParallelism)
     largest = sizes.where(F.col("n") >= cfg.support).orderBy(F.col("n").desc(), "lang").limit(cfg.known).collect()
     known = {r["lang"]: r["n"] for r in largest}
     candidates, shared = np.zeros(cfg.filter_bits // 64, np.uint64), None
@@ -260,6 +258,8 @@ def phrase_counts(texts: DataFrame, sizes: DataFrame, cfg: Phrases = Phrases())
         level = collect_bitmap(united.where(F.col("key").isNotNull() & (bound >= cfg.support)), "key", cfg.filter_bits)
         candidates |= level
         shared = context.broadcast(level)
+    # Few tasks: one that goes over more text adds more counts up before it sends them, and candidates are few.
+    texts = texts.coalesce(2 * context.defaultParallelism)
     counted = texts.mapInArrow(_counter(context.broadcast(candidates), cfg), "lang string, words int, phrase string, n bigint")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= cfg.support)
 

@@ -88,7 +88,7 @@ def _count_anchors(texts: DataFrame, cfg: Parsing) -> DataFrame:
 
 
 def _occurrences(texts: DataFrame, repeated: np.ndarray, heavy: np.ndarray, cfg: Parsing) -> DataFrame:
-    """Anchor occurrences that may repeat, with their windows' hashes. salt: -1, or a number from the document if heavy."""
+    """Anchor occurrences that may repeat, with their windows' hashes. salt: -1, or 0 to 63 by document and place if heavy."""
     context = texts.sparkSession.sparkContext
     shared, frequent = context.broadcast(repeated), context.broadcast(heavy)
 
@@ -111,7 +111,10 @@ def _occurrences(texts: DataFrame, repeated: np.ndarray, heavy: np.ndarray, cfg:
                 ).cast(pa.binary())
                 owner = words.doc[begin]
                 docs, tags = np.asarray(part.column(0))[owner], np.asarray(part.column(1))[owner]
-                salt = np.where(may_contain(frequent.value, anchor), docs & 63, -1).astype(np.int32)
+                place = (begin - words.first[owner]).astype(np.uint64)
+                mixed = (docs.view(np.uint64) + place * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+                salt = np.where(may_contain(frequent.value, anchor), mixed >> np.uint64(58), np.uint64(64)).astype(np.int32)
+                salt[salt == 64] = -1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (anchor.view(np.int64), salt, docs, tags, (begin - words.first[owner]).astype(np.int32))] + [packed],
                     names=["a", "salt", "doc", "tag", "start", "windows"],
@@ -191,38 +194,38 @@ def repeated_runs(docs: DataFrame, cfg: Parsing = Parsing(), doc_id: str = "doc_
     return light.union(_match_windows(matched.where("n = 0")))
 
 
-def greedy_factors(starts: np.ndarray, counts: np.ndarray, sources: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """(first word, words, index of its first run) of each factor of one document, from its runs in order of start.
+def greedy_factors(starts: np.ndarray, counts: np.ndarray, sources: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, index of its first run) of the factors of one document, from its runs in order of start.
 
     ``sources`` has a row (ref_doc, ref_tag, ref_start) per run. A run that goes on where the last one ended, in the text
     and in the source, lengthens its factor.
     """
-    out, i = [], 0
-    while i < len(starts):
-        first, end = i, starts[i] + counts[i]
-        while i + 1 < len(starts) and starts[i + 1] == end and (
-            sources[i + 1] == (sources[first][0], sources[first][1], sources[first][2] + end - starts[first])
-        ).all():
-            i += 1
-            end += counts[i]
-        out.append((int(starts[first]), int(end - starts[first] + window - 1), first))
-        i += 1
-    return out
+    goes_on = (starts[1:] == starts[:-1] + counts[:-1]) & (sources[1:, :2] == sources[:-1, :2]).all(axis=1)
+    goes_on &= sources[1:, 2] == sources[:-1, 2] + counts[:-1]
+    first = np.flatnonzero(np.concatenate([[True], ~goes_on])) if len(starts) else np.zeros(0, np.int64)
+    words = np.add.reduceat(counts, first) + window - 1 if len(first) else first
+    return starts[first], words, first
+
+
+def _factors_of(parts: pa.ListScalar, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, source rows) of a document's factors, from its listed runs."""
+    columns = [parts.values.field(c).to_numpy().astype(np.int64) for c in ("start", "n", "ref_doc", "ref_tag", "ref_start")]
+    sources = np.stack(columns[2:], axis=1)
+    starts, words, first = greedy_factors(columns[0], columns[1], sources, window)
+    return starts, words, sources[first]
 
 
 def duplicate_factors(docs: DataFrame, cfg: Parsing = Parsing(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, tag, start, n_words, ref_doc_id, ref_tag, ref_start): the long factors of every document, in words."""
     runs = repeated_runs(docs, cfg, doc_id, text)
-    listed = _by_document(runs, sources=True)
+    listed = _by_document(runs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, tag, parts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                places = np.array([[p["start"], p["n"]] for p in parts])
-                sources = np.array([[p["ref_doc"], p["ref_tag"], p["ref_start"]] for p in parts])
-                for start, n, i in greedy_factors(places[:, 0], places[:, 1], sources, cfg.window):
-                    rows.append((doc, tag, start, n, *sources[i].tolist()))
+            for doc, tag, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                starts, sizes, sources = _factors_of(parts, cfg.window)
+                rows += [(doc, tag, a, n, *source) for a, n, source in zip(starts.tolist(), sizes.tolist(), sources.tolist(), strict=True)]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
             names = ["doc_id", "tag", "start", "n_words", "ref_doc_id", "ref_tag", "ref_start"]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
@@ -231,18 +234,16 @@ def duplicate_factors(docs: DataFrame, cfg: Parsing = Parsing(), doc_id: str = "
     return listed.mapInArrow(run, "doc_id long, tag long, start int, n_words int, ref_doc_id long, ref_tag long, ref_start int")
 
 
-def _by_document(runs: DataFrame, sources: bool = False) -> DataFrame:
+def _by_document(runs: DataFrame) -> DataFrame:
     """A row per document that has runs; its list is no longer than its own text."""
-    fields = ["start", "n", *(["ref_doc", "ref_tag", "ref_start"] if sources else [])]
-    return runs.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("parts"))
+    return runs.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "n", "ref_doc", "ref_tag", "ref_start"))).alias("parts"))
 
 
-def _cover(parts, window: int, n_words: int) -> np.ndarray:
-    """Which words of a document stand under a factor."""
+def _cover(starts: np.ndarray, sizes: np.ndarray, n_words: int) -> np.ndarray:
+    """Which words of a document stand under a factor; factors may overlap by a window at their boundaries."""
     marks = np.zeros(n_words + 1, np.int32)
-    for part in parts:
-        marks[part["start"]] += 1
-        marks[part["start"] + part["n"] + window - 1] -= 1
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, starts + sizes, -1)
     return np.cumsum(marks[:-1]) > 0
 
 
@@ -280,7 +281,8 @@ def remove_repeated(
                         kept.append(b" ".join(words) if single_space else body)
                         continue
                     words = words_of(part.column(1).slice(i, 1))
-                    gone = _cover(runs.as_py(), cfg.window, len(words.start))
+                    starts, sizes, _ = _factors_of(runs, cfg.window)
+                    gone = _cover(starts, sizes, len(words.start))
                     totals.append(len(gone))
                     removed.append(int(gone.sum()))
                     split = body.split() if single_space else _with_space(body, words)

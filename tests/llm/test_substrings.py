@@ -1,9 +1,11 @@
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
-from tasteforge.llm.substrings import Parsing, duplicate_factors, remove_repeated
+from tasteforge.llm.substrings import Parsing, _occurrences, _texts, duplicate_factors, remove_repeated
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,6 +63,24 @@ def test_periodic_and_extreme_texts(spark):
     assert run(spark, []) == []
 
 
+def test_ids_of_one_residue_spread_over_parts(spark):
+    rows = [(64 * d, t) for d, t in corpus(3)]
+    assert run(spark, rows, Parsing(heavy=2)) == brute_force(rows)
+    docs = spark.createDataFrame([(64 * d, " ".join(f"p{i}" for i in range(25))) for d in range(640)], "doc_id long, text string")
+    every = np.full(1 << 10, ~np.uint64(0))
+    salts = Counter(r.salt for r in _occurrences(_texts(docs, "doc_id", "text"), every, every, Parsing()).select("salt").collect())
+    assert set(salts) <= set(range(64)) and len(salts) > 50 and max(salts.values()) <= 3 * sum(salts.values()) / 64
+
+
+def test_removed_words_are_those_under_the_factors(spark):
+    """The greedy parse gives what the query removes: every word under a factor, no other."""
+    rows = corpus(21)
+    factors = {}
+    for f in duplicate_factors(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        factors.setdefault(f.doc_id, set()).update(range(f.start, f.start + f.n_words))
+    assert {d: n for d, _, n, _ in run(spark, rows) if n} == {d: len(places) for d, places in factors.items()}
+
+
 def test_repeated_ids_and_null_ids(spark):
     long = " ".join(f"p{i}" for i in range(30))
     rows = [(None, long), (5, long), (5, long), (6, long + " tail")]

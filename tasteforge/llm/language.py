@@ -108,12 +108,12 @@ def fit(texts: list[str | None], labels: list[str], cfg: Kernel) -> Model:
     kind = kind[use]
     each = -(-cfg.landmarks // len(names))
     marks = np.concatenate([np.flatnonzero(kind == k)[:each] for k in range(len(names))])
-    rows = presence([parts[i] for i in use], cfg)
-    points = rows[marks].astype(np.float64)
+    points = presence([parts[i] for i in use[marks]], cfg).astype(np.float64)
     values, vectors = np.linalg.eigh(points @ points.T)
     good = values > 1e-6
     project = points.T @ (vectors[:, good] / np.sqrt(values[good]))  # places x features
-    features = rows @ project
+    # In batches: the presence of all pieces at once would take 39 MB a language.
+    features = np.concatenate([presence([parts[i] for i in use[b : b + 64]], cfg) @ project for b in range(0, len(use), 64)])
     mean = features.mean(axis=0)
     centred = features - mean
     balance = 1.0 / np.bincount(kind, minlength=len(names))[kind]  # each language weighs the same
@@ -145,12 +145,16 @@ def score_texts(texts: list[str | None], model: Model, cfg: Kernel, batch: int =
 
 
 def training_sample(docs: DataFrame, cfg: Kernel, text: str = "text", lang: str = "lang") -> tuple[list[str], list[str]]:
-    """Up to ``cfg.per_language`` labelled texts with a letter per language, by text hash, so row order plays no part."""
+    """Up to ``cfg.per_language`` different labelled texts with a letter per language, by text hash, so neither row order
+    nor the number of a text's copies plays a part."""
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    # The rank limit is applied before the shuffle too, so a task sends no more than that per language.
-    ids = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= cfg.per_language)
-    found = ids.select("text", "lang").collect()
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("key")
+    # Copies meet in the map-side combine as 8-byte keys; the rank limit is applied before the second shuffle.
+    keys = rows.where(F.col("text").rlike(r"\p{L}")).select("lang", "key").distinct()
+    picked = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= cfg.per_language).select("lang", "key")
+    # Broadcast: per_language keys for each language at most. A task sends one text per key.
+    found = rows.join(F.broadcast(picked), ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text")).select("text", "lang").collect()
     found.sort(key=lambda r: (r.lang, r.text))
     return [r.text for r in found], [r.lang for r in found]
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from tasteforge.llm.language import Kernel, fit, identify, pieces, presence, score_texts, training_sample
@@ -70,6 +72,26 @@ def test_sample_is_bounded_and_independent_of_row_order(spark):
     assert one == two and len(one[0]) == 20
 
 
+def test_copies_take_one_place_of_the_sample(spark):
+    rows = [("the same text", "en")] * 400 + [(f"text {chr(97 + i // 26)}{chr(97 + i % 26)}", "en") for i in range(300)] + [("123 !", "en")] * 9
+    texts, labels = training_sample(spark.createDataFrame(rows, "text string, lang string"), Kernel(per_language=150))
+    assert len(texts) == len(set(texts)) == 150 and set(labels) == {"en"} and "123 !" not in texts
+    few, _ = training_sample(spark.createDataFrame(rows, "text string, lang string"), Kernel(per_language=1000))
+    assert len(few) == 301
+
+
+def test_forty_languages_fit_in_bounded_memory():
+    cfg = Kernel(per_language=40, piece=256)
+    rng = np.random.default_rng(2)
+    letters = [chr(0x400 + i) for i in range(200)]
+    texts = ["".join(rng.choice(letters[4 * k : 4 * k + 30], 200)) for k in range(40) for _ in range(40)]
+    tracemalloc.start()
+    model = fit(texts, [f"l{k:02}" for k in range(40) for _ in range(40)], cfg)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.languages) == 40 and peak < 500 << 20
+
+
 def test_no_labelled_rows():
     model = fit([], [], SMALL)
     assert score_texts(["some text", None], model, SMALL)[0] == ["und", "und"]

@@ -2,7 +2,8 @@
 
 A conversation becomes training windows of at most ``budget`` tokens. Prefix sums of the turns' tokens choose how many
 whole turns fit; every window begins with the conversation's system turns and repeats at most ``history`` tokens of the
-turns before it. Assistant texts are targets once: in the window where they are new. Where they are repeated as history
+turns before it. The first window holds the system turns whole; where they are longer than ``system`` tokens, later
+windows repeat their beginning, up to that bound. Assistant texts are targets once: in the window where they are new. Where they are repeated as history
 they lie outside the loss mask.
 
 Rows are sorted by conversation and turn inside the partitions and read as a stream, so a task holds one window's turns,
@@ -19,6 +20,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,13 +38,15 @@ _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
 @dataclass(frozen=True)
 class Windows:
-    """``budget`` tokens a window, ``history`` of them at most for repeated turns; each turn costs ``overhead`` more.
+    """``budget`` tokens a window, ``history`` of them at most for repeated turns and ``system`` for the repeated system
+    turns; each turn costs ``overhead`` more.
 
     A turn that is longer than the room left beside the system turns gets a window of its own and is not cut.
     """
 
     budget: int = 1024
     history: int = 256
+    system: int = 512
     overhead: int = 4
 
 
@@ -84,6 +88,7 @@ class Conversation:
         self.turns: list[tuple[str, str, int]] = []  # not in a window yet
         self.prefix = [0]
         self.begun = False
+        self.repeated_system: list[tuple[str, str, int]] = []  # the system turns of all windows but the first
 
     def add(self, role: str, text: str) -> Iterator[Window]:
         turn = role, text, count_tokens(text) + self.cfg.overhead
@@ -108,8 +113,12 @@ class Conversation:
             kept.append(turn)
         return kept[::-1]
 
+    def _retained(self) -> list[tuple[str, str, int]]:
+        """The system turns as the next window shows them."""
+        return self.repeated_system if self.begun else self.system
+
     def _room(self) -> int:
-        fixed = sum(t[2] for t in self.system) + sum(t[2] for t in self._history())
+        fixed = sum(t[2] for t in self._retained()) + sum(t[2] for t in self._history())
         return self.cfg.budget - fixed
 
     def _cut(self) -> Window:
@@ -119,8 +128,8 @@ class Conversation:
         # The last place whose prefix sum stays inside the room, and one turn at least.
         n = max(1, bisect_right(self.prefix, self.prefix[0] + room) - 1) if self.turns else 0
         new = self.turns[:n]
-        repeated = (self.system if self.begun else []) + history
-        fresh = ([] if self.begun else self.system) + new
+        repeated = self.repeated_system + history
+        fresh = self.system + new  # empty once they have been shown
         out = format_turns(repeated, fresh)
         self.before = [*self.before, *new]
         total = 0
@@ -131,10 +140,24 @@ class Conversation:
                 break
         self.turns, base = self.turns[n:], self.prefix[n]
         self.prefix = [p - base for p in self.prefix[n:]]
-        self.begun = True
+        if not self.begun:
+            self.begun, self.repeated_system = True, beginning(self.system, self.cfg)
+            self.system = []
         return out
 
 
+def beginning(turns: list[tuple[str, str, int]], cfg: Windows) -> list[tuple[str, str, int]]:
+    """As many of the first turns as ``cfg.system`` tokens hold; the one that does not fit is cut behind its last token."""
+    out, room = [], cfg.system
+    for role, text, size in turns:
+        if size > room:
+            fits = [m.end() for m in islice(_TOKEN.finditer(text), max(0, room - cfg.overhead))]
+            return [*out, (role, text[: fits[-1]], room)] if fits else out
+        out.append((role, text, size))
+        room -= size
+    return out
+
+
 def format_turns(repeated: list[tuple[str, str, int]], fresh: list[tuple[str, str, int]]) -> Window:
     parts, loss, place = [], [], 0
     for i, (role, text, _) in enumerate([*repeated, *fresh]):

@@ -67,6 +67,21 @@ def test_windows_hold_every_turn_once_in_budget(spark):
     assert {r.conv_id: r.formatted_chars for r in rest} == {c: sum(len(w.formatted) for w in windows if w.conv_id == c) for c in digests}
 
 
+def test_long_system_turns_are_whole_once_and_bounded_after(spark):
+    rows = [(1, 0, "system", "rule " * 50), (1, 1, "system", "law " * 5000)]
+    rows += [(1, i, ["user", "assistant"][i % 2], f"turn {i}") for i in range(2, 300)]
+    cfg = Windows(budget=256, history=32, system=128)
+    windows, digests, _ = read_back(spark, rows, cfg)
+    assert digests == expected(rows)
+    windows.sort(key=lambda w: w.window)
+    assert read_turns(windows[0].formatted)[:2] == [("system", "rule " * 50), ("system", "law " * 5000)]
+    for w in windows[1:]:
+        turns = read_turns(w.formatted)
+        assert turns[:2] == [("system", "rule " * 50), ("system", ("law " * 70).strip())]  # 54 tokens and 4 + 70
+        assert sum(count_tokens(t) + cfg.overhead for _, t in turns) <= cfg.budget
+    assert len(windows) < 40
+
+
 def test_defined_cases(spark):
     rows = [
         (-1, 0, "user", ATTACK), (-1, 1, "assistant", ATTACK), (1, 0, "system", None), (2, 0, None, "x"), (2, 0, "user", "b"), (2, 0, "user", "a"),

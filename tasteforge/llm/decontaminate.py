@@ -10,12 +10,16 @@ A capitalised word at the start of a sentence may be a name or not, so windows o
 
 Every window of an item is also looked up word for word, on the folded words before any of them becomes a slot. So a
 verbatim copy is found however many of its words are numbers, units or names, and however short it is.
+
+Items that differ in slot values only, equal values standing at the same slots, are one class, and documents are joined with
+the windows of classes: a question that a benchmark asks with a thousand values costs a document one row, not a thousand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -150,17 +154,37 @@ def verbatim_windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(gram_hashes(words.hash, size)[starts] + _VERBATIM + np.uint64(size)), starts
 
 
-def _slot_values(symbols: Symbols, start: int, size: int, slot: np.ndarray) -> list[int]:
-    return symbols.value[start : start + size][slot[start : start + size]].view(np.int64).tolist()
+def _slot_values(values: np.ndarray, start: int, size: int, slot: np.ndarray) -> list[int]:
+    return values[start : start + size][slot[start : start + size]].view(np.int64).tolist()
+
+
+def classes_of(symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each text, per symbol the number of its slot value among the values of its text, in order of appearance).
+
+    Texts of one class have the same symbols, slots and number of words, and the same slots hold equal values.
+    """
+    numbers = np.zeros(len(symbols.plain), np.int64)
+    classes = np.zeros(len(symbols.first) - 1, np.int64)
+    slot = ~(symbols.literal & (symbols.plain == symbols.named))
+    for i, (begin, end) in enumerate(zip(symbols.first[:-1].tolist(), symbols.first[1:].tolist(), strict=True)):
+        at = begin + np.flatnonzero(slot[begin:end])
+        _, earliest, which = np.unique(symbols.value[at], return_index=True, return_inverse=True)
+        numbers[at] = 1 + np.argsort(np.argsort(earliest))[which]
+        n_words = int(symbols.words.first[i + 1] - symbols.words.first[i])
+        facts = (symbols.named[begin:end], symbols.literal[begin:end], numbers[begin:end], np.array([n_words]))
+        code = blake2b(b"".join(x.tobytes() for x in facts), digest_size=8).digest()
+        classes[i] = int.from_bytes(code, signed=True)
+    return classes, numbers
 
 
 WINDOW = "key long, id long, tag long, verbatim boolean, place int, slots array<long>"
+ITEM_WINDOW = f"{WINDOW}, class long, pattern array<long>"
 
 
 def _window_rows(rows: DataFrame, cfg: Templates, sizes: tuple[list[int], list[int]] | None, bitmap: np.ndarray | None) -> DataFrame:
     """(key, id, tag, verbatim, place, slots) of windows: all windows of items, or those of documents that pass the bitmap.
 
-    Items (``sizes`` is None) shorter than the window are one window of their own length, in symbols and in words. Places
+    Items have class, and pattern: the numbers of the slots' values within the item. Items (``sizes`` is None) shorter than the window are one window of their own length, in symbols and in words. Places
     count symbols, or words where ``verbatim``; there slots is empty. A document's window that is a whole item is one row.
     """
     shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
@@ -170,7 +194,8 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: tuple[list[int], list[i
             for part in slices(batch, "text"):
                 symbols = symbols_of(part.column(2))
                 words = symbols.words
-                keys, owners, verbatim, places, slots = [], [], [], [], []
+                keys, owners, verbatim, places, slots, patterns = [], [], [], [], [], []
+                classes, numbers = classes_of(symbols) if sizes is None else (None, None)
 
                 def add(size, hashes, starts, doc, first, slot=None):
                     if shared is not None:
@@ -186,7 +211,9 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: tuple[list[int], list[i
                     owners.extend(doc[starts].tolist())
                     verbatim.extend([slot is None] * len(starts))
                     places.extend((starts - first[doc[starts]]).tolist())
-                    slots.extend([] if slot is None else _slot_values(symbols, s, size, slot) for s in starts.tolist())
+                    slots.extend([] if slot is None else _slot_values(symbols.value, s, size, slot) for s in starts.tolist())
+                    if sizes is None:
+                        patterns.extend([] if slot is None else _slot_values(numbers, s, size, slot) for s in starts.tolist())
 
                 own, own_words = (_own_sizes(x.first, cfg) for x in (symbols, words)) if sizes is None else sizes
                 for size in {cfg.window, *own} - {1, 2}:
@@ -195,13 +222,15 @@ def _window_rows(rows: DataFrame, cfg: Templates, sizes: tuple[list[int], list[i
                 for size in {cfg.window, *own_words}:
                     add(size, *verbatim_windows(words, size), words.doc, words.first)
                 owners = np.array(owners, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), part.column(0).take(pa.array(owners)), part.column(1).take(pa.array(owners)),
-                     pa.array(verbatim, pa.bool_()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.int64()))],
-                    names=["key", "id", "tag", "verbatim", "place", "slots"],
-                )
+                columns = [pa.array(keys, pa.int64()), part.column(0).take(pa.array(owners)), part.column(1).take(pa.array(owners)),
+                           pa.array(verbatim, pa.bool_()), pa.array(places, pa.int32()), pa.array(slots, pa.list_(pa.int64()))]
+                names = ["key", "id", "tag", "verbatim", "place", "slots"]
+                if sizes is None:
+                    columns += [pa.array(classes[owners]), pa.array(patterns, pa.list_(pa.int64()))]
+                    names += ["class", "pattern"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, WINDOW)
+    return rows.mapInArrow(run, ITEM_WINDOW if sizes is None else WINDOW)
 
 
 def _own_sizes(first: np.ndarray, cfg: Templates) -> list[int]:
@@ -219,45 +248,62 @@ def template_matches(
     docs: DataFrame, items: DataFrame, cfg: Templates = Templates(),
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """(doc_id, tag, item_id, coverage, exact) for every item that a document contains.
-
-    coverage is the share of the item's windows found on alignments whose slots are consistent, small for a short quote of a
-    long item; exact tells that all slot values are the item's own. Of an alignment that is not consistent the windows with
-    the item's own values count if they make ``run`` symbols in a row. ``tag`` is a hash of the text. Null ids take no part,
-    null texts have no windows, and equal rows count once. An item that is mostly slots, or has fewer than three symbols, is found word for word only: with other
-    values nothing would tell it from chance. An item without a word is never found. A match is decided for each (doc_id,
-    text), so texts that share a doc_id do not complete each other.
+    """(doc_id, tag, item_id, coverage, exact) for every class of items that a document contains; item_id is the smallest of
+    the class, whose members ``item_classes`` lists.
+
+    coverage is the share of the class's windows found on alignments whose slots are consistent, small for a short quote of a
+    long item; exact tells that all windows have the values of an item of the class. Of an alignment that is not consistent
+    the windows with an item's own values count if they make ``run`` symbols in a row. ``tag`` is a hash of the text. Null ids
+    take no part, null texts have no windows, and equal rows count once. An item that is mostly slots, or has fewer than three
+    symbols, is found word for word only: with other values nothing would tell it from chance. An item without a word is never
+    found. A match is decided for each (doc_id, text), so texts that share a doc_id do not complete each other.
     """
     bench = _window_rows(_rows(items, item_id, item_text).where("id is not null").distinct(), cfg, None, None)
     bench = materialize(bench, "templates")
-    lengths = materialize(bench.groupBy("id", "tag", "verbatim").agg(F.countDistinct("place").alias("n_windows")), "items")
-    known = bench.select("key", F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("place").alias("item_place"),
-                         F.col("slots").alias("item_slots"))
+    sizes = bench.groupBy("class", "verbatim").agg(F.countDistinct("place").alias("n_windows"), F.min("id").alias("item"))
+    sizes = materialize(sizes, "items")
+    known = bench.select("key", "class", F.col("place").alias("item_place"), "pattern").distinct()
+    # Which values stand where in some item of the class.
+    values = bench.select("key", "class", F.col("place").alias("item_place"), F.xxhash64("slots").alias("values"), F.lit(True).alias("own")).distinct()
     found = _window_rows(_rows(docs, doc_id, text).where("id is not null"), cfg, _short_sizes(items, cfg, item_text), collect_bitmap(bench, "key", cfg.filter_bits))
-    hits = found.join(known, "key").where(F.size("slots") == F.size("item_slots"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    aligned = hits.groupBy("id", "tag", "item", "item_tag", "verbatim", (F.col("place") - F.col("item_place")).alias("shift")).agg(
+    hits = found.join(known, "key").where(F.size("slots") == F.size("pattern")).withColumn("values", F.xxhash64("slots"))
+    hits = hits.join(values, ["key", "class", "item_place", "values"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    pairs = F.arrays_zip(F.col("pattern").alias("i"), F.col("slots").alias("d"))
+    aligned = hits.groupBy("id", "tag", "class", "verbatim", (F.col("place") - F.col("item_place")).alias("shift")).agg(
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.collect_set("item_place").alias("places"),
-        F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("item_place"))).alias("same"),
+        F.collect_set(F.when(F.col("own"), F.col("item_place"))).alias("same"), F.min("own").alias("own"),
     )  # no longer than the item
     aligned = aligned.withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
     aligned = aligned.withColumn("places", F.when(F.col("consistent"), F.col("places")).otherwise(F.col("same")))
     aligned = aligned.withColumn("run", _longest_run("places", cfg)).where(F.col("consistent") | (F.col("run") >= cfg.run))
-    whole = aligned.groupBy("id", "tag", "item", "item_tag", "verbatim").agg(
+    whole = aligned.groupBy("id", "tag", "class", "verbatim").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"),
         F.max("run").alias("run"),
-        F.min(~F.col("consistent") | F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"),
+        F.min(~F.col("consistent") | F.col("own")).alias("exact"),
     )
-    sizes = lengths.withColumnsRenamed({"id": "item", "tag": "item_tag"})
     return (
-        whole.join(sizes, ["item", "item_tag", "verbatim"])
-        .groupBy("id", "tag", "item", "item_tag")
-        .agg(F.max(F.col("n") / F.col("n_windows")).alias("coverage"), F.max("run").alias("run"), F.min("exact").alias("exact"))
+        whole.join(sizes, ["class", "verbatim"])
+        .groupBy("id", "tag", "class")
+        .agg(F.max(F.col("n") / F.col("n_windows")).alias("coverage"), F.max("run").alias("run"), F.min("exact").alias("exact"), F.min("item").alias("item"))
         .where((F.col("coverage") >= cfg.coverage) | (F.col("run") >= cfg.run))
         .select(F.col("id").alias("doc_id"), "tag", F.col("item").alias("item_id"), "coverage", "exact")
     )
 
 
+def item_classes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(item_id, class_id) for every item with an id: class_id is the smallest item_id of those that differ from the item in
+    slot values only. Items without a word, or without a text, are one class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(classes_of(symbols_of(part.column(2)))[0])], names=["id", "class"])
+
+    classes = _rows(items, item_id, text).where("id is not null").distinct().mapInArrow(run, "id long, class long").distinct()
+    least = classes.groupBy("class").agg(F.min("id").alias("class_id"))
+    return classes.join(least, "class").select(F.col("id").alias("item_id"), "class_id")
+
+
 def _longest_run(places: str, cfg: Templates) -> Column:
     """Most symbols in a row that the windows at ``places`` cover; windows that touch or overlap make one run."""
     size = F.lit(cfg.window)
@@ -285,7 +331,8 @@ def _short_sizes(items: DataFrame, cfg: Templates, text: str) -> tuple[list[int]
 
 
 def contaminated_documents(docs: DataFrame, items: DataFrame, cfg: Templates = Templates(), **columns: str) -> DataFrame:
-    """(doc_id, tag, item_ids, coverage, exact) for each document that contains an item; item_ids is sorted."""
+    """(doc_id, tag, item_ids, coverage, exact) for each document that contains an item; item_ids, sorted, has one item for
+    each class of items that it contains."""
     return template_matches(docs, items, cfg, **columns).groupBy("doc_id", "tag").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("coverage").alias("coverage"), F.max("exact").alias("exact")
     )

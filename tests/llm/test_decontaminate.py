@@ -2,7 +2,7 @@ import random
 
 import pyarrow as pa
 
-from tasteforge.llm.decontaminate import Templates, flag_contaminated, symbols_of
+from tasteforge.llm.decontaminate import Templates, flag_contaminated, item_classes, symbols_of, template_matches
 
 ITEMS = [
     (1, "A train leaves Paris at 9 and travels 300 km in 4 hours before it meets Anna Smith on the bridge."),
@@ -108,6 +108,25 @@ def test_slots_and_short_items_are_found_word_for_word(spark):
     assert got[14] == ([3], True) and got[15] == ([], False)
 
 
+def test_items_of_one_template_are_one_class(spark):
+    ask = "A train leaves {0} at {1} and travels {2} km in {1} hours before it meets {0} again on the bridge."
+    towns = ["Paris", "Rome", "Bern", "Oslo", "Prague"]
+    text = lambda i, n=0: ask.format(towns[i % 5], i + 1, n + 500 + i)
+    bench = spark.createDataFrame([(i, text(i)) for i in range(200)] + [(900, ask.replace("{1} hours", "{3} hours").format("Paris", 1, 500, 7))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, FILLER + text(i, 1000 * (i % 2))) for i in range(200)], "doc_id long, text string")
+    found = template_matches(docs, bench).where("item_id < 900").collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.exact) for r in found) == [(i, 0, 1.0, i % 2 == 0) for i in range(200)]
+    assert {tuple(r) for r in item_classes(bench).collect()} == {(i, 0) for i in range(200)} | {(900, 900)}
+
+
+def test_classes_of_odd_items(spark):
+    items = [(1, "Is 17 prime?"), (2, "Is 19 prime?"), (3, "2 + 2"), (4, "2 + 3"), (5, None), (6, "  "), (None, "x"), (7, "The Ann. Bo"), (8, "The Ann Bo"), (1, "Is 17 prime?")]
+    bench = spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, class long")
+    assert {tuple(r) for r in item_classes(bench).collect()} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 5), (7, 7), (8, 8)}
+    docs = spark.createDataFrame([(0, FILLER + "So: Is 19 prime?"), (1, "Is 18 prime?")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id, r.exact) for r in template_matches(docs, bench).collect()] == [(0, 1, True)]
+
+
 def test_empty_tables_null_and_repeated_ids(spark):
     assert flags(spark, []) == {}
     assert flags(spark, ["plain text of no use here"], []) == {0: ([], False)}

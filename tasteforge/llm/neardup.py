@@ -9,12 +9,13 @@ s = 0.8 and the defaults 0.0006, less above.
    class at once; only class representatives go on.
 2. Half keys met once cannot make a shared table key. They are dropped before the pairs of halves are formed.
 3. In each bucket every member is compared with one pivot (a star, never all pairs), links are confirmed on the full
-   sets, and components are formed. Buckets inside one component are finished. The next rounds take other pivots.
+   sets, and components are formed. Of the pivots of its buckets a member meets the one that it shares most tables with.
+   Buckets inside one component are finished. The next rounds take other pivots.
 4. What is left, buckets that still hold several components, is compared block by block, every member with every other,
    on the full sets, as a product of 0/1 matrices inside the group of a block pair. Only links that join components leave
    a group, so a group of n near copies never makes n * n rows; nothing in a bucket is capped. Two texts of similarity s
-   meet in about 64 * s**4 of the 64 tables, so three diagonals of the table square (24 tables) do for this step: they
-   miss a link at s = 0.8 with probability 0.001, and only links matter here that no pivot has made.
+   meet in about 64 * s**4 of the 64 tables, so four diagonals of the table square (32 tables) do for this step: they
+   miss a link at s = 0.8 with probability 0.0007, and only links matter here that no pivot has made.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ class MinHash:
     per_half: int = 2
     least_equal: int = 16
     star_rounds: int = 3
-    diagonals: int = 3
+    diagonals: int = 4
     block: int = 256
     seed: int = 7
 
@@ -208,7 +209,8 @@ def _plausible(pairs: DataFrame, cfg: MinHash) -> DataFrame:
 
 
 def _star_pairs(buckets: DataFrame, nodes: DataFrame, turn: int, cfg: MinHash) -> DataFrame:
-    """Distinct plausible (pivot, member) pairs of each bucket whose ends lie in different components.
+    """Plausible (pivot, member) pairs whose ends lie in different components: for each member the pivot that it shares most
+    tables with (the smallest, at a tie).
 
     ``buckets`` has (key, id, component). The pivot differs from turn to turn and table to table.
     """
@@ -218,9 +220,10 @@ def _star_pairs(buckets: DataFrame, nodes: DataFrame, turn: int, cfg: MinHash) -
     pivots = buckets.groupBy("key").agg(pivot.alias("p"), F.count("*").alias("n"))
     pairs = (
         buckets.join(pivots.where("n > 1").select("key", F.col("p.id").alias("x"), "p.c"), "key")
-        .where("x <> id and c <> component").select("x", F.col("id").alias("y")).distinct()
+        .where("x <> id and c <> component").groupBy("x", F.col("id").alias("y")).agg(F.count("*").alias("n"))
     )
-    return _with_signatures(pairs, nodes, cfg)
+    nearest = pairs.groupBy("y").agg(F.min(F.struct((-F.col("n")).alias("o"), "x")).alias("p"))
+    return _with_signatures(nearest.select("p.x", "y"), nodes, cfg)
 
 
 def _with_signatures(pairs: DataFrame, nodes: DataFrame, cfg: MinHash) -> DataFrame:

@@ -899,6 +899,9 @@ def scan_missing_dataset(spark, sf_dir):
     return found[0].union(found[1])
 
 
+FILES_PER_TASK = 100  # of documents that are landed one to a file
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(text, day, s_suppkey): two pretty-printed snapshots of every supplier, and a third of every other one on the first day."""
     copies = F.when(F.col("s_suppkey") % 2 == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1), F.lit(3)))
@@ -918,9 +921,11 @@ def compacted_documents(spark, sf_dir):
     """One file per document on two days, packed into lines by day: the same silver rows from fewer documents."""
     base, out = intermediate_path(spark, "landed"), intermediate_path(spark, "packed")
     snapshots = materialize(_snapshots(spark, sf_dir), "snapshots")
+    # A file costs the same however short its text is, so tasks are cut by their number of files, and each moves its own into place.
+    tasks = -(-snapshots.count() // FILES_PER_TASK)
     for day in ("2024-01-01", "2024-01-02"):
-        files = snapshots.where(F.col("day") == day).select("text").write.option("maxRecordsPerFile", 1)
-        files.text(f"{base}/raw/user_profiles/{day}")
+        files = snapshots.where(F.col("day") == day).repartition(max(1, tasks)).select("text").write.option("maxRecordsPerFile", 1)
+        files.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(f"{base}/raw/user_profiles/{day}")
     compact_documents(spark, base, "user_profiles", "steam_id", out, files="*.txt")
     states = []
     for state, root, layout in (("before", base, "dated"), ("after", out, "hive")):

@@ -223,3 +223,26 @@ def test_packing_keeps_unknown_fields_and_broken_texts(spark, tmp_path):
     kept = {(d, json.dumps(json.loads(v)["own"])) for d, v in lines if v != broken}
     assert kept == {("2026-06-08", '"newer"'), ("2026-06-09", json.dumps({"deep": ["line\nbreak", 1]}))}
     assert len(lines) == 3
+
+
+def test_documents_of_a_day_are_landed_by_several_tasks(spark, tmp_path, monkeypatch):
+    from tasteforge import queries
+
+    folders = []
+
+    def path(_, name):
+        folders.append(tmp_path / name)
+        return str(tmp_path / name)
+
+    monkeypatch.setattr(queries, "FILES_PER_TASK", 10, raising=False)
+    monkeypatch.setattr(queries, "intermediate_path", path)
+    rows = [(i if i else None, i % 7) for i in range(30)] + [(5, 1)]
+    spark.createDataFrame(rows, "s_suppkey BIGINT, s_nationkey INT").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    got = queries.QUERIES["compacted_documents"](spark, str(tmp_path)).collect()
+    for day, n in (("2024-01-01", 45), ("2024-01-02", 31)):
+        files = [f.name for f in (tmp_path / "landed" / "raw" / "user_profiles" / day).glob("part-*.txt")]
+        assert len(files) == n  # still one document to a file
+        assert len({f.split("-")[1] for f in files}) > 1  # written by more than one task
+    assert {(r.state, r.documents) for r in got} == {("before", 76), ("after", 60)}
+    before, after = ({(r.steam_id, r.app_id) for r in got if r.state == s} for s in ("before", "after"))
+    assert before == after and len(before) == 30

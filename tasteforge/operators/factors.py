@@ -145,9 +145,10 @@ def factor_topk(
     """(user, item, score, rank): the ``k`` items with the greatest dot product for each user, ties by item.
 
     Exact. Users and items are cut into blocks (``plan_blocks``); each cell, a block of either,
-    multiplies Arrow batches as matrices. It gives at most ``k`` rows per user, never the pairs. Inside a block, items are
-    visited by falling norm, and a user stops at the first run of items whose norms cannot reach that user's k-th best
-    score (Cauchy-Schwarz). More than one item block is scored in waves by falling norm (``_topk_by_norm``), which
+    multiplies Arrow batches as matrices. It gives at most ``k`` rows per user, never the pairs. Inside a cell, items are
+    grouped into balls of close vectors and users into cones of close directions; a cone visits balls by the greatest
+    product they allow, and a user stops at the first ball that cannot reach that user's k-th best score. This bound is
+    never above that by norms (Cauchy-Schwarz). More than one item block is scored in waves by falling norm (``_topk_by_norm``), which
     carries that bound from block to block. See ``usable_vectors`` for odd vectors.
     Counting both sides runs two jobs; ``item_rows`` overrides the item block size, ``decimals`` rounds scores before
     they are ranked, and ``counts`` is filled with the numbers of cells.
@@ -158,7 +159,7 @@ def factor_topk(
     users, items = (usable_vectors(side, vector_col, id_col, dim) for side in (users, items))
     counts = counts or CellCounts()
     counts.cells = user_blocks * item_blocks
-    score = _CellRun(k, dim, decimals, max(1000, 4 * slots))
+    score = _CellRun(k, dim, decimals, max(1000, 4 * slots), 2 * slots)
     if item_blocks > 1:
         return _topk_by_norm(users, items, score, user_blocks, item_blocks, counts)
     counts.scored, counts.waves = counts.cells, 1
@@ -183,6 +184,7 @@ class _CellRun:
     dim: int
     decimals: int | None
     most_partitions: int
+    wanted: int = 1
 
     def __call__(self, users: DataFrame, items: DataFrame, cells: int) -> DataFrame:
         # A given partition count also keeps AQE from merging cells: they are small but costly.
@@ -224,8 +226,10 @@ def _topk_by_norm(
         full = lists.where(F.col("rank") == score.k).select(F.col("user").alias("id"), F.col("score").alias("floor"))
         return frame.join(full, "id", "left")
 
-    first = items.where("ib = 0").select("id", "vector", _every(user_blocks), "ib")
-    lists = score(users.select("id", "vector", _hashed(user_blocks), F.lit(0).alias("ib")), first, user_blocks)
+    # One block of items is all there is to score here, so its cells are cut further, into as many tasks as all cells would be.
+    tasks = max(user_blocks, min(user_blocks * item_blocks, score.wanted))
+    first = items.where("ib = 0").select("id", "vector", _every(tasks), "ib")
+    lists = score(users.select("id", "vector", _hashed(tasks), F.lit(0).alias("ib")), first, tasks)
     lists = materialize(lists, "topk-lists")
     counts.scored, counts.waves = user_blocks, 1
 
@@ -255,8 +259,11 @@ def _topk_by_norm(
     return lists
 
 
-def _cell_scorer(k: int, dim: int, decimals: int | None):
-    """The function run on one cell. A closure, so that tasks need numpy and Arrow only."""
+def _cell_scorer(k: int, dim: int, decimals: int | None, counted: list[int] | None = None):
+    """The function run on one cell. A closure, so that tasks need numpy and Arrow only.
+
+    ``counted`` gets the number of pairs of every product, if the function runs where it was made.
+    """
 
     def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids = table["id"].to_numpy()
@@ -267,43 +274,80 @@ def _cell_scorer(k: int, dim: int, decimals: int | None):
         flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         return ids, flat.reshape(len(ids), dim)
 
+    def groups(points: np.ndarray, size: int) -> list[np.ndarray]:
+        """Rows in groups of at most ``size`` that lie close together: cut at quantiles of the column that varies most."""
+        todo, done = [np.arange(len(points))], []
+        while todo:
+            rows = todo.pop()
+            if len(rows) <= size:
+                done.append(rows)
+                continue
+            near = points[rows]
+            cuts = [len(rows) * i // 4 for i in (1, 2, 3)] if len(rows) > 4 * size else [len(rows) // 2]
+            order = np.argpartition(near[:, near.std(axis=0).argmax()], cuts)
+            todo += np.split(rows[order], cuts)
+        return done
+
     def score(users: pa.Table, items: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []
         if users.num_rows and items.num_rows:
-            user_ids, user_vectors = matrix(users)
-            item_ids, item_vectors = matrix(items)
+            user_ids, user_vectors = by_id(*matrix(users))
+            item_ids, item_vectors = by_id(*matrix(items))
             norms = np.linalg.norm(item_vectors, axis=1)
-            order = np.lexsort((item_ids, -norms))
-            item_ids, item_vectors, norms = item_ids[order], item_vectors[order], norms[order]
-            width = 4096
-            for start in range(0, len(user_ids), 1024):
-                found.append(
-                    best_of(
-                        user_ids[start : start + 1024],
-                        user_vectors[start : start + 1024],
-                        item_ids,
-                        item_vectors,
-                        norms,
-                        width,
-                    )
-                )
+            balls = groups(np.column_stack((item_vectors, norms)), 32)
+            places = np.concatenate(balls)
+            item_ids, item_vectors, norms = item_ids[places], item_vectors[places], norms[places]
+            ends = np.cumsum([len(g) for g in balls])
+            starts = np.concatenate(([0], ends[:-1]))
+            centres = np.add.reduceat(item_vectors, starts, axis=0) / (ends - starts)[:, None]
+            offsets = np.linalg.norm(item_vectors - np.repeat(centres, ends - starts, axis=0), axis=1)
+            radii, longest = np.maximum.reduceat(offsets, starts), np.maximum.reduceat(norms, starts)
+            items_by_ball = (item_ids, item_vectors, starts, ends, centres, radii, longest)
+            reach = np.linalg.norm(user_vectors, axis=1)
+            units = user_vectors / np.where(reach > 0, reach, 1.0)[:, None]
+            for rows in groups(units, 256):
+                tops = best_in_balls(units[rows][reach[rows] > 0], centres, radii, longest)
+                found.append(best_of(user_ids[rows], user_vectors[rows], reach[rows], tops, *items_by_ball[:4]))
         columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], [], []]
         types = (pa.int64(), pa.int64(), pa.float64(), pa.int32())
         arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]
         return pa.table(arrays, names=["user", "item", "score", "rank"])
 
-    def best_of(user_ids, vectors, item_ids, item_vectors, norms, width):
-        reach = np.linalg.norm(vectors, axis=1)
+    def by_id(ids, vectors):
+        order = np.argsort(ids, kind="stable")
+        return ids[order], vectors[order]
+
+    def best_in_balls(units, centres, radii, longest):
+        """What no product of one of these unit vectors and an item of a ball exceeds, for each ball."""
+        axis = units.sum(axis=0)
+        length = np.linalg.norm(axis)
+        if not length > 1e-6 * len(units):
+            return longest
+        axis /= length
+        cos = min(1.0, (units @ axis).min())
+        along, size = centres @ axis, np.linalg.norm(centres, axis=1)
+        across = np.sqrt(np.maximum(size**2 - along**2, 0.0))
+        # The cone's edge turned towards the centre, or the centre itself if it lies in the cone.
+        cone = np.where(along >= cos * size, size, along * cos + across * np.sqrt(max(0.0, 1.0 - cos**2))) + radii
+        # Never above the longest item; what cancels in the other bound is made up for by some slack.
+        return np.fmin(longest, cone + 1e-6 * longest)
+
+    def best_of(user_ids, vectors, reach, tops, item_ids, item_vectors, starts, ends):
         rounding = 0.0 if decimals is None else 10.0**-decimals
         floor = np.full(len(user_ids), -np.inf)
         held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        for at in range(0, len(item_ids), width):
+        order = np.argsort(-tops, kind="stable")
+        at, balls = 0, 16
+        while at < len(order):
             # The bound is compared with some slack, as both sides of it are rounded.
-            bound = reach * norms[at]
-            live = np.flatnonzero(bound + 1e-9 * (1.0 + bound) + rounding >= floor)
+            bound = reach * tops[order[at]]
+            live = np.flatnonzero(bound + 1e-9 * (1.0 + np.abs(bound)) + rounding >= floor)
             if not len(live):
                 break
-            scores = vectors[live] @ item_vectors[at : at + width].T
+            run = np.concatenate([np.arange(starts[g], ends[g]) for g in order[at : at + balls]])
+            scores = vectors[live] @ item_vectors[run].T
+            if counted is not None:
+                counted.append(scores.size)
             if decimals is not None:
                 scores = np.round(scores, decimals)
             cut = floor[live]
@@ -312,12 +356,13 @@ def _cell_scorer(k: int, dim: int, decimals: int | None):
             row, col = np.nonzero(scores >= cut[:, None])
             held = (
                 np.concatenate((held[0], live[row])),
-                np.concatenate((held[1], item_ids[at + col])),
+                np.concatenate((held[1], item_ids[run[col]])),
                 np.concatenate((held[2], scores[row, col])),
             )
             held, rank = keep_best(*held)
             full = rank == k
             floor[held[0][full]] = held[2][full]
+            at, balls = at + balls, min(128, 2 * balls)
         held, rank = keep_best(*held)
         return user_ids[held[0]], held[1], held[2], rank
 

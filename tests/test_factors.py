@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tasteforge.operators.factors import AlsSettings, CellCounts, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
+from tasteforge.operators.factors import AlsSettings, CellCounts, _cell_scorer, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
 from tasteforge.operators.splits import rmse
 from tasteforge.plans.train import train_and_evaluate
 
@@ -66,6 +67,36 @@ def test_norm_bound_cuts_across_item_runs(spark):
     assert {(r.user, r.item, r["rank"]) for r in got.collect()} == brute_force(users, items, 3)
 
 
+def cell(vectors):
+    """Rows of a cell, in an order of no meaning."""
+    order = np.random.default_rng(len(vectors)).permutation(len(vectors))
+    lists = pa.array([[np.float32(x) for x in vectors[i]] for i in order], type=pa.list_(pa.float32()))
+    return pa.table({"id": pa.array(order, type=pa.int64()), "vector": lists})
+
+
+def test_a_cell_scores_few_pairs_where_norms_rule_nothing_out():
+    """Items of one length: only their directions tell which a user needs, so the share scored falls as both sides grow."""
+    rng, shares = np.random.default_rng(2), []
+    for n_users, n_items in ((125, 500), (2000, 8000), (8000, 32000)):
+        users, items = np.abs(rng.normal(size=(n_users, 3))), np.abs(rng.normal(size=(n_items, 3)))
+        items /= np.linalg.norm(items, axis=1)[:, None]
+        pairs = []
+        got = _cell_scorer(4, 3, 9, pairs)(cell(users), cell(items))
+        shares.append(sum(pairs) / (n_users * n_items))
+        if n_users == 125:
+            assert {tuple(r.values()) for r in got.select(["user", "item", "rank"]).to_pylist()} == brute_force(users, items, 4)
+    assert shares[2] < shares[1] / 2 and shares[2] < 0.4
+
+
+def test_a_cell_with_zeros_opposite_directions_and_copies():
+    rng = np.random.default_rng(4)
+    users = np.concatenate((rng.normal(size=(60, 3)), np.zeros((3, 3)), rng.normal(size=(1, 3)).repeat(40, 0) * 1e-3))
+    items = np.concatenate((rng.normal(size=(300, 3)) * 1e6, -np.abs(rng.normal(size=(200, 3))), np.zeros((50, 3)), [[1.0, 2.0, 3.0]] * 100))
+    for k in (1, 7, 900):
+        got = _cell_scorer(k, 3, 9)(cell(users), cell(items))
+        assert {tuple(r.values()) for r in got.select(["user", "item", "rank"]).to_pylist()} == brute_force(users, items, k)
+
+
 def test_ties_go_to_the_smaller_item_and_short_lists_stay_short(spark):
     users, items = [[1.0, 0.0], [0.0, 0.0]], [[1.0, 0.0]] * 3
     got = factor_topk(frame(spark, users), frame(spark, items), 2, 2)

@@ -43,10 +43,12 @@ class IdDictionary:
         return self.size <= broadcast_rows and self.label_bytes + ROW_BYTES * self.size <= BROADCAST_BYTES
 
     def encode(
-        self, df: DataFrame, id_col: str, index_col: str, broadcast_rows: int = BROADCAST_ROWS
+        self, df: DataFrame, id_col: str, index_col: str, broadcast_rows: int = BROADCAST_ROWS, stored: bool = False
     ) -> DataFrame:
-        """Add ``index_col``. Rows whose id is unseen or NULL are dropped."""
+        """Add ``index_col``. Rows whose id is unseen or NULL are dropped. A ``stored`` table is not stored once more."""
         entries = self.frame.select(F.col("label").alias("_key"), F.col("index").alias(index_col))
+        if not (stored or self.fits(broadcast_rows)):
+            df = materialize(df, "lookup")
         keyed = df.withColumn("_key", F.col(id_col).cast("string"))
         return self._lookup(keyed, entries, F.col(index_col), "_key", broadcast_rows)
 
@@ -57,6 +59,8 @@ class IdDictionary:
         entries = self.frame.select(
             F.col("index").alias("_key"), F.col("label").alias(id_col), F.col("index").alias("_order")
         )
+        if not self.fits(broadcast_rows):
+            df = materialize(df, "lookup")
         keyed = df.withColumn("_key", F.col(index_col).cast("bigint"))
         return self._lookup(keyed, entries, F.col("_order"), id_col, broadcast_rows).drop("_order")
 
@@ -67,11 +71,10 @@ class IdDictionary:
         takes the heavy keys out of the shuffle; a key that is left over can hold no more than
         1/broadcast_rows of the rows the dictionary was fit on. Rows with other frequencies, as top-k lists
         have, are left to the run-time skew split: both sides of that join are bare exchanges. The large
-        case reads its input twice, so it is stored first.
+        case reads its input twice, so the callers store it first.
         """
         if self.fits(broadcast_rows):
             return keyed.join(F.broadcast(entries), "_key").drop("_key")
-        keyed = materialize(keyed, "lookup")
         in_head = (order < broadcast_rows) & (F.octet_length(F.col(label)) <= HEAD_LABEL)
         head, tail = F.broadcast(entries.where(in_head)), entries.where(~in_head)
         frequent = keyed.join(head, "_key")

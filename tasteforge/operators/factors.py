@@ -42,10 +42,21 @@ RATINGS_PER_BLOCK = 2_000_000
 
 
 def blocks_for(n_ratings: int) -> int:
-    """Factor blocks for so many ratings: 10 at least, and about two million ratings in each."""
+    """The most factor blocks for so many ratings: 10 at least, and about two million ratings in each."""
     return max(10, -(-n_ratings // RATINGS_PER_BLOCK))
 
 
+# In every half step a factor travels to each block that has a rating of it, and soon to all of them: the bytes go with
+# the number of blocks until an id has fewer ratings than there are blocks.
+FEW_BLOCKS = 6
+MOST_RATINGS_PER_BLOCK = 40_000_000
+
+
+def als_blocks(n_ratings: int) -> int:
+    """Factor blocks of a fit: a few, so that what is sent grows as the factors do, until a block's ratings fill a task."""
+    return min(blocks_for(n_ratings), max(FEW_BLOCKS, -(-n_ratings // MOST_RATINGS_PER_BLOCK)))
+
+
 def fit_als(
     ratings: DataFrame,
     settings: AlsSettings = AlsSettings(),
@@ -57,7 +68,7 @@ def fit_als(
     spark = ratings.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    blocks = settings.num_blocks or blocks_for(ratings.count())
+    blocks = settings.num_blocks or als_blocks(ratings.count())
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,

@@ -55,7 +55,9 @@ def interaction_matrix(
     items = fit_dictionary(stored.where(F.col(user_col).isNotNull()), item_col)
     if max(users.size, items.size) > MAX_INDEX:
         raise ValueError("more ids than an integer index can number")
-    by_item = items.encode(stored, item_col, "item_index", broadcast_rows)
+    # What later steps do not need leaves before the next lookup stores or shuffles it.
+    by_item = items.encode(stored, item_col, "item_index", broadcast_rows, stored=True)
+    by_item = by_item.select(user_col, F.col("item_index").cast("int"), F.col(score_col).cast("float"))
     encoded = users.encode(by_item, user_col, "user_index", broadcast_rows)
     matrix = encoded.select(
         F.col("user_index").cast("int"), F.col("item_index").cast("int"), F.col(score_col).cast("float")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.operators.dictionary import load_dictionary
-from tasteforge.operators.factors import AlsSettings, blocks_for, fit_als, predict
+from tasteforge.operators.factors import AlsSettings, als_blocks, fit_als, predict
 from tasteforge.operators.splits import hash_split, random_split, rmse
 from tasteforge.sources.bundle import ModelBundle, load_bundle, save_bundle
 from tasteforge.sources.tables import read_table, table_path
@@ -39,7 +39,7 @@ def train_and_evaluate(
     else:
         train, test = random_split(matrix, train_percent)
     # Fixed here, so that the manifest can tell what the start factors depended on.
-    settings = replace(settings, num_blocks=settings.num_blocks or blocks_for(train.count()))
+    settings = replace(settings, num_blocks=settings.num_blocks or als_blocks(train.count()))
     model = fit_als(train, settings)
     error = rmse(predict(model, test), "interaction_score", "prediction")
     return Trained(model, error, train, test, settings.num_blocks)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import functions as F
 
+from tasteforge.operators import dictionary as dictionaries
 from tasteforge.operators.dictionary import fit_dictionary, load_dictionary, save_dictionary
+from tasteforge.plans.gold import interaction_matrix
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +98,15 @@ def test_the_large_lookup_reads_a_stored_input(spark, skewed, plan):
     heavy = skewed.groupBy("user").agg(F.count("*").alias("n"))
     text = plan(dictionary.encode(heavy, "user", "i", broadcast_rows=1))
     assert "HashAggregate" not in text
+
+
+def test_the_matrix_stores_one_narrow_lookup(spark, monkeypatch):
+    """The scored table is stored already, and the second lookup needs neither the item's label nor the key twice."""
+    stored, keep = [], dictionaries.materialize
+    monkeypatch.setattr(dictionaries, "materialize", lambda df, name: (stored.append((name, df.dtypes)), keep(df, name))[1])
+    rows = [(f"u{i % 7}" if i % 11 else None, f"i{i % 5}" if i % 13 else None, i / 3) for i in range(200)]
+    scored = spark.createDataFrame(rows, "steam_id STRING, app_id STRING, interaction_score DOUBLE")
+    large = interaction_matrix(scored, broadcast_rows=2).matrix.collect()
+    lookups = [columns for name, columns in stored if name == "lookup"]
+    assert lookups == [[("steam_id", "string"), ("item_index", "int"), ("interaction_score", "float")]]
+    assert sorted(large) == sorted(interaction_matrix(scored).matrix.collect())

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tasteforge.operators.factors import AlsSettings, CellCounts, _cell_scorer, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
+from tasteforge.operators.factors import AlsSettings, CellCounts, _cell_scorer, als_blocks, blocks_for, factor_topk, fit_als, plan_blocks, predict, replicated_bytes
 from tasteforge.operators.splits import rmse
 from tasteforge.plans.train import train_and_evaluate
 
@@ -183,3 +183,15 @@ def test_the_model_does_not_depend_on_the_cluster(spark, planted, monkeypatch):
         lists.append({r.id: np.array(r.features) for r in model.userFactors.collect()})
     assert lists[0].keys() == lists[1].keys()
     assert all(np.allclose(lists[0][u], lists[1][u], atol=1e-3) for u in lists[0])
+
+
+def test_a_fit_gets_no_more_blocks_as_its_ratings_grow_until_they_fill_a_task():
+    """Each factor is sent to every block, so the bytes of a half step go with the blocks."""
+    sizes = [10, 3 * 10**6, 3 * 10**7, 2 * 10**8]
+    assert [als_blocks(n) for n in sizes] == [6, 6, 6, 6]
+    assert all(n / als_blocks(n) <= 40_000_000 and als_blocks(n) <= blocks_for(n) for n in (*sizes, 10**9, 10**11))
+
+
+def test_training_uses_those_blocks(spark, planted):
+    assert train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1)).num_blocks == als_blocks(10)
+    assert train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1, num_blocks=3)).num_blocks == 3

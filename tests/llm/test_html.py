@@ -137,6 +137,30 @@ def test_alignment_of_long_streams_is_bounded_and_common():
     assert peak < 200 << 20
 
 
+def longest(a, b):
+    """The length of a longest common subsequence, row by row."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_long_streams_are_aligned_whole():
+    rng = random.Random(5)
+    for names in (4, 60, 900):
+        a, b = ([f"p{rng.randrange(names)}" for _ in range(1100)] for _ in range(2))
+        pairs = common_paths(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) == longest(a, b)
+    # The same names in both, but no n-th one at a place of the other's: nothing to hold on to but the sequence itself.
+    a, b = [f"p{i}" for i in range(1500)], [f"p{i}" for _ in range(2) for i in reversed(range(1500))]
+    b += a
+    assert [i for i, _ in common_paths(a, b)] == list(range(1500))
+    assert common_paths([], a) == common_paths(a, []) == []
+
+
 def test_names_made_by_builds_are_one_name():
     assert blocks_of("<div class='card_x8f3Qz css-1q2w3e col-md6'>a</div>")[0][0] == "div[class=card_~ col-md0 css-~]"
 

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from tasteforge.operators.ordering import number_rows
 from tasteforge.session import materialize, shared_dir
 
-# Bounds of one scoring cell (a block of users against a block of items).
-BLOCK_BYTES = 64 << 20
+# Bounds of one scoring cell (a block of users against a block of items): what a task holds for either side, and pairs.
+BLOCK_BYTES = 96 << 20
 PAIRS_PER_CELL = 25_000_000
+#: What a row takes in a task besides its vector, and an entry of a user's list.
+ROW_BYTES = 64
+ENTRY_BYTES = 28
 
 
 @dataclass(frozen=True)
@@ -24,7 +27,8 @@ class AlsSettings:
 
     ``seed`` is ours, since an unset one differs from process to process. ``num_blocks`` is how
     far one factor update spreads out. Start factors are drawn per block, so it is part of the
-    result: None takes it from the number of ratings, never from the cluster.
+    result: None takes it from the number of ratings, never from the cluster. Blocks that would not
+    fit a task are made smaller, so a number is the least there are (``set_blocks``).
     """
 
     rank: int = 10
@@ -57,18 +61,34 @@ def als_blocks(n_ratings: int) -> int:
     return min(blocks_for(n_ratings), max(FEW_BLOCKS, -(-n_ratings // MOST_RATINGS_PER_BLOCK)))
 
 
+# A task takes some 60 bytes a rating while it builds a block, and two tasks share an executor's heap.
+RATINGS_PER_TASK = 10_000_000
+
+
+def set_blocks(num_blocks: int, n_ratings: int) -> int:
+    """Factor blocks of a fit whose settings name a number: more only where so few would not fit a task."""
+    return max(num_blocks, -(-n_ratings // RATINGS_PER_TASK))
+
+
 def fit_als(
     ratings: DataFrame,
     settings: AlsSettings = AlsSettings(),
     user_col: str = "user_index",
     item_col: str = "item_index",
     rating_col: str = "interaction_score",
+    n_ratings: int | None = None,
 ) -> ALSModel:
-    """Train explicit-feedback ALS (runs jobs). Factors are checkpointed to the shared folder on the way."""
+    """Train explicit-feedback ALS (runs jobs). Factors are checkpointed to the shared folder on the way.
+
+    Where the settings' blocks would not fit a task, the fit has more of them and keeps them on disk, so that the heap is
+    left to those being built. ``n_ratings`` saves counting the ratings.
+    """
     spark = ratings.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    blocks = settings.num_blocks or als_blocks(ratings.count())
+    n_ratings = ratings.count() if n_ratings is None else n_ratings
+    blocks = set_blocks(settings.num_blocks, n_ratings) if settings.num_blocks else als_blocks(n_ratings)
+    level = "DISK_ONLY" if settings.num_blocks and blocks > settings.num_blocks else "MEMORY_AND_DISK"
     als = ALS(
         rank=settings.rank,
         maxIter=settings.max_iter,
@@ -80,6 +100,7 @@ def fit_als(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
         checkpointInterval=settings.checkpoint_interval,
+        intermediateStorageLevel=level,
         userCol=user_col,
         itemCol=item_col,
         ratingCol=rating_col,
@@ -92,15 +113,15 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def plan_blocks(n_users: int, n_items: int, dim: int, slots: int, item_rows: int | None = None) -> tuple[int, int]:
+def plan_blocks(n_users: int, n_items: int, dim: int, slots: int, item_rows: int | None = None, k: int = 0) -> tuple[int, int]:
     """(user blocks, item blocks) for exact top-k scoring.
 
-    A block of either side holds at most ``BLOCK_BYTES`` of vectors. Beyond that, cells are only added while there are
-    fewer than two per slot and they hold more than ``PAIRS_PER_CELL`` pairs. Every user block receives all items
+    A task holds at most ``BLOCK_BYTES`` for a block of either side, with copies of its vectors and the users' lists of ``k``.
+    Beyond that, cells are only added while there are fewer than two per slot and they hold more than ``PAIRS_PER_CELL`` pairs. Every user block receives all items
     and every item block all users, so the side whose blocks cost fewer bytes so far is split further.
     """
-    fits = max(1, BLOCK_BYTES // (8 * dim))
-    user_blocks = max(1, -(-n_users // fits))
+    fits = max(1, BLOCK_BYTES // (24 * dim + ROW_BYTES))
+    user_blocks = max(1, -(-n_users // max(1, BLOCK_BYTES // (24 * dim + ROW_BYTES + ENTRY_BYTES * k))))
     item_blocks = max(1, -(-n_items // min(item_rows or fits, fits)))
     wanted = min(2 * slots, -(-n_users * n_items // PAIRS_PER_CELL))
     while user_blocks * item_blocks < wanted:
@@ -166,7 +187,7 @@ def factor_topk(
     """
     slots = users.sparkSession.sparkContext.defaultParallelism
     n_users, n_items = users.count(), items.count()
-    user_blocks, item_blocks = plan_blocks(n_users, n_items, dim, slots, item_rows)
+    user_blocks, item_blocks = plan_blocks(n_users, n_items, dim, slots, item_rows, min(k, n_items))
     users, items = (usable_vectors(side, vector_col, id_col, dim) for side in (users, items))
     counts = counts or CellCounts()
     counts.cells = user_blocks * item_blocks
@@ -281,54 +302,76 @@ def _cell_scorer(k: int, dim: int, decimals: int | None, counted: list[int] | No
         vectors = table["vector"].combine_chunks()
         if isinstance(vectors, pa.ChunkedArray):
             vectors = pa.concat_arrays(vectors.chunks)
-        # Single-precision vectors travel as they are and are only widened here.
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        # Single-precision vectors stay as they are and are only widened for a few rows at a time.
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
         return ids, flat.reshape(len(ids), dim)
 
-    def groups(points: np.ndarray, size: int) -> list[np.ndarray]:
+    def wide(vectors: np.ndarray) -> np.ndarray:
+        return vectors.astype(np.float64)
+
+    def lengths(vectors: np.ndarray) -> np.ndarray:
+        out = np.empty(len(vectors))
+        for low in range(0, len(vectors), 1 << 16):
+            out[low : low + (1 << 16)] = np.linalg.norm(wide(vectors[low : low + (1 << 16)]), axis=1)
+        return out
+
+    def groups(columns: list[np.ndarray], size: int) -> list[np.ndarray]:
         """Rows in groups of at most ``size`` that lie close together: cut at quantiles of the column that varies most."""
-        todo, done = [np.arange(len(points))], []
+        todo, done = [np.arange(len(columns[0]))], []
         while todo:
             rows = todo.pop()
             if len(rows) <= size:
                 done.append(rows)
                 continue
-            near = points[rows]
+            widest = max(columns, key=lambda c: c[rows].std(dtype=np.float64))
             cuts = [len(rows) * i // 4 for i in (1, 2, 3)] if len(rows) > 4 * size else [len(rows) // 2]
-            order = np.argpartition(near[:, near.std(axis=0).argmax()], cuts)
-            todo += np.split(rows[order], cuts)
+            todo += np.split(rows[np.argpartition(widest[rows], cuts)], cuts)
         return done
 
+    def balls_of(ids: np.ndarray, vectors: np.ndarray):
+        """Items in the order of their balls, where a ball starts and ends, and its centre, radius and longest item."""
+        balls = groups([*vectors.T, lengths(vectors)], 32)
+        places = np.concatenate(balls)
+        ends = np.cumsum([len(g) for g in balls])
+        starts = np.concatenate(([0], ends[:-1]))
+        del balls
+        ids, vectors = ids[places], vectors[places]
+        centres, radii, longest = np.empty((len(ends), dim)), np.empty(len(ends)), np.empty(len(ends))
+        for low in range(0, len(ends), 2048):
+            part = slice(low, low + 2048)
+            first, sizes = starts[part] - starts[low], ends[part] - starts[part]
+            near = wide(vectors[starts[low] : ends[part][-1]])
+            longest[part] = np.maximum.reduceat(np.linalg.norm(near, axis=1), first)
+            centres[part] = np.add.reduceat(near, first, axis=0) / sizes[:, None]
+            radii[part] = np.maximum.reduceat(np.linalg.norm(near - np.repeat(centres[part], sizes, axis=0), axis=1), first)
+        return ids, vectors, starts, ends, centres, radii, longest
+
     def score(users: pa.Table, items: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, ...]] = []
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.int32())
+        done: list[list[pa.Array]] = [[], [], [], []]
         if users.num_rows and items.num_rows:
             user_ids, user_vectors = by_id(*matrix(users))
-            item_ids, item_vectors = by_id(*matrix(items))
-            norms = np.linalg.norm(item_vectors, axis=1)
-            balls = groups(np.column_stack((item_vectors, norms)), 32)
-            places = np.concatenate(balls)
-            item_ids, item_vectors, norms = item_ids[places], item_vectors[places], norms[places]
-            ends = np.cumsum([len(g) for g in balls])
-            starts = np.concatenate(([0], ends[:-1]))
-            centres = np.add.reduceat(item_vectors, starts, axis=0) / (ends - starts)[:, None]
-            offsets = np.linalg.norm(item_vectors - np.repeat(centres, ends - starts, axis=0), axis=1)
-            radii, longest = np.maximum.reduceat(offsets, starts), np.maximum.reduceat(norms, starts)
-            items_by_ball = (item_ids, item_vectors, starts, ends, centres, radii, longest)
-            reach = np.linalg.norm(user_vectors, axis=1)
-            units = user_vectors / np.where(reach > 0, reach, 1.0)[:, None]
-            for rows in groups(units, 256):
-                tops = best_in_balls(units[rows][reach[rows] > 0], centres, radii, longest)
-                found.append(best_of(user_ids[rows], user_vectors[rows], reach[rows], tops, *items_by_ball[:4]))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], [], []]
-        types = (pa.int64(), pa.int64(), pa.float64(), pa.int32())
-        arrays = [pa.array(c, type=t) for c, t in zip(columns, types)]
+            *items_by_ball, centres, radii, longest = balls_of(*by_id(*matrix(items)))
+            sizes = np.linalg.norm(centres, axis=1)
+            reach = lengths(user_vectors)
+            length = np.where(reach > 0, reach, 1.0)
+            cones = groups([(c / length).astype(np.float32) for c in user_vectors.T], 256)
+            for low in range(0, len(cones), 64):
+                found = []
+                for rows in cones[low : low + 64]:
+                    near = wide(user_vectors[rows])
+                    tops = best_in_balls((near / length[rows, None])[reach[rows] > 0], centres, sizes, radii, longest)
+                    found.append(best_of(user_ids[rows], near, reach[rows], tops, *items_by_ball))
+                for column, parts, kind in zip(done, zip(*found), types):
+                    column.append(pa.array(np.concatenate(parts), type=kind))
+        arrays = [pa.chunked_array(column, type=kind) for column, kind in zip(done, types)]
         return pa.table(arrays, names=["user", "item", "score", "rank"])
 
     def by_id(ids, vectors):
         order = np.argsort(ids, kind="stable")
         return ids[order], vectors[order]
 
-    def best_in_balls(units, centres, radii, longest):
+    def best_in_balls(units, centres, size, radii, longest):
         """What no product of one of these unit vectors and an item of a ball exceeds, for each ball."""
         axis = units.sum(axis=0)
         length = np.linalg.norm(axis)
@@ -336,7 +379,7 @@ def _cell_scorer(k: int, dim: int, decimals: int | None, counted: list[int] | No
             return longest
         axis /= length
         cos = min(1.0, (units @ axis).min())
-        along, size = centres @ axis, np.linalg.norm(centres, axis=1)
+        along = centres @ axis
         across = np.sqrt(np.maximum(size**2 - along**2, 0.0))
         # The cone's edge turned towards the centre, or the centre itself if it lies in the cone.
         cone = np.where(along >= cos * size, size, along * cos + across * np.sqrt(max(0.0, 1.0 - cos**2))) + radii
@@ -356,7 +399,7 @@ def _cell_scorer(k: int, dim: int, decimals: int | None, counted: list[int] | No
             if not len(live):
                 break
             run = np.concatenate([np.arange(starts[g], ends[g]) for g in order[at : at + balls]])
-            scores = vectors[live] @ item_vectors[run].T
+            scores = vectors[live] @ wide(item_vectors[run]).T
             if counted is not None:
                 counted.append(scores.size)
             if decimals is not None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tasteforge import schemas
 from tasteforge.operators.dictionary import load_dictionary
-from tasteforge.operators.factors import AlsSettings, als_blocks, fit_als, predict
+from tasteforge.operators.factors import AlsSettings, als_blocks, fit_als, predict, set_blocks
 from tasteforge.operators.splits import hash_split, random_split, rmse
 from tasteforge.sources.bundle import ModelBundle, load_bundle, save_bundle
 from tasteforge.sources.tables import read_table, table_path
@@ -38,11 +38,12 @@ def train_and_evaluate(
         train, test = hash_split(matrix, ["user_index", "item_index"], train_percent)
     else:
         train, test = random_split(matrix, train_percent)
-    # Fixed here, so that the manifest can tell what the start factors depended on.
-    settings = replace(settings, num_blocks=settings.num_blocks or als_blocks(train.count()))
-    model = fit_als(train, settings)
+    n_ratings = train.count()
+    model = fit_als(train, settings, n_ratings=n_ratings)
     error = rmse(predict(model, test), "interaction_score", "prediction")
-    return Trained(model, error, train, test, settings.num_blocks)
+    # The manifest tells what the start factors depended on.
+    blocks = set_blocks(settings.num_blocks, n_ratings) if settings.num_blocks else als_blocks(n_ratings)
+    return Trained(model, error, train, test, blocks)
 
 
 def run_training(

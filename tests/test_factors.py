@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -195,3 +197,37 @@ def test_a_fit_gets_no_more_blocks_as_its_ratings_grow_until_they_fill_a_task():
 def test_training_uses_those_blocks(spark, planted):
     assert train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1)).num_blocks == als_blocks(10)
     assert train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1, num_blocks=3)).num_blocks == 3
+
+
+def test_set_blocks_that_do_not_fit_a_task_are_made_smaller(spark, planted, monkeypatch):
+    from tasteforge.operators import factors
+
+    levels = []
+    fit = factors.ALS.fit
+    monkeypatch.setattr(factors.ALS, "fit", lambda als, df: levels.append(als.getIntermediateStorageLevel()) or fit(als, df))
+    assert train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1, num_blocks=4)).num_blocks == 4
+    monkeypatch.setattr(factors, "RATINGS_PER_TASK", 200, raising=False)
+    trained = train_and_evaluate(planted, AlsSettings(rank=2, max_iter=1, num_blocks=4), train_percent=100)
+    assert trained.num_blocks == -(-planted.count() // 200) > 4
+    assert levels == ["MEMORY_AND_DISK", "DISK_ONLY"]
+    assert trained.model.userFactors.count() == 60
+
+
+def test_what_a_cell_holds_is_bounded_by_its_plan():
+    """With all copies and lists, not the vectors alone."""
+    rng = np.random.default_rng(6)
+    n_users, n_items, k = 60_000, 100_000, 30
+    users, items = (np.abs(rng.normal(size=(n, 4))) * np.geomspace(9, 1, n)[:, None] for n in (n_users, n_items))
+    tables = []
+    for side in (users, items):
+        lists = pa.ListArray.from_arrays(np.arange(0, side.size + 1, 4, dtype=np.int32), pa.array(side.astype(np.float32).ravel()))
+        tables.append(pa.table({"id": pa.array(np.arange(len(side))), "vector": lists}))
+    tracemalloc.start()
+    assert _cell_scorer(k, 4, None)(*tables).num_rows == n_users * k
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    row = 24 * 4 + 64
+    assert peak < n_users * (row + 28 * k) + n_items * row + (24 << 20)  # some products beside it
+    for n_users, n_items, k in ((5_400_000, 7_200_000, 5), (10**8, 500, 5), (10**6, 10**7, 400)):
+        blocks = plan_blocks(n_users, n_items, 4, 6, k=k)
+        assert max(n_users / blocks[0] * (row + 28 * k), n_items / blocks[1] * row) <= 97 << 20

@@ -7,8 +7,13 @@ which splits, prunes by day and does not need a file per entity; ``write_documen
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Callable, Iterator
+from itertools import batched, chain
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +27,63 @@ DAY = "ingest_date"
 OUTCOME = "outcome"
 LINES = "*.{json,txt}"
 
+# One-document files that a scan lists and plans at once. The driver holds a kilobyte or two of each.
+FILES_AT_ONCE = 20_000
+
+
+def _dated_files(spark: SparkSession, root: str, day: str | None) -> Iterator[str]:
+    """Paths of the files in the day folders, one after the other; a path that is a pattern itself is escaped."""
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    folders = Path(f"{root}/{day or '*'}")
+    store = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    plain = lambda path: re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    for status in store.globStatus(folders) or ():
+        folder = status.getPath()
+        if not status.isDirectory():
+            yield plain(folder.toString())
+            continue
+        if folder.toUri().getScheme() == "file":
+            # Hadoop lists a local folder as a whole, with all checksum files.
+            with os.scandir(folder.toUri().getPath()) as found:
+                entries = ((e.name, e.is_dir()) for e in found if e.name[0] != ".")
+                yield from (plain(f"{folder.toString()}/{name}") for name, is_folder in entries if not is_folder)
+            continue
+        entries = store.listStatusIterator(folder)
+        while entries.hasNext():
+            entry = entries.next()
+            if not entry.isDirectory():
+                yield plain(entry.getPath().toString())
+
+
+def _stored_in_parts(
+    spark: SparkSession, root: str, day: str | None, files: str, read: Callable[[DataFrameReader, list[str]], DataFrame]
+) -> DataFrame | None:
+    """What ``read`` makes of the dated files, stored, if they are more than ``FILES_AT_ONCE``; else None (runs jobs).
+
+    A scan keeps every file's status and place in a task on the driver, for as long as its DataFrame lives, and a file
+    is charged like four megabytes, so tasks hold a few of them. Here the driver knows one part of the files at a time, and
+    a task reads many.
+    """
+    parts = batched(_dated_files(spark, root, day), FILES_AT_ONCE)
+    first, second = next(parts, None), next(parts, None)
+    if second is None:
+        return None
+    session = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    slots = spark.sparkContext.defaultParallelism
+    for name, value in (
+        ("spark.sql.files.openCostInBytes", 64 << 10),
+        ("spark.sql.files.minPartitionNum", 4 * slots),
+        ("spark.sql.sources.parallelPartitionDiscovery.parallelism", 2 * slots),
+        ("spark.sql.hive.filesourcePartitionFileCacheSize", 0),
+    ):
+        session.conf.set(name, value)
+    path = intermediate_path(spark, "scanned")
+    for part in chain((first, second), parts):
+        docs = read(session.read.option("pathGlobFilter", files), list(part))
+        docs.write.mode("append").parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
+
 
 def scan_documents(
     spark: SparkSession,
@@ -35,30 +97,33 @@ def scan_documents(
     """Documents with their day, source file and corrupt text; None when the dataset is not there.
 
     ``day`` (YYYY-MM-DD) reads that day's folder only; ``files`` is a pattern for file names (json, and text files of lines
-    in the hive layout). Any failure other than a missing path is raised.
+    in the hive layout). More than ``FILES_AT_ONCE`` files of the dated layout are parsed and stored here, in parts. Any failure
+    other than a missing path is raised.
     """
     files = files or ("*.json" if layout == "dated" else LINES)
     root = f"{base_path.rstrip('/')}/raw/{dataset}"
-    reader = (
-        spark.read.schema(f"{schema}, {CORRUPT} STRING")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", files)
-    )
+
+    def read(reader: DataFrameReader, paths: str | list[str]) -> DataFrame:
+        parsing = reader.schema(f"{schema}, {CORRUPT} STRING").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        if layout != "dated":
+            return parsing.json(paths).withColumn(SOURCE, F.col("_metadata.file_path"))
+        return parsing.option("multiLine", True).json(paths).withColumns({DAY: _day_of_path(), SOURCE: F.col("_metadata.file_path")})
+
+    reader = spark.read.option("pathGlobFilter", files)
     try:
         if layout == "dated":
-            docs = reader.option("multiLine", True).json(f"{root}/{day or '*'}")
-            folder = F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
-            docs = docs.withColumn(DAY, folder.try_cast("date"))
-        else:
-            docs = reader.json(root)
-            if day is not None:
-                docs = docs.where(F.col(DAY) == F.lit(day).cast("date"))
+            stored = _stored_in_parts(spark, root, day, files, read)
+            return stored if stored is not None else read(reader, f"{root}/{day or '*'}")
+        docs = read(reader, root)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return docs.withColumn(SOURCE, F.col("_metadata.file_path"))
+    return docs if day is None else docs.where(F.col(DAY) == F.lit(day).cast("date"))
+
+
+def _day_of_path() -> Column:
+    return F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1).try_cast("date")
 
 
 def scan_or_empty(
@@ -176,21 +241,24 @@ def write_documents(docs: DataFrame, base_path: str, dataset: str, day: Column |
     stamped.write.partitionBy(DAY).mode("append").json(f"{base_path.rstrip('/')}/raw/{dataset}")
 
 
-def _packed(texts: DataFrame, key: str) -> DataFrame:
-    """Document texts (text, day, source) as lines, the latest of each day and key; texts without a key all stay.
+def _keyed(texts: DataFrame, key: str) -> DataFrame:
+    """Document texts (text, day, source) as lines, with their key and stamp.
 
     A line break in JSON is white space between tokens, so joining lines loses nothing. Texts are kept as they are, with
     fields that no schema here knows.
     """
     line = F.regexp_replace("text", r"[\r\n]+", " ")
-    known = texts.select(
+    return texts.select(
         line.alias("value"),
         DAY,
         SOURCE,
         id_token(F.get_json_object("text", f"$.{key}")).alias("_key"),
         F.get_json_object("text", "$.ingested_at").alias("_stamp"),
     )
-    known = materialize(known, "document-lines")
+
+
+def _packed(known: DataFrame) -> DataFrame:
+    """Of stored lines with keys, the latest of each day and key; those without a key all stay."""
     latest = latest_per_key(known.where("_key is not null"), [DAY, "_key"], "_stamp", [SOURCE, "value"])
     return latest.union(known.where("_key is null")).select("value", DAY)
 
@@ -204,16 +272,22 @@ def compact_documents(
     documents of a key on one day the latest stays, which is the one that latest-per-key would read. Texts that are
     not JSON are kept. Days that are packed again are replaced.
     """
+    root = f"{base_path.rstrip('/')}/raw/{dataset}"
+
+    def read(reader: DataFrameReader, paths: str | list[str]) -> DataFrame:
+        texts = reader.text(paths, wholetext=True)
+        return _keyed(texts.select(F.col("value").alias("text"), _day_of_path().alias(DAY), F.col("_metadata.file_path").alias(SOURCE)), key)
+
+    known = _stored_in_parts(spark, root, day, files, read)
     try:
-        folder = f"{base_path.rstrip('/')}/raw/{dataset}/{day or '*'}"
-        texts = spark.read.option("pathGlobFilter", files).text(folder, wholetext=True)
+        if known is None:
+            known = read(spark.read.option("pathGlobFilter", files), f"{root}/{day or '*'}")
+            known = materialize(known, "document-lines")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
-    of_path = F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1).try_cast("date")
-    texts = texts.select(F.col("value").alias("text"), of_path.alias(DAY), F.col("_metadata.file_path").alias(SOURCE))
-    _replace_days(_packed(texts, key), out_base, dataset)
+    _replace_days(_packed(known), out_base, dataset)
     return True
 
 
@@ -233,7 +307,7 @@ def rewrite_documents(spark: SparkSession, base_path: str, dataset: str, key: st
     if day is not None:
         lines = lines.where(F.col(DAY) == F.lit(day).cast("date"))
     texts = lines.select(F.col("value").alias("text"), DAY, F.col("_metadata.file_path").alias(SOURCE))
-    kept = materialize(_packed(texts, key), "rewritten")
+    kept = materialize(_packed(materialize(_keyed(texts, key), "document-lines")), "rewritten")
     _replace_days(kept, base_path, dataset)
     return True
 

@@ -246,3 +246,32 @@ def test_documents_of_a_day_are_landed_by_several_tasks(spark, tmp_path, monkeyp
     assert {(r.state, r.documents) for r in got} == {("before", 76), ("after", 60)}
     before, after = ({(r.steam_id, r.app_id) for r in got if r.state == s} for s in ("before", "after"))
     assert before == after and len(before) == 30
+
+
+def test_many_one_document_files_are_read_in_parts(spark, tmp_path, monkeypatch):
+    from tasteforge.sources import documents
+
+    names = ["a.json", "b c.json", "100%25.json", "[x]{y}*.json", "back\\slash?.json", "_hidden.json", "_k=v.json", ".dot.json", "other.txt", "é.json"]
+    for i, name in enumerate(names):
+        for day in ("2026-06-08", "2026-06-09"):
+            land(tmp_path, "x", day, name, {"id": i, "n": i, "ingested_at": f"{day} {i}", "own": [name]})
+    for name, text in (("broken.json", "{ not\njson"), ("empty.json", ""), ("array.json", '[{"id": "p"}, {"id": "q"}]'), ("odd.json", '{"id": 5, "n": {}}')):
+        land(tmp_path, "x", "2026-06-09", name, text)
+    land(tmp_path, "x", "2026-06-10/below", "deep.json", {"id": 99})
+    land(tmp_path, "x", "notes", "n.json", {"id": 98})
+    land(tmp_path, "x", "2026-06-11", "last.json", {"id": 0, "ingested_at": "late"})
+    found = []
+    for at_once in (1000, 4, 1):
+        monkeypatch.setattr(documents, "FILES_AT_ONCE", at_once, raising=False)
+        docs = scan_documents(spark, str(tmp_path), "x", "id STRING, n BIGINT")
+        assert any(f.endswith(".json") for f in docs.inputFiles()) == (at_once == 1000)  # else the driver knows the stored table only
+        one = scan_documents(spark, str(tmp_path), "x", "id STRING, n BIGINT", day="2026-06-09")
+        rows = lambda df: sorted((tuple(r) for r in df.select("id", "n", "_corrupt_record", "ingest_date", "source_file").collect()), key=str)
+        out = str(tmp_path / f"out{at_once}")
+        assert compact_documents(spark, str(tmp_path), "x", "id", out)
+        lines = sorted((str(r.ingest_date), r.value) for r in spark.read.text(f"{out}/raw/x").collect())
+        found.append((docs.dtypes, rows(docs), docs.count(), rows(one), lines))
+    assert found[0] == found[1] == found[2]
+    assert found[0][2] == 20 and {r[0] for r in found[0][1]} >= {"0", "p", "q", "98", "5", None} and len(found[0][4]) > 15
+    assert scan_documents(spark, str(tmp_path), "absent", "id STRING") is None
+    assert not compact_documents(spark, str(tmp_path), "absent", "id", str(tmp_path / "none"))
